@@ -1,0 +1,108 @@
+"""Keeping one hot key from landing in one task.
+
+An ordered window over a key puts every row of that key into a single task. Where a key holds
+a large share of the rows, its rows are cut into time slices first: windows then run per
+(key, slice), and the edge between neighbouring slices is carried over by a small table with one
+row per slice. Which keys are hot only changes the plan, never the result.
+"""
+
+from __future__ import annotations
+
+from dataclasses import dataclass
+
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+
+from .. import config
+from ..functions.dates import epoch_seconds
+
+SLICE = "_slice"
+
+
+def estimated_bytes(df: DataFrame) -> int | None:
+    """Catalyst's size estimate of a frame, None where the session cannot tell."""
+    try:
+        return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+    except Exception:  # no JVM handle on a remote session
+        return None
+
+
+def fits_broadcast(df: DataFrame, limit: int = config.BROADCAST_BYTES) -> bool:
+    size = estimated_bytes(df)
+    return size is not None and size <= limit
+
+
+def broadcast_if_small(df: DataFrame, limit: int = config.BROADCAST_BYTES) -> DataFrame:
+    """Hint a broadcast only for a side whose estimated size is below the limit."""
+    return F.broadcast(df) if fits_broadcast(df, limit) else df
+
+
+@dataclass(frozen=True)
+class Sliced:
+    """A frame with a slice number per row; ``edges_needed`` is False when no key is hot."""
+
+    rows: DataFrame
+    key: str
+    edges_needed: bool
+
+    @property
+    def partition(self) -> list[str]:
+        return [self.key, SLICE] if self.edges_needed else [self.key]
+
+
+def hot_keys(df: DataFrame, key: str, hot_rows: int) -> dict:
+    """Keys with at least ``hot_rows`` rows, by a mergeable frequent-items sketch (no shuffle)."""
+    tracked = config.MAX_HOT_KEYS * 16
+    found = (
+        df.where(F.col(key).isNotNull())
+        .select(F.expr(f"approx_top_k(`{key}`, {config.MAX_HOT_KEYS}, {tracked})").alias("top"))
+        .first()["top"]
+    )
+    return {item["item"]: item["count"] for item in found or [] if item["count"] >= hot_rows}
+
+
+def slice_hot_keys(df: DataFrame, key: str, instant: str, hot_rows: int | None = None) -> Sliced:
+    """Number the time slices of hot keys; every other key keeps one slice.
+
+    Rows with equal ``instant`` always share a slice and slice numbers grow with time.
+    """
+    if hot_rows is None:
+        size = estimated_bytes(df)
+        if size is not None and size < config.SMALL_INPUT_BYTES:
+            return Sliced(df, key, False)
+    limit = hot_rows or config.HOT_KEY_ROWS
+    hot = hot_keys(df, key, limit)
+    if not hot:
+        return Sliced(df, key, False)
+
+    cuts = [i / config.HOT_KEY_SLICES for i in range(1, config.HOT_KEY_SLICES)]
+    seconds = epoch_seconds(F.col(instant))
+    measured = (
+        df.where(F.col(key).isin(list(hot)))
+        .groupBy(key)
+        .agg(F.percentile_approx(seconds, cuts, 100_000).alias("cuts"))
+        .collect()  # at most MAX_HOT_KEYS rows
+    )
+    bounds = []
+    for row in measured:
+        wanted = min(config.HOT_KEY_SLICES, -(-hot[row[key]] // limit) + 1)
+        step = max(1, len(cuts) // wanted)
+        bounds.append((row[key], sorted(set(row["cuts"][::step]))))
+    spark = df.sparkSession
+    schema = f"`{key}` {df.schema[key].dataType.simpleString()}, _cuts array<bigint>"
+    table = F.broadcast(spark.createDataFrame(bounds, schema))
+    sliced = (
+        df.join(table, key, "left")
+        .withColumn(SLICE, F.when(F.col("_cuts").isNull(), 0).otherwise(_slice_of(F.col("_cuts"), seconds)))
+        .drop("_cuts")
+    )
+    # An explicit exchange: hash(key) alone would already satisfy a window on (key, slice).
+    return Sliced(sliced.repartition(key, SLICE), key, True)
+
+
+def _slice_of(cuts: Column, seconds: Column, block: int = 32) -> Column:
+    """1 + number of cuts below the value: find the block first, then look inside it."""
+    heads = F.filter(F.sequence(F.lit(1), F.size(cuts), F.lit(block)), lambda i: F.get(cuts, i - 1) < seconds)
+    start = F.greatest(F.size(heads) - 1, F.lit(0)) * block
+    inside = F.size(F.filter(F.slice(cuts, start + 1, F.lit(block)), lambda c: c < seconds))
+    return start + inside + 1
