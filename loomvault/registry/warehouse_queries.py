@@ -10,7 +10,7 @@ from ..plans import gold, semantic, vault
 from ..plans import warehouse as loaders
 from ..sources import testbed
 from .base import doubles, query
-from .ctes import AS_OF, SAT_COLUMNS, calendar, newest
+from .ctes import SAT_COLUMNS, calendar, newest
 
 MONEY = {
     "stg_orders": ("TOTAL_AMOUNT", "DISCOUNT_AMOUNT", "TAX_AMOUNT"),
@@ -186,6 +186,3 @@ def sv_product_performance(w, spark, folder):
 @query("predict_clv", f"""SELECT CUSTOMER_ID, FEATURE_PREDICTED_CLV AS PREDICTED_CLV FROM feature_store_customer""")
 def predict_clv(w, spark, folder):
     return w.feature_store_customer.select("CUSTOMER_ID", F.col("FEATURE_PREDICTED_CLV").alias("PREDICTED_CLV"))
-
-
-__all__ = ["AS_OF"]
