@@ -60,9 +60,13 @@ def read_delimited(spark: SparkSession, path: str, schema: T.StructType, sep: st
     return typed(text, schema, strict)
 
 
-def read_json(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
-    """JSON documents or arrays of them; arrays become rows, NULL members stay."""
-    reader = spark.read.option("multiLine", "true").option("mode", "PERMISSIVE")
+def read_json(spark: SparkSession, path: str, schema: T.StructType | None = None, multi_line: bool = False) -> DataFrame:
+    """JSON documents or arrays of them; arrays become rows, NULL members stay.
+
+    One document or array per line can be read in splits; ``multi_line`` is for files that hold a
+    single document or array spread over lines, each of which one task has to parse whole.
+    """
+    reader = spark.read.option("multiLine", str(multi_line).lower()).option("mode", "PERMISSIVE")
     frame = (reader.schema(schema) if schema else reader).json(path)
     return frame.select("*", F.col("_metadata.file_path").alias("_FILE_NAME"))
 

@@ -32,7 +32,9 @@ def stream_files(spark: SparkSession, stage: Stage, tables: TableFolder, name: s
 
 def stream_events(events: DataFrame, tables: TableFolder, name: str, checkpoint: str, delay: str = "1 hour") -> StreamingQuery:
     """Row-level events, each (topic, partition, offset) once while it is inside the watermark."""
-    once = events.withWatermark("_LOADED_AT", delay).dropDuplicatesWithinWatermark(["_TOPIC_NAME", "_PARTITION_ID", "_OFFSET_TOKEN"])
+    timed = events.withColumn("_event_time", F.col("_LOADED_AT").cast("timestamp"))  # watermarks need a zoned type
+    once = timed.withWatermark("_event_time", delay).dropDuplicatesWithinWatermark(
+        ["_TOPIC_NAME", "_PARTITION_ID", "_OFFSET_TOKEN"]).drop("_event_time")
 
     def load(batch: DataFrame, batch_id: int) -> None:
         tables.append(name, batch, batch_id)
@@ -42,9 +44,10 @@ def stream_events(events: DataFrame, tables: TableFolder, name: str, checkpoint:
 
 def error_trend_stream(errors: DataFrame, delay: str = "2 hours") -> DataFrame:
     """Hourly error counts that are final once the watermark has passed them."""
-    return errors.withWatermark("ERROR_TIMESTAMP", delay).groupBy(
-        F.window("ERROR_TIMESTAMP", "1 hour").alias("w"), "PROCEDURE_NAME", "SEVERITY",
+    timed = errors.withColumn("_event_time", F.col("ERROR_TIMESTAMP").cast("timestamp"))
+    return timed.withWatermark("_event_time", delay).groupBy(
+        F.window("_event_time", "1 hour").alias("w"), "PROCEDURE_NAME", "SEVERITY",
     ).agg(F.count("*").alias("ERROR_COUNT"), F.collect_set("ERROR_CODE").alias("codes")).select(
-        F.col("w.start").alias("ERROR_HOUR"), "PROCEDURE_NAME", "SEVERITY", "ERROR_COUNT",
+        F.col("w.start").cast("timestamp_ntz").alias("ERROR_HOUR"), "PROCEDURE_NAME", "SEVERITY", "ERROR_COUNT",
         F.array_join(F.sort_array("codes"), ",").alias("ERROR_CODES"),
     )
