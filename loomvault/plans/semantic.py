@@ -31,7 +31,7 @@ class Metric:
             return F.count_if(value)
         if self.kind == "AVERAGE":
             heavy = F.lit(1) if weight is None else weight
-            total = F.sum(value.cast("double") * heavy)
+            total = F.sum(value * heavy).cast("double")  # decimals add up exactly, in any order
             return total / F.nullif(F.sum(F.when(value.isNotNull(), heavy)), F.lit(0))
         if self.kind == "AVERAGE_OF_SUMS":
             return F.sum(value).cast("double") / F.nullif(F.sum(weight), F.lit(0))
@@ -114,7 +114,7 @@ def product_view(dim_product: DataFrame, fct_order_items: DataFrame) -> Semantic
     sold = fct_order_items.groupBy("PRODUCT_SK").agg(
         F.sum("QUANTITY").alias("QUANTITY"), F.sum("LINE_TOTAL").alias("LINE_TOTAL"),
         F.count("*").alias("ITEM_ROWS"),
-        F.sum(price.cast("double")).alias("PRICE_SUM"), F.count(price).alias("PRICE_ROWS"),
+        F.sum(price.cast("decimal(25,7)")).alias("PRICE_SUM"), F.count(price).alias("PRICE_ROWS"),
     )
     base = dim_product.join(sold, "PRODUCT_SK", "left").withColumn("LINES", F.coalesce("ITEM_ROWS", F.lit(1)))
     return SemanticView(

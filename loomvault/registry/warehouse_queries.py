@@ -154,13 +154,12 @@ def secure_customer_profiles(w, spark, folder):
 
 # ---- metric layer ---------------------------------------------------------------------------
 @query("sv_customer_360", """SELECT COUNTRY_CODE AS country, CUSTOMER_SEGMENT AS segment, LOYALTY_TIER AS loyalty_tier, RFM_SEGMENT AS rfm_segment, LTV_TIER AS ltv_tier,
-  CAST(sum(TOTAL_REVENUE) AS DOUBLE) AS total_revenue, round(avg(CAST(AVG_ORDER_VALUE AS DOUBLE)), 6) AS avg_order_value, CAST(sum(TOTAL_ORDERS) AS BIGINT)::DOUBLE AS total_orders,
+  CAST(sum(TOTAL_REVENUE) AS DOUBLE) AS total_revenue, CAST(sum(CAST(AVG_ORDER_VALUE AS DECIMAL(22,8))) AS DOUBLE) / count(*) AS avg_order_value, CAST(sum(TOTAL_ORDERS) AS BIGINT)::DOUBLE AS total_orders,
   count(*) FILTER (WHERE IS_ACTIVE) AS active_customers, count(*) FILTER (WHERE CHURN_RISK = 'HIGH') / count(*) AS churn_rate
 FROM dim_customer GROUP BY ALL""")
 def sv_customer_360(w, spark, folder):
     view = semantic.customer_view(w.dim_customer)
-    out = semantic.semantic_query(view, list(view.metrics), list(view.dimensions))
-    return out.withColumn("avg_order_value", F.round("avg_order_value", 6))
+    return semantic.semantic_query(view, list(view.metrics), list(view.dimensions))
 
 
 @query("sv_revenue_analytics", """SELECT CAST(date_trunc('month', ORDER_DATE) AS DATE) AS order_date, CURRENCY_CODE AS currency, LIFECYCLE_STAGE AS lifecycle_stage,
@@ -174,13 +173,12 @@ def sv_revenue_analytics(w, spark, folder):
 
 
 @query("sv_product_performance", """SELECT p.CATEGORY AS category, p.SUBCATEGORY AS subcategory, p.BRAND AS brand, p.IS_ACTIVE AS is_active, CAST(sum(i.QUANTITY) AS DOUBLE) AS units_sold,
-  CAST(sum(i.LINE_TOTAL) AS DOUBLE) AS product_revenue, round(avg(p.MARGIN_PERCENT), 6) AS margin_percent,
-  round(avg(CAST(i.LINE_TOTAL AS DOUBLE) / nullif(i.QUANTITY, 0)), 6) AS avg_selling_price
+  CAST(sum(i.LINE_TOTAL) AS DOUBLE) AS product_revenue, CAST(sum(CAST(p.MARGIN_PERCENT AS DECIMAL(18,2))) AS DOUBLE) / count(p.MARGIN_PERCENT) AS margin_percent,
+  CAST(sum((CAST(i.LINE_TOTAL * 10000 AS HUGEINT) * 2000 + CAST(i.QUANTITY AS HUGEINT)) // (2 * CAST(i.QUANTITY AS HUGEINT))) AS DOUBLE) / 1e7 / count(i.LINE_TOTAL) AS avg_selling_price
 FROM dim_product p LEFT JOIN fct_order_items i ON p.PRODUCT_SK = i.PRODUCT_SK GROUP BY ALL""")
 def sv_product_performance(w, spark, folder):
     view = semantic.product_view(w.dim_product, w.fct_order_items)
-    out = semantic.semantic_query(view, list(view.metrics), list(view.dimensions))
-    return out.withColumns({c: F.round(c, 6) for c in ("margin_percent", "avg_selling_price")})
+    return semantic.semantic_query(view, list(view.metrics), list(view.dimensions))
 
 
 @query("predict_clv", f"""SELECT CUSTOMER_ID, FEATURE_PREDICTED_CLV AS PREDICTED_CLV FROM feature_store_customer""")
