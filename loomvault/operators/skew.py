@@ -27,6 +27,15 @@ def estimated_bytes(df: DataFrame) -> int | None:
         return None
 
 
+def scanned_bytes(df: DataFrame) -> int | None:
+    """Size of the stored data a frame is computed from: join estimates multiply, this does not."""
+    try:
+        leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+        return sum(int(leaves.apply(i).stats().sizeInBytes()) for i in range(leaves.size()))
+    except Exception:
+        return None
+
+
 def fits_broadcast(df: DataFrame, limit: int = config.BROADCAST_BYTES) -> bool:
     size = estimated_bytes(df)
     return size is not None and size <= limit
@@ -67,7 +76,7 @@ def slice_hot_keys(df: DataFrame, key: str, instant: str, hot_rows: int | None =
     Rows with equal ``instant`` always share a slice and slice numbers grow with time.
     """
     if hot_rows is None:
-        size = estimated_bytes(df)
+        size = scanned_bytes(df)
         if size is not None and size < config.SMALL_INPUT_BYTES:
             return Sliced(df, key, False)
     limit = hot_rows or config.HOT_KEY_ROWS

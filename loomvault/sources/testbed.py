@@ -9,16 +9,28 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.dates import add_days, add_hours, at
+from ..operators.skew import scanned_bytes
 
 AS_OF_ORDERS = "2001-08-02 00:00:00"
 AS_OF_EVENTS = "2024-01-31 00:00:00"
 _EPOCH = "1995-01-01 00:00:00"
+SPREAD_BYTES = 16 << 20
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def _spread(df: DataFrame, *key: str) -> DataFrame:
+    """A table stored in a few splits is dealt out to all cores before rows are widened and hashed.
+
+    Only small tables: a large one already has more splits than cores and is read where it lies.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    size = scanned_bytes(df)
+    return df.repartition(cores, *key) if size is not None and size < cores * SPREAD_BYTES else df
+
+
 def _text(name: str):
     return F.col(name).cast("string")
 
@@ -34,7 +46,7 @@ def raw_customers(spark: SparkSession, folder: str) -> DataFrame:
         F.col("c_custkey").alias("k"), F.lit(None).cast("string").alias("et"), F.lit(0.0).alias("val"),
         F.lit(0).alias("ev"), at(_EPOCH).alias("ts"),
     )
-    later = table(spark, folder, "events").select(
+    later = _spread(table(spark, folder, "events"), "event_id").select(
         F.col("user_id").alias("k"), F.col("event_type").alias("et"), F.col("value").alias("val"),
         (F.col("event_id") % 3).cast("int").alias("ev"), "ts",
     )
@@ -76,7 +88,7 @@ def raw_orders(spark: SparkSession, folder: str) -> DataFrame:
         F.when(key % 29 == 0, F.struct(F.lit(5).alias("i"), F.lit("refunded").alias("st"))),
     ))
     total = F.expr("cast(floor(o_totalprice / 10) / 100d as decimal(18,4))")
-    versions = table(spark, folder, "orders").withColumn("total", total).select("*", F.explode(steps).alias("s")).select("*", "s.*")
+    versions = _spread(table(spark, folder, "orders"), "o_orderkey").withColumn("total", total).select("*", F.explode(steps).alias("s")).select("*", "s.*")
     return _with_load_metadata(versions.select(
         F.concat(F.lit(" o"), _text("o_orderkey")).alias("ORDER_ID"),
         F.concat(F.lit("c"), _text("o_custkey"), F.lit(" ")).alias("CUSTOMER_ID"),
@@ -99,7 +111,7 @@ def raw_orders(spark: SparkSession, folder: str) -> DataFrame:
 
 def raw_products(spark: SparkSession, folder: str) -> DataFrame:
     key = F.col("p_partkey")
-    versions = table(spark, folder, "part").select(
+    versions = _spread(table(spark, folder, "part"), "p_partkey").select(
         "*", F.explode(F.when(key % 3 == 0, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))).alias("i")
     )
     price = F.col("p_retailprice").cast("decimal(18,4)")
@@ -124,7 +136,7 @@ def raw_products(spark: SparkSession, folder: str) -> DataFrame:
 
 def raw_order_items(spark: SparkSession, folder: str) -> DataFrame:
     line, price = F.col("l_linenumber"), F.col("l_extendedprice")
-    return _with_load_metadata(table(spark, folder, "lineitem").select(
+    return _with_load_metadata(_spread(table(spark, folder, "lineitem"), "l_orderkey", "l_linenumber").select(
         F.concat_ws("-", _text("l_orderkey"), _text("l_linenumber"), _text("l_partkey"), _text("l_suppkey"),
                     price.cast("decimal(18,4)").cast("string"),
                     F.to_date("l_shipdate").cast("string")).alias("ORDER_ITEM_ID"),
