@@ -51,14 +51,14 @@ def with_bucket(df: DataFrame, key: str, buckets: int) -> DataFrame:
 
 
 def refresh_pit(tables: TableFolder, touched: DataFrame, key: str, hub: str, satellites: Mapping[str, str], pit: str,
-                buckets: int = 64) -> DataFrame:
+                buckets: int = 64, with_hash_diff: bool = True) -> DataFrame:
     """Rebuild the PIT rows of the touched keys only; the rest of the table is not read for them."""
     keys = touched.select(key).distinct()
 
     def of(name: str) -> DataFrame:
         return tables.read(name).join(keys, key, "left_semi")
 
-    rows = vault.load_pit(of(hub), key, {alias: of(name) for alias, name in satellites.items()})
+    rows = vault.load_pit(of(hub), key, {alias: of(name) for alias, name in satellites.items()}, with_hash_diff)
     return tables.upsert(pit, with_bucket(rows, key, buckets), [key, "PIT_LOAD_DATETIME"], BUCKET)
 
 
