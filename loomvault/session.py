@@ -13,6 +13,8 @@ SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # join without sorting where the measured shuffle shows that every build partition is small
+    "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": str(64 << 20),
     # split a skewed join input even when that costs one more exchange afterwards
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
