@@ -10,6 +10,7 @@ from ..functions import dates
 from ..functions.keys import surrogate_key
 from ..functions.scoring import predict_clv
 from ..operators.ranking import global_ranks, percent_rank_of
+from ..session import cut_lineage
 from .silver import current
 
 
@@ -176,6 +177,7 @@ def agg_customer_ltv(customers: DataFrame, orders: DataFrame, as_of: str) -> Dat
         "LIFETIME_SPEND": F.coalesce(F.col("TOTAL_SPEND"), F.lit(0)).cast("decimal(30,4)"),
         "TENURE_MONTHS": F.coalesce(dates.months_between(F.col("FIRST_ORDER_DATE"), F.col("LAST_ORDER_DATE")), F.lit(0)),
     })
+    base = cut_lineage(base)  # read by the ranking and by the join
     ranks, rows = global_ranks(base.select("HK_CUSTOMER", "LIFETIME_SPEND"), "HK_CUSTOMER", {"SPEND": F.col("LIFETIME_SPEND")})
     lasted = F.col("TENURE_MONTHS") > 0
     months = F.col("TENURE_MONTHS").cast("decimal(10,0)")

@@ -10,6 +10,7 @@ from ..functions import scoring
 from ..functions.dates import at, days_between, hours_between
 from ..operators.history import latest_per_key
 from ..operators.ranking import global_ranks, ntile_of
+from ..session import cut_lineage
 
 MONEY_AVG = "decimal(22,8)"
 
@@ -114,6 +115,8 @@ def bv_customer_classification(hub_customer: DataFrame, details: DataFrame, demo
                                  "LOAD_DATETIME"), "HK_CUSTOMER").drop("LOAD_DATETIME")
     what = current(demographics.select("HK_CUSTOMER", "CUSTOMER_SEGMENT", "LOYALTY_TIER", "LOAD_DATETIME"),
                    "HK_CUSTOMER").drop("LOAD_DATETIME")
+    # One row per customer, read by the ranking and by the join: the order joins below it run once.
+    history = cut_lineage(history)
     scored = history.join(rfm_scores(history), "HK_CUSTOMER")
     base = (
         hub_customer.select("HK_CUSTOMER", "CUSTOMER_ID")

@@ -26,6 +26,11 @@ def warehouse(spark: SparkSession, folder: str) -> Warehouse:
     return per_session[folder]
 
 
+def forget_warehouses() -> None:
+    """Drop the built frames, and with them what they checkpointed."""
+    _WAREHOUSES.clear()
+
+
 def present(df: DataFrame) -> DataFrame:
     """Driver-neutral output types: decimals as doubles, open-ended instants as text."""
     out = []
