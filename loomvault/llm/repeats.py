@@ -33,6 +33,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
+from ..session import cut_lineage
 from .common import named, without
 
 LENGTH = 200
@@ -40,7 +41,7 @@ GRAM = 32
 # Windows of one context, contexts of one slice, bytes of one suffix array.
 CONTEXT = 1024
 SLICE = 4096
-SHARD = 4 << 20
+SHARD = 1 << 20
 # Places of a text whose anchors are found at once.
 PIECE = 1 << 20
 SPAN = T.ArrayType(T.StructType([T.StructField("start", T.LongType()), T.StructField("end", T.LongType())]))
@@ -195,7 +196,7 @@ def find_repeats(df: DataFrame, key: str = "doc_id", text: str = "text", length:
     wanted = [F.count("*").alias("m"), (F.min("context") != F.max("context")).alias("differ"), F.max("twice").alias("twice")]
     dup = (found.groupBy("anchor").agg(*wanted, *([F.min(head).alias("head")] if first else []))
            .withColumn("mixed", F.expr("differ or twice")).filter("m > 1 or mixed").drop("m", "differ", "twice"))
-    hits = found.drop("twice").join(dup, "anchor")
+    hits = cut_lineage(found.drop("twice").join(dup, "anchor"))
     whole = hits.filter("not mixed").filter(head != F.col("head")) if first else hits.filter("not mixed")
     spans = whole.select("__key", "__mark", F.col("start").alias("lo"), (F.col("start") + F.col("n") + length - 1).alias("hi"))
 
@@ -259,8 +260,8 @@ def find_repeats(df: DataFrame, key: str = "doc_id", text: str = "text", length:
                     out.append((anchor, context, None, None, own_key, mark, start, o, h - (1 << 64) if h >> 63 else h))
         return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*out), result_schema)], schema=result_schema)
 
-    solved = (pieces.repartition(width, "anchor", "slice").sortWithinPartitions("anchor", "slice", "__key", "__mark", "start")
-              .mapInArrow(sort, result))
+    solved = cut_lineage(pieces.repartition(width, "anchor", "slice").sortWithinPartitions("anchor", "slice", "__key", "__mark", "start")
+                         .mapInArrow(sort, result))
     side = "head_spans" if first else "spans"
     local = solved.filter("window is null").select("anchor", "context", F.explode(side).alias("s")).select("anchor", "context", "s.start", "s.end")
     # windows that several slices have
