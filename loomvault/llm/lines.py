@@ -1,13 +1,14 @@
 """Near-duplicate line removal by a deletion-neighbourhood join, in DataFrame functions only.
 
-The lines of all documents are the parts between line breaks. Two lines are near if they are equal, or
+The lines of all documents are the parts between line breaks, the words of a line those between spaces. Two lines are near if they are equal, or
 if one edit of a word (put in, left out or changed) makes them equal and the longer has at least
 ``LEAST`` words. A line goes if an earlier line, in the order of (key, text hash, place), is near it;
 blank lines stay. Every line is judged on the input, not on what is left.
 
 1. Equal lines meet in a partial minimum of their place, so that a very common line is one row per task.
 2. One edit leaves the first or the second half of a line as it is. Lines whose halves nobody else has
-   have no near line; the others go on. This is exact for the bound of one edit.
+   have no near line. Of the others, those go on that share all but one of eight parts with another
+   line. Both are exact for the bound of one edit.
 3. Each of these lines gives all its variants with one word left out, and itself, as hashed keys.
    Changed words: equal variants at equal places. Words put in or left out: a variant that equals a
    whole line. For a group of equal keys only the earliest line is kept as partner.
@@ -29,32 +30,42 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import named, without
+from .common import named, stored
 
 LEAST = 8
 
 
 def _words(line: Column) -> Column:
-    return F.filter(F.split(line, r"\s+"), lambda w: w != "")
+    return F.filter(F.split(line, " "), lambda w: w != "")
 
 
-def _half_keys(words: Column) -> Column:
-    """Hashes of the parts that one edit cannot touch both of, for a partner as long, and one word shorter or longer.
+def _blank(line: Column) -> Column:
+    return F.btrim(line, F.lit(" \t\r\f\x0b")) == ""
 
-    Both lines of a pair name the length of the shorter one, n: its first n/2 words or its last n - n/2
-    stand in the longer one too.
+
+def _piece_keys(words: Column, pieces: int) -> Column:
+    """Hashes of a line less one of ``pieces`` parts, for partners as long, and one word longer or shorter.
+
+    Both lines of a pair count in n, the length of the shorter one. The edit falls in one of the pieces
+    of n words; without that piece, which has one word more in the longer line, the lines are equal.
     """
-    def of(n: Column) -> list[Column]:
-        h = F.floor(n / 2).cast("int")
-        return [F.xxhash64(F.lit(1), n, F.slice(words, F.lit(1), h)),
-                F.xxhash64(F.lit(2), n, F.slice(words, F.size(words) - (n - h) + 1, n - h))]
-    n = F.size(words)
-    return F.array(*of(n), *of(n - 1))
+    def of(n: Column, more: int) -> list[Column]:
+        bounds = [F.floor(n * i / pieces).cast("int") for i in range(pieces + 1)]
+        return [F.xxhash64(F.lit(i), F.concat(F.slice(words, F.lit(1), bounds[i]), F.slice(words, bounds[i + 1] + 1 + more, n - bounds[i + 1])))
+                for i in range(pieces)]
+    return F.array_distinct(F.array(*of(F.size(words), 0), *of(F.size(words) - 1, 1)))
+
+
+def _sharing(keyed: DataFrame) -> DataFrame:
+    """The lines (first) that have one of their ``keys`` in common with another line."""
+    each = keyed.select("first", F.explode("keys").alias("k"))
+    shared = each.groupBy("k").agg(F.count("*").alias("c")).filter("c > 1").select("k")
+    return each.join(shared, "k").select("first.*").distinct()
 
 
 def _keyed(docs: DataFrame, key: str, text: str) -> DataFrame:
     body = named(text).cast("string")
-    return docs.select(named(key).alias("__key"), F.xxhash64(F.coalesce(body, F.lit(""))).alias("__mark"), body.alias("__text"))
+    return docs.select(named(key).alias("__key"), F.hash(F.coalesce(body, F.lit(""))).alias("__mark"), body.alias("__text"))
 
 
 def _per_doc(docs: DataFrame, per_doc: DataFrame, how: str) -> DataFrame:
@@ -74,15 +85,15 @@ def _lines_at(texts: DataFrame, places: DataFrame) -> DataFrame:
 
 
 def _variants(lines: DataFrame) -> DataFrame:
-    """(v1, v2, at, first): both hashes of each variant, the place left out (-1: none) and the line.
+    """(v, at, first): the hash of each variant, the place left out (-1: none) and the line.
 
     A word at place j counts h(word, j) before the place left out and h(word, j - 1) after it, so the
-    sum over a line names the words that stay in their order, whatever was left out.
+    sums over a line name the words that stay in their order, whatever was left out.
     """
     def h(word: Column, place: Column, salt: int) -> Column:
         return F.shiftrightunsigned(F.xxhash64(F.lit(salt), word, place), 24)  # 40 bits: sums of 2^23 words fit
 
-    words = (lines.withColumn("words", _words(F.col("line"))).withColumn("n", F.size("words")).filter(F.col("n") >= LEAST - 1)
+    words = (lines.repartition("__mark").withColumn("words", _words(F.col("line"))).withColumn("n", F.size("words")).filter(F.col("n") >= LEAST - 1)
              .select("__key", "__mark", "pos", "n", F.posexplode("words").alias("at", "word")))
     line = Window.partitionBy("__key", "__mark", "pos").orderBy("at")
     before, upto = line.rowsBetween(Window.unboundedPreceding, -1), line.rowsBetween(Window.unboundedPreceding, 0)
@@ -95,12 +106,12 @@ def _variants(lines: DataFrame) -> DataFrame:
         sums[f"own{salt}"] = here
     first = F.struct("__key", "__mark", "pos").alias("first")
     summed = words.withColumns(sums)
-    left_out = F.struct((F.col("b1") + F.col("a1")).alias("v1"), (F.col("b2") + F.col("a2")).alias("v2"), F.col("at"))
+    left_out = F.struct(F.xxhash64(F.col("b1") + F.col("a1"), F.col("b2") + F.col("a2")).alias("v"), F.col("at"))
     # the last word of a line also gives the whole line
-    whole = F.struct((F.col("b1") + F.col("own1")).alias("v1"), (F.col("b2") + F.col("own2")).alias("v2"), F.lit(-1).alias("at"))
+    whole = F.struct(F.xxhash64(F.col("b1") + F.col("own1"), F.col("b2") + F.col("own2")).alias("v"), F.lit(-1).alias("at"))
     out = F.when((F.col("at") == F.col("n") - 1) & (F.col("n") >= LEAST), F.array(left_out, whole)).when(
         F.col("at") == F.col("n") - 1, F.array(whole)).when(F.col("n") >= LEAST, F.array(left_out))
-    return summed.select(first, F.explode(out).alias("v")).select("first", "v.v1", "v.v2", "v.at")
+    return summed.select(first, F.explode(out).alias("w")).select("first", "w.v", "w.at")
 
 
 def _one_edit(a: Column, b: Column) -> Column:
@@ -119,30 +130,26 @@ def _one_edit(a: Column, b: Column) -> Column:
 
 def _near(texts: DataFrame, distinct: DataFrame) -> DataFrame:
     """The distinct lines (first) that have an earlier line within one edit."""
-    halves = distinct.filter(F.col("halves").isNotNull()).select("first", F.explode("halves").alias("half"))
-    shared = halves.groupBy("half").agg(F.count("*").alias("c")).filter("c > 1").select("half")
-    likely = halves.join(shared, "half").select("first.*").distinct()
-    variants = _variants(_lines_at(texts, likely))
-
-    # changed words: the earliest of equal variants at equal places
-    left_out = variants.filter("at >= 0")
-    least = left_out.groupBy("v1", "v2", "at").agg(F.min("first").alias("other"), F.count("*").alias("c")).filter("c > 1").drop("c")
-    changed = left_out.join(least, ["v1", "v2", "at"]).filter(F.col("other") < F.col("first")).select("first", "other")
-    # words put in or left out: a variant that is a whole line
-    whole = variants.filter("at < 0").groupBy("v1", "v2").agg(F.min("first").alias("whole"))
-    longer = left_out.join(whole, ["v1", "v2"]).select("v1", "v2", "first", "whole")
-    earlier_whole = longer.filter(F.col("whole") < F.col("first")).select("first", F.col("whole").alias("other"))
-    earlier_longer = (longer.groupBy("whole").agg(F.min("first").alias("other")).filter(F.col("other") < F.col("whole"))
-                      .select(F.col("whole").alias("first"), "other"))
-    pairs = changed.unionByName(earlier_whole).unionByName(earlier_longer).distinct()
+    halves = stored(_sharing(distinct.filter(F.col("halves").isNotNull()).withColumnRenamed("halves", "keys")), "lines-halves")
+    likely = _lines_at(texts, halves).repartition("__mark")  # dealt once for all that follows
+    place = ["__key", "__mark", "pos"]
+    eighths = _sharing(likely.select(F.struct(*place).alias("first"), _piece_keys(_words(F.col("line")), 8).alias("keys")))
+    likely = likely.join(eighths.withColumnsRenamed({c: f"{c}_" for c in place}), (F.col("pos") == F.col("pos_"))
+                         & (F.col("__mark") == F.col("__mark_")) & F.col("__key").eqNullSafe(F.col("__key_")), "left_semi")
+    variants = _variants(likely)
+
+    # The earliest line of each variant and place. A variant meets that of its own place (a changed word)
+    # and the whole line it equals (a word put in or left out): the later of both has an earlier partner.
+    least = variants.groupBy("v", "at").agg(F.min("first").alias("other")).withColumnRenamed("at", "there")
+    met = variants.filter("at >= 0").join(least, "v").filter((F.col("there") == F.col("at")) | (F.col("there") < 0)).filter(F.col("first") != F.col("other"))
+    pairs = met.select(F.greatest("first", "other").alias("first"), F.least("first", "other").alias("other")).distinct()
 
     # the words of both lines of a pair
-    one = _lines_at(texts, pairs.select("first.*")).distinct()
-    two = _lines_at(texts, pairs.select("other.*")).distinct()
-    at = F.struct("__key", "__mark", "pos")
-    met = pairs.join(one.select(at.alias("first"), F.col("line").alias("a")), "first").join(
-        two.select(at.alias("other"), F.col("line").alias("b")), "other")
-    return met.filter(_one_edit(_words(F.col("a")), _words(F.col("b")))).select("first").distinct()
+    read = likely.select(F.struct(*place).alias("line_at"), _words(F.col("line")).alias("words"))
+    sides = pairs.select("first", "other", F.explode(F.array("first", "other")).alias("line_at")).join(read, "line_at")
+    met = sides.groupBy("first", "other").agg(F.max(F.when(F.col("line_at") == F.col("first"), F.col("words"))).alias("a"),
+                                              F.max(F.when(F.col("line_at") == F.col("other"), F.col("words"))).alias("b"))
+    return met.filter(_one_edit(F.col("a"), F.col("b"))).select("first").distinct()
 
 
 def dedup_lines(df: DataFrame, key: str = "doc_id", text: str = "text", max_edits: int = 1) -> DataFrame:
@@ -154,13 +161,13 @@ def dedup_lines(df: DataFrame, key: str = "doc_id", text: str = "text", max_edit
         raise ValueError("max_edits is 0 or 1")
     texts = _keyed(df, key, text)
     every = texts.filter("__text is not null").select("__key", "__mark", F.posexplode(F.split("__text", "\n", -1)).alias("pos", "line"))
-    every = every.withColumn("trimmed", F.regexp_replace("line", r"^\s+|\s+$", "")).filter("trimmed <> ''")
+    every = every.filter(~_blank(F.col("line")))
     words = F.col("words")
-    halves = F.when(F.size(words) >= LEAST - 1, _half_keys(words)) if max_edits else F.lit(None).cast("array<bigint>")
+    halves = F.when(F.size(words) >= LEAST - 1, _piece_keys(words, 2)) if max_edits else F.lit(None).cast("array<bigint>")
     hashed = every.withColumn("words", _words(F.col("line"))).select(
         F.xxhash64("line").alias("l1"), F.xxhash64(F.lit(7), "line").alias("l2"), F.struct("__key", "__mark", "pos").alias("first"), halves.alias("halves"))
     # equal lines have equal halves: the earliest brings its own
-    distinct = (hashed.groupBy("l1", "l2").agg(F.min(F.struct("first", "halves")).alias("m")).select("m.first", "m.halves"))
+    distinct = stored(hashed.groupBy("l1", "l2").agg(F.min(F.struct("first", "halves")).alias("m")).select("m.first", "m.halves"), "lines")
     kept = distinct.select("first")
     if max_edits:
         kept = kept.join(_near(texts, distinct), "first", "left_anti")
@@ -169,13 +176,12 @@ def dedup_lines(df: DataFrame, key: str = "doc_id", text: str = "text", max_edit
     lines = F.split("__text", "\n", -1)
     # a place stays if it is kept or blank; the places of a document are looked up in a map
     marks = F.map_from_entries(F.transform(F.coalesce("kept", F.array().cast("array<int>")), lambda p: F.struct(p, F.lit(True))))
-    blank = lambda line: F.regexp_replace(line, r"^\s+|\s+$", "") == ""
-    stay = F.filter(F.transform("lines", lambda x, i: F.struct(x.alias("x"), (F.element_at("marks", i).isNotNull() | blank(x)).alias("keep"))), lambda s: s["keep"])
+    stay = F.filter(F.transform("lines", lambda x, i: F.struct(x.alias("x"), (F.element_at("marks", i).isNotNull() | _blank(x)).alias("keep"))), lambda s: s["keep"])
     others = [c for c in df.columns if c.lower() not in ("n_lines", "n_removed")]
     extra = [c for c in others if c not in (key, text)]
     if extra:
         body = named(text).cast("string")
-        source = df.select(*map(named, others), named(key).alias("__key"), F.xxhash64(F.coalesce(body, F.lit(""))).alias("__mark"), body.alias("__text"))
+        source = df.select(*map(named, others), named(key).alias("__key"), F.hash(F.coalesce(body, F.lit(""))).alias("__mark"), body.alias("__text"))
     else:
         source = texts  # the shuffled texts serve all reads
     joined = _per_doc(source, kept, "left").withColumn("lines", lines).withColumn("marks", marks).withColumn("stay", stay)
