@@ -122,8 +122,6 @@ def benchmark_decontamination(spark: SparkSession, folder: str) -> DataFrame:
 
 @query("op10_bpe")
 def bpe_query(spark: SparkSession, folder: str) -> DataFrame:
-    path = public_tokenizers.path(TOKENIZER)
-    ids = bpe.bpe_encode(documents(spark, folder), path).drop("text")
-    out = bpe.bpe_decode(ids, path)
+    out = bpe.bpe_encode(documents(spark, folder), public_tokenizers.path(TOKENIZER), decoded=True)
     return out.select("doc_id", "n_tokens", F.sha2(F.array_join(F.col("token_ids").cast("array<string>"), " "), 256).alias("ids_sha256"),
                       F.sha2("decoded", 256).alias("decoded_sha256"))
