@@ -42,8 +42,8 @@ def remove_benchmark_text(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids and the text that they decode to."""
-    path = public_tokenizers.path(TOKENIZER)
-    return bpe.bpe_decode(bpe.bpe_encode(docs, path), path).select("doc_id", "lang", "source", "token_ids", "n_tokens", "decoded")
+    out = bpe.bpe_encode(docs, public_tokenizers.path(TOKENIZER), decoded=True)
+    return out.select("doc_id", "lang", "source", "token_ids", "n_tokens", "decoded")
 
 
 STAGES = [
