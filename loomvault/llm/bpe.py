@@ -24,8 +24,9 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
-from .common import add_columns, chunks
+from .common import add_columns, by_place, chunks, map_in_arrow, named
 
 END = "</w>"
 # White space as the tokenizer's pattern language has it (fixed values).
@@ -269,16 +270,17 @@ def bpe_decode(df: DataFrame, path: str, ids: str = "token_ids") -> DataFrame:
     """``df`` with ``decoded``, the text of a column of token ids; null ids decode to the empty text."""
     shared = _Shared(df.sparkSession, path)
     out = T.StructType([f for f in df.schema.fields if f.name.lower() != "decoded"] + DECODED.fields)
-    source = df.select(*(f"`{f.name}`" for f in out.fields[:-1]))
+    source = df.select(*(named(f.name) for f in out.fields[:-1]))
+    at, schema = source.columns.index(ids), to_arrow_schema(out)
 
     def rows(batches):
         for batch in batches:
-            column = batch.column(batch.schema.get_field_index(ids))
+            column = batch.column(at)
             sizes = pa.compute.fill_null(pa.compute.list_value_length(column), 0).to_pylist()
             for lo, hi in chunks(sizes, IDS_KEPT):
                 part, encoder, texts = batch.slice(lo, hi - lo), _encoder(shared), []
                 for k in range(lo, hi):
                     texts.append(encoder.decode(column[k].values.to_numpy(zero_copy_only=False).tolist()) if column[k].is_valid else "")
-                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(texts, pa.string())], [*batch.schema.names, "decoded"])
+                yield by_place([*part.columns, pa.array(texts, pa.string())], schema)
 
-    return source.mapInArrow(rows, out)
+    return map_in_arrow(source, rows, out)

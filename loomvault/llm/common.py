@@ -50,6 +50,18 @@ def chunks(sizes: list[int], most: int = CHUNK_CHARS) -> Iterator[tuple[int, int
         yield start, len(sizes)
 
 
+def map_in_arrow(df: DataFrame, fn: Callable, out: T.StructType) -> DataFrame:
+    """``mapInArrow`` for columns of any name: ``fn`` sees and gives columns by position, named c0, c1 and so on."""
+    plain = T.StructType([T.StructField(f"c{k}", f.dataType, True) for k, f in enumerate(out.fields)])
+    return df.toDF(*(f"c{k}" for k in range(len(df.columns)))).mapInArrow(fn, plain).toDF(*out.names)
+
+
+def by_place(arrays: list, schema: pa.Schema) -> pa.RecordBatch:
+    """A batch of these columns, named by place, in the types of ``schema``."""
+    cast = [c.cast(f.type) if c.type != f.type else c for c, f in zip(arrays, schema, strict=True)]
+    return pa.RecordBatch.from_arrays(cast, [f"c{k}" for k in range(len(cast))])
+
+
 def add_columns(df: DataFrame, text: str, fields: T.StructType, fn: Callable[[list], list], keep_text: bool = True) -> DataFrame:
     """``df`` with columns computed from one text column in Arrow batches, with no shuffle.
 
@@ -72,11 +84,9 @@ def add_columns(df: DataFrame, text: str, fields: T.StructType, fn: Callable[[li
             for lo, hi in chunks(sizes):
                 part = batch.slice(lo, hi - lo)
                 new = fn(part.column(part.num_columns - 1).to_pylist())
-                yield pa.RecordBatch.from_arrays(
-                    [c.cast(f.type) if c.type != f.type else c for c, f in zip([*part.columns[:-1], *new], schema, strict=True)],
-                    schema=pa.schema([pa.field(f.name, f.type, True, f.metadata) for f in schema]))
+                yield by_place([*part.columns[:-1], *new], schema)
 
-    return source.mapInArrow(rows, out)
+    return map_in_arrow(source, rows, out)
 
 
 def bucket_of_fold(doc_id: Column) -> Column:

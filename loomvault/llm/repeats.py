@@ -34,7 +34,7 @@ from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
 from ..session import cut_lineage
-from .common import named, without
+from .common import by_place, map_in_arrow, named, without
 
 LENGTH = 200
 GRAM = 32
@@ -309,10 +309,9 @@ def find_repeats(df: DataFrame, key: str = "doc_id", text: str = "text", length:
                 n_bytes.append(len(data))
                 runs.append([{"start": a, "end": b} for a, b in merged])
                 kept.append(b"".join(data[a:b] for a, b in zip(edges[::2], edges[1::2])))
-            yield pa.RecordBatch.from_arrays([*batch.columns[:-2], *(pa.array(c, f.type) for c, f in zip((n_bytes, runs, kept), list(out_schema)[-3:]))],
-                                             schema=out_schema)
+            yield by_place([*batch.columns[:-2], *(pa.array(c, f.type) for c, f in zip((n_bytes, runs, kept), list(out_schema)[-3:]))], out_schema)
 
-    return joined.mapInArrow(apply, out)
+    return map_in_arrow(joined, apply, out)
 
 
 def _rows(batch: pa.RecordBatch, owner: list, columns: list, schema: pa.Schema) -> pa.RecordBatch:
