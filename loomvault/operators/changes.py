@@ -13,10 +13,6 @@ ACTION, IS_UPDATE, ROW_ID = "_ACTION", "_IS_UPDATE", "_ROW_ID"
 FEED_COLUMNS = (ACTION, IS_UPDATE, ROW_ID)
 
 
-def _same_row(columns: Sequence[str]):
-    return F.sha2(F.to_json(F.struct(*columns), {"ignoreNullFields": "false"}), 256)
-
-
 def merge_upsert(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Matched rows take the source's values, unmatched source rows are added.
 
@@ -30,13 +26,13 @@ def merge_upsert(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> D
 def change_feed(before: DataFrame, after: DataFrame, keys: Sequence[str], append_only: bool = False) -> DataFrame:
     """Net changes between two versions: an update is a DELETE of the old and an INSERT of the new row."""
     columns = after.columns
-    old = before.select(*keys, F.struct(*columns).alias("_old"), _same_row(columns).alias("_old_hash"))
-    new = after.select(*keys, F.struct(*columns).alias("_new"), _same_row(columns).alias("_new_hash"))
+    old = before.select(*keys, F.struct(*columns).alias("_old"))
+    new = after.select(*keys, F.struct(*columns).alias("_new"))
     if append_only:
         added = new.join(old.select(*keys), list(keys), "left_anti")
         pairs = added.select(*keys, F.lit("INSERT").alias(ACTION), F.lit(False).alias(IS_UPDATE), F.col("_new").alias("_row"))
     else:
-        both = old.join(new, list(keys), "full_outer").where("not (_old_hash <=> _new_hash)")
+        both = old.join(new, list(keys), "full_outer").where("not (_old <=> _new)")
         update = F.col("_old").isNotNull() & F.col("_new").isNotNull()
         sides = F.array(
             F.when(F.col("_old").isNotNull(), F.struct(F.lit("DELETE").alias("a"), F.col("_old").alias("r"))),

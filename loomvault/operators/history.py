@@ -105,8 +105,8 @@ def drop_repeats(df: DataFrame, key: str, instant: str, mark: str, ties: Sequenc
     else:
         ordered = Window.partitionBy(key).orderBy(*order)
         marked = (
-            sliced.rows.withColumn("_before", F.lag(instant).over(ordered))
-            .where(F.col("_before").isNull() | (F.col("_before") != F.col(instant)))
+            sliced.rows.withColumns({"_before": F.lag(instant).over(ordered), "_nth": F.row_number().over(ordered)})
+            .where((F.col("_nth") == 1) | ~F.col("_before").eqNullSafe(F.col(instant)))  # equal instants once, NULL too
             .withColumns({"_seen_at": F.lag(instant).over(ordered), "_seen": F.lag(mark).over(ordered)})
         )
     before = F.col("_seen")
@@ -121,14 +121,17 @@ def asof_join(left: DataFrame, right: DataFrame, key: str, left_time: str, right
     """For each left row the latest right row with ``right_time <= left_time``.
 
     Both sides go through one exchange as a single stream of rows; nothing is compared pairwise.
-    Right rows sharing an instant must be unique per key.
+    Right rows sharing an instant must be unique per key. A NULL key matches nothing: such left rows
+    take NULLs without passing through the window.
     """
+    loose = left.where(F.col(key).isNull()).select("*", *[F.lit(None).cast(right.schema[c].dataType).alias(c) for c in (right_time, *columns)])
+    left, right = left.where(F.col(key).isNotNull()), right.where(F.col(key).isNotNull())
     carried = F.struct(F.col(right_time), *columns)
     left_part = left.select(F.struct(*left.columns).alias("_left"), F.col(key), F.col(left_time).alias("_at"))
     right_part = right.select(F.col(key), F.col(right_time).alias("_at"), carried.alias("_right"))
     stream = left_part.unionByName(right_part, allowMissingColumns=True)
     matched = carry_forward(stream, key, "_at", ["_right"], hot_rows).where("_left is not null")
-    return matched.select("_left.*", *[F.col(f"_right.{c}") for c in (right_time, *columns)])
+    return matched.select("_left.*", *[F.col(f"_right.{c}") for c in (right_time, *columns)]).unionAll(loose)
 
 
 def scd2_intervals(df: DataFrame, key: str, instant: str, hot_rows: int | None = None) -> DataFrame:

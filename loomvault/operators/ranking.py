@@ -36,7 +36,7 @@ def global_ranks(df: DataFrame, key: str, measures: Mapping[str, Column]) -> tup
     fixed = cut_lineage(numbered)
     stats = (
         fixed.groupBy("m", "part")
-        .agg(F.count("*").alias("n"), F.min("v").alias("lo"), F.max("v").alias("hi"), F.max("rk").alias("hi_rk"))
+        .agg(F.count("*").alias("n"), F.min_by("v", "rn").alias("lo"), F.max_by("v", "rn").alias("hi"), F.max("rk").alias("hi_rk"))
         .collect()  # one row per range and measure
     )
     shifts, total = _shifts(stats)
@@ -44,7 +44,7 @@ def global_ranks(df: DataFrame, key: str, measures: Mapping[str, Column]) -> tup
     placed = fixed.join(F.broadcast(table.withColumnRenamed("lo", "lo_v")), ["m", "part"]).select(
         "k", "m",
         (F.col("rn") + F.col("before")).alias("pos"),
-        F.when(F.col("v") == F.col("lo_v"), F.col("lo_rank")).otherwise(F.col("rk") + F.col("before")).alias("rank"),
+        F.when(F.col("v").eqNullSafe(F.col("lo_v")), F.col("lo_rank")).otherwise(F.col("rk") + F.col("before")).alias("rank"),
     )
     wide = placed.groupBy(F.col("k").alias(key)).agg(*[
         F.max(F.when(F.col("m") == name, F.col(src))).alias(f"{name}_{out}")
@@ -57,7 +57,7 @@ def _shifts(stats) -> tuple[list[tuple], int]:
     """Rows before each range, and the rank of its lowest value if that value began earlier."""
     out, total = [], 0
     for measure in sorted({s["m"] for s in stats}):
-        before, run_value, run_rank = 0, None, 1
+        before, run_value, run_rank = 0, _shifts, 1  # no value equals this one; NULLs are values and come first
         for s in sorted((s for s in stats if s["m"] == measure), key=lambda s: s["part"]):
             lo_rank = run_rank if s["lo"] == run_value else before + 1
             out.append((measure, s["part"], before, s["lo"], lo_rank))

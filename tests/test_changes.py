@@ -57,3 +57,11 @@ def test_dead_letters_and_envelopes(spark):
     assert (good.count(), bad.count()) == (1, 2)
     row = cdc.open_envelopes(good, "value").first()
     assert (row["SOURCE_TABLE"], row["CDC_OPERATION"], row["LSN"], row["RECORD_AFTER"], row["RECORD_BEFORE"]) == ("orders", "INSERT", "9", '{"id":7}', None)
+
+
+def test_an_update_of_microseconds_is_a_change(spark):
+    from loomvault.operators.changes import change_feed
+    one = spark.sql("select 1 id, timestamp_ntz'2020-01-01 00:00:00.000001' t")
+    two = spark.sql("select 1 id, timestamp_ntz'2020-01-01 00:00:00.000002' t")
+    assert sorted(r._ACTION for r in change_feed(one, two, ["id"]).collect()) == ["DELETE", "INSERT"]
+    assert change_feed(one, one, ["id"]).collect() == []

@@ -102,3 +102,11 @@ def test_latest_and_earliest(versions):
     same(history.latest_per_key(versions, "k", ["t", "n"]), versions.withColumn("r", F.row_number().over(w)).where("r = 1").drop("r"))
     w = Window.partitionBy("k").orderBy("t", "n")
     same(history.earliest_per_key(versions, "k", ["t", "n"]), versions.withColumn("r", F.row_number().over(w)).where("r = 1").drop("r"))
+
+
+def test_null_keys_match_nothing_as_of(spark):
+    from loomvault.operators.history import asof_join
+    left = spark.createDataFrame([(1, None, 5), (2, "a", 5), (3, "b", 5)], "id int, k string, t int")
+    right = spark.createDataFrame([(None, 1, "x"), ("a", 1, "y")], "k string, s int, v string")
+    got = {r.id: r.v for r in asof_join(left, right, "k", "t", "s", ["v"]).collect()}
+    assert got == {1: None, 2: "y", 3: None}

@@ -36,3 +36,15 @@ def test_value_shared_by_most_rows_is_split(spark):
     zeros = ranks.join(df, "k").where("v = 0")
     assert zeros.select("V_RANK").distinct().collect()[0][0] == 1
     assert zeros.agg(F.max("V_POSITION")).first()[0] == df.where("v = 0").count()
+
+
+def test_nulls_rank_first_and_count(spark):
+    from pyspark.sql import Window
+    from pyspark.sql import functions as F
+
+    from loomvault.operators.ranking import global_ranks
+    df = spark.createDataFrame([(i, None if i < 3 else float(i // 4)) for i in range(40)], "k int, v double").repartition(4)
+    got, total = global_ranks(df, "k", {"V": F.col("v")})
+    want = df.select("k", F.rank().over(Window.orderBy("v")).alias("r"))
+    assert total == 40
+    assert {r.k: r.V_RANK for r in got.collect()} == {r.k: r.r for r in want.collect()}
