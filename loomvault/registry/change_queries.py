@@ -196,19 +196,22 @@ VAULT_LOADERS = {
 }
 
 
-def raw_orders_in_two_files(w, tables):
-    """Landing rows as two files, older rows in the first."""
+FILES = 8  # of each of the two folders, and of each trigger
+
+
+def raw_orders_in_two_folders(w, tables):
+    """Landing rows in two folders of several files, older rows in the first."""
     raw = w.landing.orders
     late = F.col("_LOADED_AT") >= at("1998-01-01 00:00:00")
-    raw.where(~late).coalesce(1).write.parquet(tables.path("landed/1"))
-    raw.where(late).coalesce(1).write.parquet(tables.path("landed/2"))
+    raw.where(~late).repartition(FILES).write.parquet(tables.path("landed/1"))
+    raw.where(late).repartition(FILES).write.parquet(tables.path("landed/2"))
     return raw.schema
 
 
 def stream_orders_vault(w, spark):
     tables = TableFolder(spark, scratch_path(spark, "vault"))
-    schema = raw_orders_in_two_files(w, tables)
-    raw = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(tables.path("landed/*"))
+    schema = raw_orders_in_two_folders(w, tables)
+    raw = spark.readStream.schema(schema).option("maxFilesPerTrigger", FILES).parquet(tables.path("landed/*"))
     vault_stream.stream_load_vault(
         raw, lambda batch: staging.stage_orders(batch, w.as_of), VAULT_LOADERS, tables, tables.path("_checkpoint")).awaitTermination()
     return tables
@@ -244,8 +247,8 @@ def refresh_to_lag(w, spark, folder):
 @query("stream_satellite_stateful", """SELECT HK_ORDER, HASH_DIFF, ORDER_STATUS, LOAD_DATETIME, RECORD_SOURCE FROM sat_order_details""")
 def stream_satellite_stateful(w, spark, folder):
     tables = TableFolder(spark, scratch_path(spark, "stateful"))
-    schema = raw_orders_in_two_files(w, tables)
-    raw = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(tables.path("landed/*"))
+    schema = raw_orders_in_two_folders(w, tables)
+    raw = spark.readStream.schema(schema).option("maxFilesPerTrigger", FILES).parquet(tables.path("landed/*"))
     rows = staging.stage_orders(raw, w.as_of).select("HK_ORDER", F.col("HD_ORDER_DETAILS").alias("HASH_DIFF"), "ORDER_STATUS", "LOAD_DATETIME", "RECORD_SOURCE")
     provider = "spark.sql.streaming.stateStore.providerClass"
     before = spark.conf.get(provider)

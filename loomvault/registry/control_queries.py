@@ -210,9 +210,11 @@ def dq_volume(w, spark, folder):
 
 @query("dq_source_freshness", f"""SELECT SOURCE, LATEST, CAST(date_diff('hour', LATEST, now_at) AS INTEGER) AS AGE_HOURS,
   CASE WHEN date_diff('hour', LATEST, now_at) > 24 THEN 'error' WHEN date_diff('hour', LATEST, now_at) > 12 THEN 'warn' ELSE 'pass' END AS STATUS FROM (
-  SELECT 'RAW_CUSTOMERS' AS SOURCE, max(_LOADED_AT) AS LATEST, {NOW_SQL} AS now_at FROM raw_customers UNION ALL SELECT 'RAW_ORDERS', max(_LOADED_AT), {NOW_SQL} FROM raw_orders)""")
+  SELECT 'RAW_CUSTOMERS' AS SOURCE, max(_LOADED_AT) AS LATEST, {NOW_SQL} AS now_at FROM raw_customers UNION ALL SELECT 'RAW_ORDERS', max(_LOADED_AT), {NOW_SQL} FROM raw_orders
+  UNION ALL SELECT 'RAW_PRODUCTS', max(_LOADED_AT), {NOW_SQL} FROM raw_products UNION ALL SELECT 'RAW_ORDER_ITEMS', max(_LOADED_AT), {NOW_SQL} FROM raw_order_items)""")
 def dq_source_freshness(w, spark, folder):
-    return quality.source_freshness({"RAW_CUSTOMERS": w.landing.customers, "RAW_ORDERS": w.landing.orders}, AS_OF_EVENTS)
+    return quality.source_freshness({"RAW_CUSTOMERS": w.landing.customers, "RAW_ORDERS": w.landing.orders, "RAW_PRODUCTS": w.landing.products,
+                                     "RAW_ORDER_ITEMS": w.landing.order_items}, AS_OF_EVENTS)
 
 
 @query("dq_results_log", """SELECT 'not_null' AS TEST_NAME, 'raw_orders' AS MODEL_NAME, 'TAX_AMOUNT' AS COLUMN_NAME, 'WARN' AS STATUS,

@@ -30,16 +30,21 @@ def stream_files(spark: SparkSession, stage: Stage, tables: TableFolder, name: s
     return text.writeStream.foreachBatch(load).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
-def stream_events(events: DataFrame, tables: TableFolder, name: str, checkpoint: str, delay: str = "1 hour") -> StreamingQuery:
-    """Row-level events, each (topic, partition, offset) once while it is inside the watermark."""
-    timed = events.withColumn("_event_time", F.col("_LOADED_AT").cast("timestamp"))  # watermarks need a zoned type
-    once = timed.withWatermark("_event_time", delay).dropDuplicatesWithinWatermark(
-        ["_TOPIC_NAME", "_PARTITION_ID", "_OFFSET_TOKEN"]).drop("_event_time")
+def stream_events(events: DataFrame, tables: TableFolder, name: str, checkpoint: str) -> StreamingQuery:
+    """Row-level events, each (topic, partition, offset) once, however late a repeat or a new event comes.
+
+    Repeats are found in the batch and in what earlier batches landed, so no event is dropped for its age.
+    """
+    keys = ["_TOPIC_NAME", "_PARTITION_ID", "_OFFSET_TOKEN"]
 
     def load(batch: DataFrame, batch_id: int) -> None:
-        tables.append(name, batch, batch_id)
+        fresh = batch.dropDuplicates(keys)
+        landed = tables.read(name, before_batch=batch_id)
+        if landed is not None:
+            fresh = fresh.join(landed.select(*keys), keys, "left_anti").select(*batch.columns)
+        tables.append(name, fresh, batch_id)
 
-    return once.writeStream.foreachBatch(load).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    return events.writeStream.foreachBatch(load).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
 def error_trend_stream(errors: DataFrame, delay: str = "2 hours") -> DataFrame:

@@ -12,13 +12,13 @@ from loomvault.streaming import ingest, vault_stream
 
 
 def run(spark, tables, schema, as_of):
-    raw = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(tables.path("landed/*"))
+    raw = spark.readStream.schema(schema).option("maxFilesPerTrigger", cq.FILES).parquet(tables.path("landed/*"))
     vault_stream.stream_load_vault(raw, lambda b: staging.stage_orders(b, as_of), cq.VAULT_LOADERS, tables, tables.path("_checkpoint")).awaitTermination()
 
 
 def test_stream_equals_batch_and_restart_adds_nothing(spark, warehouse, folder):
     tables = TableFolder(spark, folder)
-    schema = cq.raw_orders_in_two_files(warehouse, tables)
+    schema = cq.raw_orders_in_two_folders(warehouse, tables)
     run(spark, tables, schema, warehouse.as_of)
     for name in cq.VAULT_LOADERS:
         same(tables.read(name), getattr(warehouse, name))
