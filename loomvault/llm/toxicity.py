@@ -67,7 +67,7 @@ def features(text: str | None) -> np.ndarray:
 class Ftrl:
     """Follow the regularised leader: per-coordinate rates, L1 and L2."""
 
-    def __init__(self, alpha: float = 1.0, beta: float = 1.0, l1: float = 3.0, l2: float = 1.0):
+    def __init__(self, alpha: float = 1.0, beta: float = 1.0, l1: float = 12.0, l2: float = 0.1):
         self.alpha, self.beta, self.l1, self.l2 = alpha, beta, l1, l2
         self.z, self.n = np.zeros(1 << BITS), np.zeros(1 << BITS)
 
@@ -76,9 +76,9 @@ class Ftrl:
         w = -(z - np.sign(z) * self.l1) / ((self.beta + np.sqrt(n)) / self.alpha + self.l2)
         return np.where(np.abs(z) <= self.l1, 0.0, w)
 
-    def learn(self, at: np.ndarray, label: int) -> None:
+    def learn(self, at: np.ndarray, label: int, weight: float = 1.0) -> None:
         w = self.weights(at)
-        g = sigmoid(w.sum()) - label
+        g = (sigmoid(w.sum()) - label) * weight
         root = np.sqrt(self.n[at])
         self.n[at] += g * g
         self.z[at] += g - (np.sqrt(self.n[at]) - root) / self.alpha * w
@@ -88,16 +88,20 @@ def sigmoid(x):
     return 1.0 / (1.0 + np.exp(-np.clip(x, -35.0, 35.0)))
 
 
-def train(rows: list[tuple[np.ndarray, int]], epochs: int = 4) -> tuple[np.ndarray, np.ndarray]:
-    """Indexes and weights other than zero, from (features, label) rows taken in order."""
+def train(rows: list[tuple[np.ndarray, int]], epochs: int = 6) -> tuple[np.ndarray, np.ndarray]:
+    """Indexes and weights other than zero, from (features, label) rows taken in order.
+
+    A row of label 1 weighs the root of how many times rarer its label is, and the other way round.
+    """
     model = Ftrl()
-    labels = {label for _, label in rows}
-    if len(labels) < 2:
-        share = sum(label for _, label in rows) / max(1, len(rows))
-        return np.array([0]), np.array([35.0 if share else -35.0])
+    toxic = sum(label for _, label in rows)
+    if not 0 < toxic < len(rows):
+        return np.array([0]), np.array([35.0 if toxic else -35.0])
+    rarer = float(np.sqrt((len(rows) - toxic) / toxic))
+    weight = (max(1.0, 1 / rarer), max(1.0, rarer))
     for _ in range(epochs):
         for at, label in rows:
-            model.learn(at, label)
+            model.learn(at, label, weight[label])
     every = model.weights(slice(None))
     at = np.flatnonzero(every)
     return at, every[at]
