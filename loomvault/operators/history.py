@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.dates import end_of_time
@@ -54,15 +54,20 @@ def _neighbour(df, key, order, columns, backwards, hot_rows) -> DataFrame:
         pick = F.min_by if backwards else F.max_by
         ends = sliced.rows.groupBy(key, SLICE).agg(pick(F.struct(*sources), F.struct(*order)).alias("_end"))
         across = Window.partitionBy(key).orderBy(SLICE)  # one row per slice of the key
-        edges = ends.select(key, SLICE, reach("_end").over(across).alias("_edge")).where("_edge is not null")
+        edges = ends.select(F.col(key).alias("_ek"), F.col(SLICE).alias("_es"), reach("_end").over(across).alias("_edge")).where("_edge is not null")
         out = (
             sliced.rows.withColumn("_near", near)
-            .join(edges, [key, SLICE], "left")
+            .join(edges, _edge_of(key), "left")
             .withColumn("_near", F.coalesce("_near", "_edge"))
         )
     return out.select(*kept, *[F.col(f"_near.{src}").alias(new) for new, src in columns.items()])
 
 
+def _edge_of(key: str) -> Column:
+    """The edge of a row's slice; NULL is a key like any other."""
+    return (F.col(SLICE) == F.col("_es")) & F.col(key).eqNullSafe(F.col("_ek"))
+
+
 def carry_forward(df: DataFrame, key: str, instant: str, columns: Sequence[str],
                   hot_rows: int | None = None) -> DataFrame:
     """Replace each column by its last non-null value at or before the row's instant."""
@@ -76,14 +81,15 @@ def carry_forward(df: DataFrame, key: str, instant: str, columns: Sequence[str],
         filled = {c: F.last(c, ignorenulls=True).over(so_far) for c in columns}
         return rows.withColumns(filled).select(*df.columns)
     ends = rows.groupBy(key, SLICE).agg(
-        *[F.max_by(c, F.when(F.col(c).isNotNull(), F.col(instant))).alias(f"_end_{c}") for c in columns]
+        *[F.max_by(c, F.when(F.col(c).isNotNull(), F.struct(instant))).alias(f"_end_{c}") for c in columns]
     )
     before = Window.partitionBy(key).orderBy(SLICE).rowsBetween(Window.unboundedPreceding, -1)
     edges = ends.select(
-        key, SLICE, *[F.last(f"_end_{c}", ignorenulls=True).over(before).alias(f"_edge_{c}") for c in columns]
+        F.col(key).alias("_ek"), F.col(SLICE).alias("_es"),
+        *[F.last(f"_end_{c}", ignorenulls=True).over(before).alias(f"_edge_{c}") for c in columns]
     )
     joined = rows.withColumns({f"_own_{c}": F.last(c, ignorenulls=True).over(so_far) for c in columns})
-    joined = joined.join(edges, [key, SLICE], "left")
+    joined = joined.join(edges, _edge_of(key), "left")
     filled = {c: F.coalesce(f"_own_{c}", f"_edge_{c}") for c in columns}
     return joined.withColumns(filled).select(*df.columns)
 

@@ -9,8 +9,6 @@ from pyspark.sql import functions as F
 
 from ..session import cut_lineage
 
-VALUE_TYPE = "decimal(38,6)"
-
 
 def global_ranks(df: DataFrame, key: str, measures: Mapping[str, Column]) -> tuple[DataFrame, int]:
     """Ascending position and rank of every row for several measures at once.
@@ -18,11 +16,17 @@ def global_ranks(df: DataFrame, key: str, measures: Mapping[str, Column]) -> tup
     Returns (key, <m>_POSITION, <m>_RANK ...) and the number of rows. Positions break ties by
     ``key``, which must be unique. One range exchange on (measure, value, key) splits even a value
     shared by most rows; each range is numbered on its own and shifted by the counts before it.
+    Measures keep their types: a value is a struct with one field per type, of which a measure fills one.
     """
     spark = df.sparkSession
+    types = {f.name: f.dataType.simpleString() for f in df.select(*[col.alias(name) for name, col in measures.items()]).schema}
+    kinds = {kind: f"v{i}" for i, kind in enumerate(dict.fromkeys(types.values()))}
     pairs = F.array(*[
-        F.struct(F.lit(name).alias("m"), col.cast(VALUE_TYPE).alias("v")) for name, col in measures.items()
+        F.struct(F.lit(name).alias("m"), F.struct(*[
+            (col if kind == types[name] else F.lit(None)).cast(kind).alias(field) for kind, field in kinds.items()]).alias("v"))
+        for name, col in measures.items()
     ])
+    value_type = "struct<" + ",".join(f"{field}:{kind}" for kind, field in kinds.items()) + ">"
     flat = df.select(F.col(key).alias("k"), F.explode(pairs).alias("p")).select("k", "p.m", "p.v")
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     ranged = flat.repartitionByRange(parts, "m", "v", "k").withColumn("part", F.spark_partition_id())
@@ -40,7 +44,7 @@ def global_ranks(df: DataFrame, key: str, measures: Mapping[str, Column]) -> tup
         .collect()  # one row per range and measure
     )
     shifts, total = _shifts(stats)
-    table = spark.createDataFrame(shifts, f"m string, part int, before bigint, lo {VALUE_TYPE}, lo_rank bigint")
+    table = spark.createDataFrame(shifts, f"m string, part int, before bigint, lo {value_type}, lo_rank bigint")
     placed = fixed.join(F.broadcast(table.withColumnRenamed("lo", "lo_v")), ["m", "part"]).select(
         "k", "m",
         (F.col("rn") + F.col("before")).alias("pos"),
@@ -55,13 +59,16 @@ def global_ranks(df: DataFrame, key: str, measures: Mapping[str, Column]) -> tup
 
 def _shifts(stats) -> tuple[list[tuple], int]:
     """Rows before each range, and the rank of its lowest value if that value began earlier."""
+    def same(a, b) -> bool:  # NaN is a value like any other
+        return a is not _shifts and all(x == y or x != x and y != y for x, y in zip(a, b))
+
     out, total = [], 0
     for measure in sorted({s["m"] for s in stats}):
         before, run_value, run_rank = 0, _shifts, 1  # no value equals this one; NULLs are values and come first
         for s in sorted((s for s in stats if s["m"] == measure), key=lambda s: s["part"]):
-            lo_rank = run_rank if s["lo"] == run_value else before + 1
+            lo_rank = run_rank if same(run_value, s["lo"]) else before + 1
             out.append((measure, s["part"], before, s["lo"], lo_rank))
-            if s["hi"] != s["lo"]:
+            if not same(s["hi"], s["lo"]):
                 run_rank = before + s["hi_rk"]
             else:
                 run_rank = lo_rank

@@ -60,14 +60,14 @@ class Sliced:
 
 
 def hot_keys(df: DataFrame, key: str, hot_rows: int) -> dict:
-    """Keys with at least ``hot_rows`` rows, by a mergeable frequent-items sketch (no shuffle)."""
+    """Keys with at least ``hot_rows`` rows, by a mergeable frequent-items sketch (no shuffle). NULL is a key too."""
     tracked = config.MAX_HOT_KEYS * 16
-    found = (
-        df.where(F.col(key).isNotNull())
-        .select(F.expr(f"approx_top_k(`{key}`, {config.MAX_HOT_KEYS}, {tracked})").alias("top"))
-        .first()["top"]
-    )
-    return {item["item"]: item["count"] for item in found or [] if item["count"] >= hot_rows}
+    found = df.select(
+        F.expr(f"approx_top_k(`{key}`, {config.MAX_HOT_KEYS}, {tracked}) FILTER (WHERE `{key}` IS NOT NULL)").alias("top"),
+        F.count_if(F.col(key).isNull()).alias("without"),
+    ).first()
+    hot = {item["item"]: item["count"] for item in found["top"] or [] if item["count"] >= hot_rows}
+    return hot | {None: found["without"]} if found["without"] >= hot_rows else hot
 
 
 def slice_hot_keys(df: DataFrame, key: str, instant: str, hot_rows: int | None = None) -> Sliced:
@@ -87,21 +87,23 @@ def slice_hot_keys(df: DataFrame, key: str, instant: str, hot_rows: int | None =
     cuts = [i / config.HOT_KEY_SLICES for i in range(1, config.HOT_KEY_SLICES)]
     seconds = epoch_seconds(F.col(instant))
     measured = (
-        df.where(F.col(key).isin(list(hot)))
+        df.where(F.col(key).isin([k for k in hot if k is not None]) | (F.col(key).isNull() & F.lit(None in hot)))
         .groupBy(key)
         .agg(F.percentile_approx(seconds, cuts, 100_000).alias("cuts"))
         .collect()  # at most MAX_HOT_KEYS rows
     )
     bounds = []
     for row in measured:
+        if not row["cuts"]:  # no instant to cut by
+            continue
         wanted = min(config.HOT_KEY_SLICES, -(-hot[row[key]] // limit) + 1)
         step = max(1, len(cuts) // wanted)
         bounds.append((row[key], sorted(set(row["cuts"][::step]))))
     spark = df.sparkSession
-    schema = f"`{key}` {df.schema[key].dataType.simpleString()}, _cuts array<bigint>"
+    schema = f"_hot {df.schema[key].dataType.simpleString()}, _cuts array<bigint>"
     table = F.broadcast(spark.createDataFrame(bounds, schema))
     sliced = (
-        df.join(table, key, "left")
+        df.join(table, F.col(key).eqNullSafe(F.col("_hot")), "left").drop("_hot")
         .withColumn(SLICE, F.when(F.col("_cuts").isNull(), 0).otherwise(_slice_of(F.col("_cuts"), seconds)))
         .drop("_cuts")
     )

@@ -110,3 +110,33 @@ def test_null_keys_match_nothing_as_of(spark):
     right = spark.createDataFrame([(None, 1, "x"), ("a", 1, "y")], "k string, s int, v string")
     got = {r.id: r.v for r in asof_join(left, right, "k", "t", "s", ["v"]).collect()}
     assert got == {1: None, 2: "y", 3: None}
+
+
+@pytest.mark.parametrize("seed", [1, 2, 3])
+def test_nulls_give_the_same_rows_with_and_without_slices(spark, seed):
+    """A third of the rows have no key, some have no instant or no value; instants repeat."""
+    rng = random.Random(seed)
+    data = [(None if i % 3 == 0 else f"k{rng.randint(0, 5)}", None if rng.random() < 0.1 else rng.randint(0, 200),
+             rng.choice(["a", "b", None]), i) for i in range(900)]
+    df = spark.createDataFrame(data, "k string, m int, mark string, n int").select(
+        "k", (at("2024-01-01 00:00:00") + F.make_dt_interval(F.lit(0), F.lit(0), F.col("m"))).alias("t"), "mark", "n").persist()
+    assert skew.slice_hot_keys(df, "k", "t", HOT).edges_needed
+    assert None in skew.hot_keys(df, "k", HOT)
+    order = ["t", "n"]
+    for fn, reach in ((history.previous_of, F.lag), (history.next_of, F.lead)):
+        want = df.withColumn("p", reach("mark").over(Window.partitionBy("k").orderBy(*order)))
+        same(fn(df, "k", order, {"p": "mark"}), want)
+        same(fn(df, "k", order, {"p": "mark"}, hot_rows=HOT), want)
+    once = df.groupBy("k", "t").agg(F.max("mark").alias("mark"))
+    so_far = Window.partitionBy("k").orderBy("t").rangeBetween(Window.unboundedPreceding, Window.currentRow)
+    want = once.withColumn("mark", F.last("mark", ignorenulls=True).over(so_far))
+    same(history.carry_forward(once, "k", "t", ["mark"]), want)
+    same(history.carry_forward(once, "k", "t", ["mark"], hot_rows=HOT), want)
+    same(history.scd2_intervals(once, "k", "t"), history.scd2_intervals(once, "k", "t", hot_rows=HOT))
+    same(history.drop_repeats(df, "k", "t", "mark").select("k", "t", "mark"), history.drop_repeats(df, "k", "t", "mark", hot_rows=HOT).select("k", "t", "mark"))
+
+
+def test_a_hot_key_without_instants_is_left_whole(spark):
+    df = spark.range(200).select(F.lit("a").alias("k"), F.lit(None).cast("timestamp_ntz").alias("t"), F.col("id").alias("n"))
+    got = history.previous_of(df, "k", ["t", "n"], {"p": "n"}, hot_rows=HOT)
+    assert got.where("p = n - 1 or (n = 0 and p is null)").count() == 200

@@ -48,3 +48,16 @@ def test_nulls_rank_first_and_count(spark):
     want = df.select("k", F.rank().over(Window.orderBy("v")).alias("r"))
     assert total == 40
     assert {r.k: r.V_RANK for r in got.collect()} == {r.k: r.r for r in want.collect()}
+
+
+def test_measures_keep_their_types(spark):
+    """Tiny, huge, fractional, text and missing values side by side, each by its own order."""
+    rows = [(f"k{i:03d}", x, -i if i % 5 else None, f"t{i % 7}") for i, x in enumerate(
+        [1e-7, 2e-7, 3e-7, 1e40, -1e40, float("nan"), float("nan"), 0.0, None, None] * 6)]
+    df = spark.createDataFrame(rows, "k string, d double, n long, s string").persist()
+    measures = ("d", "n", "s")
+    got, total = global_ranks(df, "k", {m: F.col(m) for m in measures})
+    want = df.select("k", *[c for m in measures for c in (
+        F.row_number().over(Window.orderBy(m, "k")).alias(f"{m}_POSITION"), F.rank().over(Window.orderBy(m)).alias(f"{m}_RANK"))])
+    assert total == 60
+    assert sorted(map(tuple, got.select(want.columns).collect())) == sorted(map(tuple, want.collect()))
