@@ -10,6 +10,7 @@ import json
 import os
 import statistics
 import sys
+import tempfile
 import time
 from pathlib import Path
 
@@ -31,7 +32,8 @@ def main() -> None:
 
     spark = build_session(
         "bench", f"local[{CPUS}]",
-        **{"spark.sql.shuffle.partitions": CPUS, "spark.ui.enabled": "false", "spark.driver.memory": "12g"},
+        **{"spark.sql.shuffle.partitions": CPUS, "spark.ui.enabled": "false", "spark.driver.memory": "12g",
+           "spark.checkpoint.dir": tempfile.mkdtemp(prefix="loomvault-bench-")},
     )
     spark.sparkContext.setLogLevel("ERROR")
     wanted = sys.argv[1:] or HEADLINE

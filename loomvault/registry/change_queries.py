@@ -174,15 +174,16 @@ def stream_ingest_events(w, spark, folder):
 
 @query("stream_ingest_files", """SELECT o_orderkey, o_custkey, o_orderstatus, CAST(o_totalprice AS DOUBLE) AS o_totalprice, CAST(o_orderdate AS DATE) AS o_orderdate FROM orders WHERE o_orderstatus <> 'P'""")
 def stream_ingest_files(w, spark, folder):
-    """Orders written as delimited files; a broken row in the files of state P skips those files whole."""
+    """Orders written as delimited files; a broken row in the files of state P skips those files whole, those of state F have their columns the other way round."""
     from pyspark.sql import types as T
 
     from ..sources.formats import Stage
     tables = TableFolder(spark, scratch_path(spark, "files"))
     orders = table(spark, folder, "orders").select("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", F.to_date("o_orderdate").alias("o_orderdate"))
     broken = orders.withColumn("o_custkey", F.when(F.col("o_orderstatus") == "P", "not a number").otherwise(F.col("o_custkey").cast("string")))
-    landed = broken.withColumn("part", F.col("o_orderstatus")).repartition("part")
-    landed.write.option("header", "true").option("sep", "|").partitionBy("part").csv(tables.path("landed"))
+    for part in ("F", "O", "P"):
+        columns = broken.columns[::-1] if part == "F" else broken.columns
+        broken.where(F.col("o_orderstatus") == part).select(*columns).write.option("header", "true").option("sep", "|").csv(tables.path(f"landed/part={part}"))
     schema = T.StructType([T.StructField("o_orderkey", T.LongType()), T.StructField("o_custkey", T.LongType()), T.StructField("o_orderstatus", T.StringType()),
                            T.StructField("o_totalprice", T.DoubleType()), T.StructField("o_orderdate", T.DateType())])
     stage = Stage(tables.path("landed") + "/*", "csv_pipe", schema)

@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.dates import at
 from ..operators import governance as gov
 from ..operators import observe, quality
-from ..schemas import LANDING, assert_schema, sync_columns
+from ..schemas import LANDING, SchemaDrift, assert_schema, sync_columns
 from ..session import scratch_path
 from ..sources import copy, drift, formats, testbed
 from ..sources.tables import TableFolder, write_archive
@@ -77,23 +80,35 @@ def row_access_roles(w, spark, folder):
 PATTERN_SQL = {
     "EMAIL": "^[a-zA-Z0-9._%+-]+@[a-zA-Z0-9.-]+\\.[a-zA-Z]{2,}$", "PHONE": "^\\+?[1-9]\\d{1,14}$", "SSN": "^\\d{3}-\\d{2}-\\d{4}$",
 }
-CLASSIFIED = ("EMAIL", "PHONE", "FIRST_NAME", "COUNTRY_CODE", "POSTAL_CODE")
+CLASSIFIED = {"RAW_CUSTOMERS": "customers", "RAW_ORDERS": "orders", "RAW_PRODUCTS": "products", "RAW_ORDER_ITEMS": "order_items"}
+
+
+def _text_columns(name):
+    return [f.name for f in LANDING[name] if f.dataType.simpleString() == "string" and not f.name.startswith("_")]
+
+
+# one pass per table in SQL too: the shares of all columns and patterns side by side, then as rows
 CTES["match_shares"] = " UNION ALL ".join(
-    f"SELECT '{c}' AS COLUMN_NAME, '{t}' AS TAG_VALUE, avg(CASE WHEN regexp_matches({c}, '{p}') THEN 1.0 ELSE 0.0 END) FILTER (WHERE {c} IS NOT NULL) AS MATCH_SHARE FROM stg_customers"
-    for c in CLASSIFIED for t, p in PATTERN_SQL.items())
+    f"SELECT '{n}' AS OBJECT_NAME, COLUMN_NAME, TAG_VALUE, MATCH_SHARE FROM (SELECT unnest([{', '.join(cells)}], recursive := true) FROM {n.lower()})" for n, cells in (
+        (n, [f"{{'COLUMN_NAME': '{c}', 'TAG_VALUE': '{t}', 'MATCH_SHARE': avg(CASE WHEN regexp_matches({c}, '{p}') THEN 1.0 ELSE 0.0 END) FILTER (WHERE {c} IS NOT NULL)}}"
+             for c in _text_columns(n) for t, p in PATTERN_SQL.items()]) for n in CLASSIFIED))
+
+
+def _classified(w):
+    """Every text column of every landing table."""
+    found = [gov.classify_columns(getattr(w.landing, source), 0.8, _text_columns(name)).withColumn("OBJECT_NAME", F.lit(name)) for name, source in CLASSIFIED.items()]
+    return reduce(DataFrame.unionByName, found)
 
 
-@query("classify_columns", "SELECT COLUMN_NAME, TAG_VALUE, round(MATCH_SHARE, 6) AS MATCH_SHARE FROM match_shares WHERE MATCH_SHARE >= 0.8")
+@query("classify_columns", "SELECT OBJECT_NAME, COLUMN_NAME, TAG_VALUE, round(MATCH_SHARE, 6) AS MATCH_SHARE FROM match_shares WHERE MATCH_SHARE >= 0.8")
 def classify_columns(w, spark, folder):
-    return gov.classify_columns(w.stg_customers, 0.8, CLASSIFIED).withColumn("MATCH_SHARE", F.round("MATCH_SHARE", 6))
+    return _classified(w).withColumn("MATCH_SHARE", F.round("MATCH_SHARE", 6))
 
 
-@query("classification_report", "SELECT 'PII' AS TAG_NAME, 'STG_CUSTOMERS' AS OBJECT_NAME, COLUMN_NAME, TAG_VALUE, 'AUTO_CLASSIFIED' AS CLASSIFICATION_METHOD FROM match_shares WHERE MATCH_SHARE >= 0.8")
+@query("classification_report", "SELECT 'PII' AS TAG_NAME, OBJECT_NAME, COLUMN_NAME, TAG_VALUE, 'AUTO_CLASSIFIED' AS CLASSIFICATION_METHOD FROM match_shares WHERE MATCH_SHARE >= 0.8")
 def classification_report(w, spark, folder):
-    found = gov.classify_columns(w.stg_customers, 0.8, CLASSIFIED)
-    tags = found.select(F.lit("PII").alias("TAG_NAME"), F.lit("STG_CUSTOMERS").alias("OBJECT_NAME"), "COLUMN_NAME", "TAG_VALUE", F.lit(None).cast("timestamp_ntz").alias("DELETED"))
-    other = found.select(F.lit("COMMENT").alias("TAG_NAME"), F.lit("STG_CUSTOMERS").alias("OBJECT_NAME"), "COLUMN_NAME", "TAG_VALUE", F.lit(None).cast("timestamp_ntz").alias("DELETED"))
-    return gov.classification_report(tags.unionByName(other))
+    found = _classified(w).select("OBJECT_NAME", "COLUMN_NAME", "TAG_VALUE", F.lit(None).cast("timestamp_ntz").alias("DELETED"))
+    return gov.classification_report(found.withColumn("TAG_NAME", F.explode(F.array(F.lit("PII"), F.lit("COMMENT")))))
 
 
 # ---- data quality ----------------------------------------------------------------------------------
@@ -256,6 +271,16 @@ def layer_sla_monitor(w, spark, folder):
         ("SILVER", "BV_ORDER_LIFECYCLE", w.bv_order_lifecycle, "COMPUTED_AT"), ("GOLD", "FCT_ORDERS", w.fct_orders, "UPDATED_AT")], AS_OF_EVENTS)
 
 
+@query("pipeline_sla_monitor", f"""SELECT *, CASE WHEN HOURS_AGO <= 6 THEN 'GREEN' WHEN HOURS_AGO <= 12 THEN 'YELLOW' WHEN HOURS_AGO <= 24 THEN 'ORANGE' ELSE 'RED' END AS SLA_STATUS FROM (
+  SELECT LAYER, MODEL, t AS LATEST_RECORD, CAST(date_diff('hour', t, {NOW_SQL}) AS INTEGER) AS HOURS_AGO FROM (
+  SELECT 'BRONZE' AS LAYER, 'SAT_CUSTOMER_DETAILS' AS MODEL, max(LOAD_DATETIME) AS t FROM sat_customer_details UNION ALL SELECT 'BRONZE', 'SAT_ORDER_DETAILS', max(LOAD_DATETIME) FROM sat_order_details
+  UNION ALL SELECT 'SILVER', 'BV_CUSTOMER_CLASSIFICATION', max(CLASSIFIED_AT) FROM bv_customer_classification UNION ALL SELECT 'GOLD', 'FCT_ORDERS', max(UPDATED_AT) FROM fct_orders))""")
+def pipeline_sla_monitor(w, spark, folder):
+    return observe.layer_sla_monitor([
+        ("BRONZE", "SAT_CUSTOMER_DETAILS", w.sat_customer_details, "LOAD_DATETIME"), ("BRONZE", "SAT_ORDER_DETAILS", w.sat_order_details, "LOAD_DATETIME"),
+        ("SILVER", "BV_CUSTOMER_CLASSIFICATION", w.bv_customer_classification, "CLASSIFIED_AT"), ("GOLD", "FCT_ORDERS", w.fct_orders, "UPDATED_AT")], AS_OF_EVENTS)
+
+
 @query("sla_monitor", f"""SELECT CASE WHEN date_diff('hour', t, {NOW_SQL}) <= 24 THEN 'WITHIN_SLA' ELSE 'SLA_BREACH' END AS SLA_STATUS, t AS LATEST_RECORD,
   CAST(date_diff('hour', t, {NOW_SQL}) AS INTEGER) AS HOURS_SINCE_UPDATE, 24 AS SLA_THRESHOLD_HOURS FROM (SELECT max(LOAD_DATETIME) AS t FROM sat_customer_details)""")
 def sla_monitor(w, spark, folder):
@@ -303,15 +328,18 @@ def task_execution_log(w, spark, folder):
     return tables.read("task_execution_log").select("TASK_NAME", "TASK_TYPE", "STATUS", "ROWS_AFFECTED", "EXECUTION_TIME_SEC")
 
 
-@query("error_log", """SELECT 'SAFE_INGESTION_CHECK' AS PROCEDURE_NAME, 'OPEN' AS RESOLUTION_STATUS, 'ERROR' AS SEVERITY, count(*) > 0 AS LOGGED, count(*) AS SOURCE_ROWS FROM events""")
+@query("error_log", """SELECT 'SAFE_INGESTION_CHECK' AS PROCEDURE_NAME, upper(event_type) AS SOURCE_SYSTEM, 'OPEN' AS RESOLUTION_STATUS, 'ERROR' AS SEVERITY, true AS LOGGED FROM events GROUP BY event_type""")
 def error_log(w, spark, folder):
-    """A check that cannot read its log: the answer is an ERROR row and the error table gains an entry."""
+    """A check per source system that cannot read its log: the answer is an ERROR row and the error table gains an entry each."""
     tables = TableFolder(spark, scratch_path(spark, "errors"))
-    broken = testbed.file_ingestion_log(spark, folder).withColumn("LOAD_START_TS", F.raise_error(F.lit("log unreadable")).cast("timestamp_ntz"))
-    observe.safe_ingestion_check(spark, lambda: broken, "ERROR", 24, AS_OF_EVENTS, lambda row: tables.append("error_event_log", row, 0))
-    logged = tables.read("error_event_log")
-    return logged.select("PROCEDURE_NAME", "RESOLUTION_STATUS", "SEVERITY", F.contains("ERROR_MESSAGE", F.lit("log unreadable")).alias("LOGGED"),
-                         table(spark, folder, "events").agg(F.count("*")).scalar().alias("SOURCE_ROWS"))
+    log = testbed.file_ingestion_log(spark, folder)
+    broken = log.withColumn("LOAD_START_TS", F.raise_error(F.lit("log unreadable")).cast("timestamp_ntz"))
+    sources = [r["SOURCE_SYSTEM"] for r in log.select("SOURCE_SYSTEM").distinct().collect()]  # a handful of systems
+    for batch, source in enumerate(sources):
+        observe.safe_ingestion_check(spark, lambda: broken, source, 24, AS_OF_EVENTS, lambda row, b=batch: tables.append("error_event_log", row, b))
+    return tables.read("error_event_log").select(
+        "PROCEDURE_NAME", F.get_json_object("INPUT_PARAMETERS", "$.source_system").alias("SOURCE_SYSTEM"), "RESOLUTION_STATUS", "SEVERITY",
+        F.contains("ERROR_MESSAGE", F.lit("log unreadable")).alias("LOGGED"))
 
 
 CTES["cost_rows"] = """SELECT list_extract(['LOADER_WH', 'TRANSFORMER_WH', 'CI_WH', 'DEV_WH', 'ANALYTICS_WH'], CAST(user_id % 5 + 1 AS INTEGER)) AS WAREHOUSE_NAME, event_type AS QUERY_TAG, 'CC' || (user_id % 3) AS COST_CENTER,
@@ -393,10 +421,10 @@ def data_product_catalog(w, spark, folder):
     return observe.product_catalog(scored)
 
 
-@query("data_product_registry", """SELECT PRODUCT_NAME, PRODUCT_DOMAIN, sha256(PRODUCT_NAME) AS PRODUCT_ID, (SELECT count(*) FROM hub_customer) AS CUSTOMERS FROM product_registry""")
+@query("data_product_registry", """SELECT r.PRODUCT_NAME, PRODUCT_DOMAIN, sha256(r.PRODUCT_NAME) AS PRODUCT_ID, q.QUALITY_SCORE FROM product_registry r LEFT JOIN product_quality q ON r.PRODUCT_NAME = q.PRODUCT_NAME""")
 def data_product_registry(w, spark, folder):
     registry = observe.register_products(spark, observe.register_products(spark, None, AS_OF_EVENTS), AS_OF_EVENTS)
-    return registry.select("PRODUCT_NAME", "PRODUCT_DOMAIN", "PRODUCT_ID", w.hub_customer.agg(F.count("*")).scalar().alias("CUSTOMERS"))
+    return registry.drop("QUALITY_SCORE").join(_product_scores(w, spark), "PRODUCT_NAME", "left").select("PRODUCT_NAME", "PRODUCT_DOMAIN", "PRODUCT_ID", "QUALITY_SCORE")
 
 
 @query("audit_retention", """SELECT ERROR_ID, ERROR_TIMESTAMP FROM error_event_log WHERE ERROR_TIMESTAMP IS NULL OR ERROR_TIMESTAMP >= TIMESTAMP '2024-01-16 00:00:00'""")
@@ -455,15 +483,19 @@ def write_table(w, spark, folder):
 
 
 @query("schema_change_policy", """SELECT 'sync' AS policy, count(*) AS N, count(c_name) AS OLD_COLUMN, count(extra) AS NEW_COLUMN FROM (
-  SELECT c_custkey, CAST(NULL AS VARCHAR) AS c_name, CAST(NULL AS INTEGER) AS extra FROM customer UNION ALL SELECT c_custkey, NULL, 1 FROM customer WHERE c_custkey < 50)
-UNION ALL SELECT 'fail', count(*), 0, 0 FROM customer""")
+  SELECT c_custkey, CAST(NULL AS VARCHAR) AS c_name, CAST(NULL AS INTEGER) AS extra FROM customer UNION ALL SELECT c_custkey, NULL, 1 FROM customer)
+UNION ALL SELECT 'fail', count(*), count(c_name), 0 FROM customer""")
 def schema_change_policy(w, spark, folder):
     stored = table(spark, folder, "customer").select("c_custkey", "c_name")
-    incoming = table(spark, folder, "customer").where("c_custkey < 50").select("c_custkey", F.lit(1).alias("extra"))
+    incoming = table(spark, folder, "customer").select("c_custkey", F.lit(1).alias("extra"))
     synced = sync_columns(stored, incoming)
+    try:
+        assert_schema(incoming, stored.schema)
+        accepted = stored.unionByName(incoming, allowMissingColumns=True)
+    except SchemaDrift:  # the table stays as it was
+        accepted = stored.withColumn("extra", F.lit(None).cast("int"))
     sync = synced.agg(F.lit("sync").alias("policy"), F.count("*").alias("N"), F.lit(0).cast("bigint").alias("OLD_COLUMN"), F.count("extra").alias("NEW_COLUMN"))
-    assert_schema(stored, stored.schema)
-    fail = stored.agg(F.lit("fail").alias("policy"), F.count("*").alias("N"), F.lit(0).cast("bigint").alias("OLD_COLUMN"), F.lit(0).cast("bigint").alias("NEW_COLUMN"))
+    fail = accepted.agg(F.lit("fail").alias("policy"), F.count("*").alias("N"), F.count("c_name").alias("OLD_COLUMN"), F.count("extra").alias("NEW_COLUMN"))
     return sync.unionByName(fail)
 
 
@@ -492,12 +524,12 @@ def read_delimited(w, spark, folder):
 
 @query("read_json", "SELECT event_id, user_id, event_type, value FROM events")
 def read_json(w, spark, folder):
-    """Arrays of events, one array per line: the arrays come back as rows."""
+    """Arrays of events, one array per line, and a broken line per array: the arrays come back as rows, the broken lines do not."""
     path = scratch_path(spark, "json")
     events = table(spark, folder, "events").select("event_id", "user_id", "event_type", "value")
     # an array per thousand event ids: its size does not grow with the table
     arrays = events.groupBy(F.floor(F.col("event_id") / 1000)).agg(F.to_json(F.collect_list(F.struct(*events.columns))).alias("value"))
-    arrays.select("value").write.text(path)
+    arrays.select(F.explode(F.array("value", F.concat(F.lit("[{"), F.substring("value", 1, 40)))).alias("value")).write.text(path)
     return formats.read_json(spark, path, _types("event_id bigint, user_id bigint, event_type string, value double")).drop("_FILE_NAME")
 
 
@@ -514,11 +546,13 @@ def read_stage(w, spark, folder):
 @query("copy_into", """SELECT 'LOADED' AS STATUS, count(*) AS FILES_ROWS, count(*) AS ROWS_LOADED FROM customer WHERE c_custkey % 3 <> 0
 UNION ALL SELECT 'SKIPPED', count(*), 0 FROM customer WHERE c_custkey % 3 = 0""")
 def copy_into(w, spark, folder):
-    """Three sets of files; the one with unreadable balances is skipped whole and logged."""
+    """Three sets of files; the one with unreadable balances is skipped whole and logged, one has its columns the other way round."""
     path = scratch_path(spark, "copy")
     customer = table(spark, folder, "customer").withColumn("part", F.col("c_custkey") % 3)
     bad = F.when(F.col("part") == 0, "broken").otherwise(F.col("c_acctbal").cast("string"))
-    customer.withColumn("c_acctbal", bad).repartition("part").write.partitionBy("part").option("header", "true").csv(path)
+    dirty, names = customer.withColumn("c_acctbal", bad), [f.name for f in _types(CUSTOMER_TYPES)]
+    for part, order in ((0, names), (1, names[::-1]), (2, [n.upper() for n in names])):
+        dirty.where(F.col("part") == part).select(*[F.col(n).alias(n) for n in order]).write.option("header", "true").csv(f"{path}/part={part}")
     tables = TableFolder(spark, scratch_path(spark, "landing"))
     stage = formats.Stage(f"{path}/*", "csv_comma", _types(CUSTOMER_TYPES))
     for batch in (1, 2):  # the second run finds its files logged and loads nothing twice

@@ -405,12 +405,26 @@ def q_uuid(w, spark, folder):
 
 
 # ---- reference lists ----------------------------------------------------------------------------
-@query("seed_load", f"""SELECT country_codes.*, count(r.CUSTOMER_ID) AS uses
-FROM {values('country_codes')} LEFT JOIN stg_customers r ON country_codes.country_code = r.COUNTRY_CODE GROUP BY ALL""")
+LISTS = {  # list -> its code and name, and the staged column that uses the code
+    "country_codes": ("country_code", "country_name", "stg_customers", "COUNTRY_CODE"),
+    "order_status_mapping": ("order_status_code", "order_status_name", "stg_orders", "ORDER_STATUS"),
+    "payment_methods": ("payment_method_code", "payment_method_name", "stg_orders", "PAYMENT_METHOD"),
+    "product_categories": ("category_name", "department", "stg_products", "CATEGORY"),
+}
+
+
+@query("seed_load", " UNION ALL ".join(
+    f"SELECT '{n}' AS LIST, {n}.{code} AS CODE, {n}.{name} AS NAME, count(u.{used}) AS USES FROM {values(n)} LEFT JOIN {staged} u ON upper({n}.{code}) = u.{used} GROUP BY ALL"
+    for n, (code, name, staged, used) in LISTS.items()))
 def q_seed_load(w, spark, folder):
-    countries = seeds.seed(spark, "country_codes")
-    uses = w.stg_customers.groupBy(F.col("COUNTRY_CODE").alias("country_code")).agg(F.count("CUSTOMER_ID").alias("uses"))
-    return countries.join(uses, "country_code", "left").withColumn("uses", F.coalesce("uses", F.lit(0)))
+    """Every entry of the four lists with the number of staged rows that use it."""
+    out = None
+    for n, (code, name, staged, used) in LISTS.items():
+        uses = getattr(w, staged).groupBy(F.col(used).alias("used")).agg(F.count("*").alias("USES"))
+        entries = seeds.seed(spark, n).select(F.lit(n).alias("LIST"), F.col(code).alias("CODE"), F.col(name).alias("NAME"))
+        counted = entries.join(uses, F.upper("CODE") == F.col("used"), "left").select("LIST", "CODE", "NAME", F.coalesce("USES", F.lit(0)).alias("USES"))
+        out = counted if out is None else out.unionByName(counted)
+    return out
 
 
 @query("seed_enrich", f"""SELECT o.ORDER_ID, o.LOAD_DATETIME, o.ORDER_STATUS, order_status_mapping.status_category, CAST(order_status_mapping.is_terminal AS BOOLEAN) AS is_terminal, payment_methods.payment_type
@@ -443,7 +457,7 @@ def q_archive(w, spark, folder):
 CTES["search_tf"] = """SELECT PRODUCT_ID, term, count(*) AS tf FROM (
   SELECT PRODUCT_ID, unnest(string_split(lower(PRODUCT_DESCRIPTION), ' ')) AS term FROM product_search_corpus) WHERE term <> '' GROUP BY ALL"""
 CTES["search_idf"] = """SELECT term, ln((1 + (SELECT count(*) FROM product_search_corpus)) / (1 + count(*))::DOUBLE) + 1 AS idf FROM search_tf GROUP BY term"""
-CTES["search_queries"] = "SELECT DISTINCT p_brand AS QUERY_ID, p_type || ' ' || p_brand AS q FROM part WHERE p_type = 'ECONOMY'"
+CTES["search_queries"] = "SELECT DISTINCT p_type || ' ' || p_brand AS QUERY_ID, p_type || ' ' || p_brand AS q FROM part"
 CTES["search_query_terms"] = """SELECT QUERY_ID, term, idf * tf AS qw, sqrt(sum(idf * tf * idf * tf) OVER (PARTITION BY QUERY_ID)) AS qn FROM (
   SELECT QUERY_ID, term, count(*) AS tf FROM (SELECT QUERY_ID, unnest(string_split(lower(q), ' ')) AS term FROM search_queries) GROUP BY ALL) JOIN search_idf USING (term)"""
 CTES["search_weights"] = """SELECT PRODUCT_ID, term, idf * tf AS w, sqrt(sum(idf * tf * idf * tf) OVER (PARTITION BY PRODUCT_ID)) AS n
@@ -456,7 +470,7 @@ FROM search_tf JOIN search_idf USING (term)"""
 QUALIFY row_number() OVER (PARTITION BY QUERY_ID ORDER BY round(SCORE, 9) DESC, PRODUCT_ID) <= 3""")
 def q_search(w, spark, folder):
     from ..plans.search import search_topk
-    wanted = table(spark, folder, "part").where("p_type = 'ECONOMY'").select(
-        F.col("p_brand").alias("QUERY_ID"), F.concat_ws(" ", "p_type", "p_brand").alias("QUERY_TEXT")).distinct()
+    asked = F.concat_ws(" ", "p_type", "p_brand")
+    wanted = table(spark, folder, "part").select(asked.alias("QUERY_ID"), asked.alias("QUERY_TEXT")).distinct()
     found = search_topk(w.product_search_corpus, wanted, "PRODUCT_ID", "PRODUCT_DESCRIPTION", "QUERY_ID", "QUERY_TEXT", 3)
     return found.select("QUERY_ID", "PRODUCT_ID", F.round("SCORE", 6).alias("SCORE"))

@@ -10,7 +10,7 @@ from pyspark.sql import types as T
 
 from ..functions.dates import at
 from ..functions.keys import row_id
-from .formats import SEPARATORS, Stage, read_delimited
+from .formats import SEPARATORS, Stage, file_name, file_size, read_delimited, read_json_by_name
 from .tables import TableFolder
 
 LOG = "file_ingestion_log"
@@ -32,16 +32,13 @@ def match_by_name(df: DataFrame, schema: T.StructType) -> list[Column]:
 
 
 def staged_rows(spark: SparkSession, stage: Stage) -> DataFrame:
-    """Typed rows with ``_FILE_NAME`` and ``_broken``."""
+    """Typed rows with ``_FILE_NAME``, ``_FILE_SIZE`` and ``_broken``; names are matched file by file."""
     if stage.kind in SEPARATORS:
         return read_delimited(spark, stage.location, stage.schema, SEPARATORS[stage.kind], strict=True, by_name=True)
-    file_name = F.col("_metadata.file_path").alias("_FILE_NAME")
     if stage.kind == "json":
-        schema = T.StructType([*stage.schema.fields, T.StructField("_corrupt_record", T.StringType())])
-        raw = spark.read.schema(schema).json(stage.location)
-        return raw.select(*stage.schema.names, file_name, F.col("_corrupt_record").isNotNull().alias("_broken"))
+        return read_json_by_name(spark, stage.location, stage.schema)
     raw = spark.read.format(stage.kind).load(stage.location)
-    return raw.select(*match_by_name(raw, stage.schema), file_name, F.lit(False).alias("_broken"))
+    return raw.select(*match_by_name(raw, stage.schema), file_name(), file_size(), F.lit(False).alias("_broken"))
 
 
 def accept_files(rows: DataFrame, stage: Stage, source_system: str, now: str, pipe: str = "",
@@ -53,15 +50,15 @@ def accept_files(rows: DataFrame, stage: Stage, source_system: str, now: str, pi
     if done is not None:
         loaded = done.where("STATUS = 'LOADED'").select(F.col("FILE_PATH").alias("_FILE_NAME"))
         rows = rows.join(loaded, "_FILE_NAME", "left_anti")
-    files = rows.groupBy("_FILE_NAME").agg(F.count("*").alias("n"), F.count_if("_broken").alias("bad"))
+    files = rows.groupBy("_FILE_NAME").agg(F.count("*").alias("n"), F.count_if("_broken").alias("bad"), F.max("_FILE_SIZE").alias("size"))
     skipped = files.where("bad > 0").select("_FILE_NAME")
-    kept = rows.join(skipped, "_FILE_NAME", "left_anti").drop("_broken").withColumn("_LOADED_AT", at(now))
+    kept = rows.join(skipped, "_FILE_NAME", "left_anti").drop("_broken", "_FILE_SIZE").withColumn("_LOADED_AT", at(now))
     clean = F.col("bad") == 0
     log = files.select(
         row_id(F.col("_FILE_NAME"), F.lit(now)).alias("INGESTION_ID"),
         F.element_at(F.split("_FILE_NAME", "/"), -1).alias("FILE_NAME"), F.col("_FILE_NAME").alias("FILE_PATH"),
         F.lit(stage.location).alias("STAGE_NAME"), F.lit(source_system).alias("SOURCE_SYSTEM"), F.lit(stage.kind).alias("FILE_FORMAT"),
-        F.lit(None).cast("bigint").alias("FILE_SIZE_BYTES"), F.col("n").alias("ROW_COUNT"), F.col("n").alias("ROWS_PARSED"),
+        F.col("size").alias("FILE_SIZE_BYTES"), F.col("n").alias("ROW_COUNT"), F.col("n").alias("ROWS_PARSED"),
         F.when(clean, F.col("n")).otherwise(0).cast("bigint").alias("ROWS_LOADED"), F.col("bad").alias("ERRORS_SEEN"),
         F.when(~clean, F.concat(F.col("bad").cast("string"), F.lit(" rows do not fit the schema"))).alias("FIRST_ERROR_MESSAGE"),
         F.when(clean, "LOADED").otherwise("SKIPPED").alias("STATUS"), F.lit(pipe).alias("PIPE_NAME"),

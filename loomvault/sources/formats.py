@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import re
 from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -15,6 +16,15 @@ from ..functions.dates import at
 NULL_TOKENS = ("NULL", "null", "", "NA", "N/A")
 
 
+
+def file_name() -> Column:
+    return F.col("_metadata.file_path").alias("_FILE_NAME")
+
+
+def file_size() -> Column:
+    return F.col("_metadata.file_size").alias("_FILE_SIZE")
+
+
 def as_text(schema: T.StructType) -> T.StructType:
     return T.StructType([T.StructField(f.name, T.StringType()) for f in schema])
 
@@ -37,38 +47,82 @@ def read_delimited(spark: SparkSession, path: str, schema: T.StructType, sep: st
                    by_name: bool = False) -> DataFrame:
     """Delimited text with a header line. Short rows are padded with NULL, extra fields are dropped.
 
-    By position, headers are skipped unread. ``by_name`` matches header names to the schema whatever
-    their order and case; the header of the first file holds for all of them, and a file with another
-    header fails the read instead of filling the wrong columns. ``strict`` adds ``_broken`` for rows
-    with a value that does not convert.
+    By position, headers are skipped unread. ``by_name`` matches the header names of each file to the
+    schema whatever their order and case; a column that a file lacks is NULL. ``strict`` adds
+    ``_broken`` for rows with a value that does not convert, and for all rows of a file whose header
+    has no name of the schema.
     """
     options = {
         "header": "true", "sep": sep, "quote": '"', "ignoreLeadingWhiteSpace": "true", "ignoreTrailingWhiteSpace": "true",
         "mode": "PERMISSIVE",
     }
-    file_name = F.col("_metadata.file_path").alias("_FILE_NAME")
-    if by_name:
-        names = spark.read.options(**options).csv(path).columns
-        header = T.StructType([T.StructField(n, T.StringType()) for n in names])
-        have = {n.lower(): n for n in names}
-        text = spark.read.options(**options, enforceSchema="false").schema(header).csv(path).select(*[
-            (F.col(f"`{have[f.name.lower()]}`") if f.name.lower() in have else F.lit(None).cast("string")).alias(f.name)
-            for f in schema
-        ], file_name)
-    else:
-        text = spark.read.options(**options).schema(as_text(schema)).csv(path).select("*", file_name)
-    return typed(text, schema, strict)
-
-
-def read_json(spark: SparkSession, path: str, schema: T.StructType | None = None, multi_line: bool = False) -> DataFrame:
+    if not by_name:
+        text = spark.read.options(**options).schema(as_text(schema)).csv(path).select("*", file_name())
+        return typed(text, schema, strict)
+    headers = file_headers(spark, path, sep)
+    width = headers.agg(F.max(F.size("_names"))).first()[0] or 1
+    places = T.StructType([T.StructField(f"c{i}", T.StringType()) for i in range(width)])
+    fields = spark.read.options(**options).schema(places).csv(path).select(F.array(*places.names).alias("_fields"), file_name(), file_size())
+    fields = fields.join(headers, "_FILE_NAME")
+    text = fields.select(*[
+        F.get("_fields", F.array_position("_names", f.name.lower()).cast("int") - 1).alias(f.name) for f in schema
+    ], "_FILE_NAME", "_FILE_SIZE", F.arrays_overlap("_names", F.array(*[F.lit(f.name.lower()) for f in schema])).alias("_fits"))
+    out = typed(text, schema, strict)
+    return (out.withColumn("_broken", F.col("_broken") | ~F.col("_fits")) if strict else out.drop("_FILE_SIZE")).drop("_fits")
+
+
+def file_headers(spark: SparkSession, path: str | list[str], sep: str) -> DataFrame:
+    """(_FILE_NAME, _names): the lower-case header names of each file, from the first line of its first block."""
+    lines = spark.read.text(path).select("value", file_name(), F.col("_metadata.file_block_start").alias("at"), F.monotonically_increasing_id().alias("id"))
+    first = lines.where((F.col("at") == 0) & (F.trim("value") != "")).groupBy("_FILE_NAME").agg(F.min_by("value", "id").alias("line"))
+    parts = F.split(F.regexp_replace("line", "\ufeff", ""), re.escape(sep), -1)
+    return first.select("_FILE_NAME", F.transform(parts, lambda n: F.lower(F.trim(F.regexp_replace(F.trim(n), '^"|"$', "")))).alias("_names"))
+
+
+def read_json(spark: SparkSession, path: str, schema: T.StructType | None = None, multi_line: bool = False,
+              strict: bool = False) -> DataFrame:
     """JSON documents or arrays of them; arrays become rows, NULL members stay.
 
     One document or array per line can be read in splits; ``multi_line`` is for files that hold a
-    single document or array spread over lines, each of which one task has to parse whole.
+    single document or array spread over lines, each of which one task has to parse whole. With a
+    schema, a document that is no JSON or has a value of another type gives no row; ``strict`` gives
+    a row of NULLs for it that is marked ``_broken``.
+    """
+    if schema is None:
+        reader = spark.read.option("multiLine", str(multi_line).lower()).option("mode", "PERMISSIVE")
+        return reader.json(path).select("*", file_name())
+    documents = spark.read.text(path, wholetext=multi_line).where(F.trim("value") != "").select(
+        F.from_json("value", T.ArrayType(schema)).alias("_rows"), file_name())  # a document alone is an array of one
+    if not strict:
+        return documents.select(F.explode("_rows").alias("_row"), "_FILE_NAME").select("_row.*", "_FILE_NAME")
+    broken = F.array(F.lit(None).cast(schema))
+    marked = documents.select(F.explode(F.coalesce("_rows", broken)).alias("_row"), "_FILE_NAME", F.col("_rows").isNull().alias("_broken"))
+    return marked.select("_row.*", "_FILE_NAME", "_broken")
+
+
+def read_json_by_name(spark: SparkSession, path: str | list[str], schema: T.StructType) -> DataFrame:
+    """One JSON document or array per line, member names matched to the schema whatever their case.
+
+    ``_broken`` marks a line that is no JSON object and a member that does not convert.
     """
-    reader = spark.read.option("multiLine", str(multi_line).lower()).option("mode", "PERMISSIVE")
-    frame = (reader.schema(schema) if schema else reader).json(path)
-    return frame.select("*", F.col("_metadata.file_path").alias("_FILE_NAME"))
+    members = "map<string,string>"
+    lines = spark.read.text(path).where(F.trim("value") != "").select("value", file_name(), file_size())
+    many = F.from_json("value", f"array<{members}>")
+    nothing = F.array(F.lit(None).cast(members))
+    parsed = F.when(F.startswith(F.trim("value"), F.lit("[")), F.coalesce(many, nothing)).otherwise(F.array(F.from_json("value", members)))
+    rows = lines.select(F.explode(parsed).alias("_row"), "_FILE_NAME", "_FILE_SIZE")
+    out, broken = [], F.col("_row").isNull()
+    for f in schema:
+        text = F.get(F.filter(F.map_entries("_row"), lambda e: F.lower(e["key"]) == f.name.lower()), F.lit(0))["value"]
+        if isinstance(f.dataType, T.VariantType):
+            value = F.try_parse_json(text)
+        elif isinstance(f.dataType, (T.StructType, T.ArrayType, T.MapType)):
+            value = F.from_json(text, f.dataType)
+        else:
+            value = text.try_cast(f.dataType)
+        out.append(value.alias(f.name))
+        broken = broken | (text.isNotNull() & value.isNull())
+    return rows.select(*out, "_FILE_NAME", "_FILE_SIZE", broken.alias("_broken"))
 
 
 def read_parquet(spark: SparkSession, path: str) -> DataFrame:

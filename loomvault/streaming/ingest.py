@@ -2,32 +2,38 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
+from urllib.parse import unquote
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from ..sources.copy import LOG, accept_files
-from ..sources.formats import SEPARATORS, Stage, as_text, typed
+from ..sources.copy import LOG, accept_files, staged_rows
+from ..sources.formats import Stage, file_name
 from ..sources.tables import TableFolder
 
 
 def stream_files(spark: SparkSession, stage: Stage, tables: TableFolder, name: str, source_system: str, now: str,
                  checkpoint: str, max_files: int = 1000) -> StreamingQuery:
-    """Pick up new delimited files, whole files only, and log each one.
+    """Pick up new files, whole files only, and log each one.
 
-    A file is always inside one micro-batch. A batch writes its own folder, so a replay after a
-    failure replaces what the failed attempt left.
+    A file is always inside one micro-batch; the stream tells which files are new, and they are read
+    as a copy reads them, columns matched by name file by file. A batch writes its own folder, so a
+    replay after a failure replaces what the failed attempt left.
     """
-    reader = spark.readStream.options(header="true", sep=SEPARATORS[stage.kind], quote='"', maxFilesPerTrigger=max_files)
-    text = reader.schema(as_text(stage.schema)).csv(stage.location).select("*", F.col("_metadata.file_path").alias("_FILE_NAME"))
+    found = spark.readStream.option("maxFilesPerTrigger", max_files).text(stage.location).select(file_name())
 
     def load(batch: DataFrame, batch_id: int) -> None:
-        rows = typed(batch, stage.schema, strict=True)
+        files = [unquote(r["_FILE_NAME"]) for r in batch.distinct().collect()]  # at most max_files names
+        if not files:
+            return
+        rows = staged_rows(batch.sparkSession, replace(stage, location=files))
         result = accept_files(rows, stage, source_system, now, done=tables.read(LOG, before_batch=batch_id))
         tables.append(name, result.rows, batch_id)
         tables.append(LOG, result.log, batch_id)
 
-    return text.writeStream.foreachBatch(load).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    return found.writeStream.foreachBatch(load).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
 def stream_events(events: DataFrame, tables: TableFolder, name: str, checkpoint: str) -> StreamingQuery:

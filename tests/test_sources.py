@@ -28,9 +28,9 @@ def test_delimited_rules(spark, folder):
 def test_by_name_and_other_header(spark, folder):
     write(folder, "a.csv", "AMOUNT,ID\n2.5,1\n")
     assert rows(formats.read_delimited(spark, folder, SCHEMA, by_name=True), "id", "name", "amount") == [(1, None, 2.5)]
-    write(folder, "b.csv", "ID,AMOUNT\n7,9.5\n")
-    with pytest.raises(Exception, match="FAILED_READ_FILE"):  # never the wrong column
-        formats.read_delimited(spark, folder, SCHEMA, by_name=True).collect()
+    write(folder, "b.csv", "ID,AMOUNT\n7,9.5\n")  # each file by its own header
+    write(folder, "c.csv", '"name",other,"Id"\nn,o,8\n')
+    assert rows(formats.read_delimited(spark, folder, SCHEMA, by_name=True), "id", "name", "amount") == [(1, None, 2.5), (7, None, 9.5), (8, "n", None)]
 
 
 def test_json_array_over_lines(spark, folder):
@@ -67,6 +67,28 @@ def test_copy_skips_a_whole_file(spark, folder):
     assert rows(log) == [("bad.csv", "SKIPPED", 0, 1), ("good.csv", "LOADED", 2, 0)]
 
 
+def test_copy_matches_names_file_by_file(spark, folder):
+    write(f"{folder}/csv", "a.csv", "id,name,amount\n1,a,2\n")
+    write(f"{folder}/csv", "b.csv", "AMOUNT,ID\n4,2\n")
+    write(f"{folder}/csv", "odd.csv", "x,y\n5,6\n")
+    got = copy.copy_into(spark, formats.Stage(f"{folder}/csv", "csv_comma", SCHEMA), "SHOP", NOW)
+    assert rows(got.rows, "id", "name", "amount") == [(1, "a", 2.0), (2, None, 4.0)]
+    assert rows(got.log, "FILE_NAME", "STATUS", "FILE_SIZE_BYTES") == [("a.csv", "LOADED", 21), ("b.csv", "LOADED", 14), ("odd.csv", "SKIPPED", 8)]
+    write(f"{folder}/json", "a.json", '{"ID":1,"Name":"x"}\n\n[{"id":2},{"id":3,"amount":1.5}]\n[]\n')
+    write(f"{folder}/json", "bad.json", '{"id":4}\n{"id":\n')
+    write(f"{folder}/json", "typed.json", '{"id":"no"}\n')
+    got = copy.copy_into(spark, formats.Stage(f"{folder}/json", "json", SCHEMA), "SHOP", NOW)
+    assert rows(got.rows, "id", "name", "amount") == [(1, "x", None), (2, None, None), (3, None, 1.5)]
+    assert rows(got.log, "FILE_NAME", "STATUS", "ERRORS_SEEN") == [("a.json", "LOADED", 0), ("bad.json", "SKIPPED", 1), ("typed.json", "SKIPPED", 1)]
+
+
+def test_broken_json_lines(spark, folder):
+    write(folder, "a.json", '{"id": 1}\n{"id": \n[{"id": 2}, {"id": 3}]\n')
+    schema = StructType.fromDDL("id int")
+    assert rows(formats.read_json(spark, folder, schema), "id") == [(1,), (2,), (3,)]
+    assert rows(formats.read_json(spark, folder, schema, strict=True), "_broken", "id") == [(False, 1), (False, 2), (False, 3), (True, None)]
+
+
 def test_drift_versions(spark):
     def cols(ddl):
         return drift.inferred_columns(spark.createDataFrame([], ddl))
