@@ -75,7 +75,7 @@ def _per_doc(docs: DataFrame, per_doc: DataFrame, how: str) -> DataFrame:
 
 
 def _lines_at(texts: DataFrame, places: DataFrame) -> DataFrame:
-    """The lines at some places (__key, __mark, pos): one row each, repeated rows of a document once."""
+    """The lines at some places (__key, __mark, pos), in each of the repeated rows of a document."""
     wanted = places.groupBy("__key", "__mark").agg(F.sort_array(F.collect_set("pos")).alias("wanted"))
     # every line in it is fetched by its place, from one split of the text
     lines = F.split("__text", "\n", -1)
@@ -131,8 +131,8 @@ def _one_edit(a: Column, b: Column) -> Column:
 def _near(texts: DataFrame, distinct: DataFrame) -> DataFrame:
     """The distinct lines (first) that have an earlier line within one edit."""
     halves = stored(_sharing(distinct.filter(F.col("halves").isNotNull()).withColumnRenamed("halves", "keys")), "lines-halves")
-    likely = _lines_at(texts, halves).repartition("__mark")  # dealt once for all that follows
     place = ["__key", "__mark", "pos"]
+    likely = _lines_at(texts, halves).repartition("__mark").dropDuplicates(place)  # dealt once for all that follows
     eighths = _sharing(likely.select(F.struct(*place).alias("first"), _piece_keys(_words(F.col("line")), 8).alias("keys")))
     likely = likely.join(eighths.withColumnsRenamed({c: f"{c}_" for c in place}), (F.col("pos") == F.col("pos_"))
                          & (F.col("__mark") == F.col("__mark_")) & F.col("__key").eqNullSafe(F.col("__key_")), "left_semi")

@@ -97,6 +97,13 @@ def test_lines_equal_a_comparison_of_all_pairs(spark):
     assert got == expect
 
 
+def test_lines_of_repeated_rows_have_near_lines(spark):
+    line, other = words(random.Random(8), 12), words(random.Random(9), 12)
+    docs = [(1, line + " one")] * 3 + [(2, line + " two\n" + other + " one")] + [(4, other + " two\nalone")] * 3
+    got = [tuple(r) for r in lines.dedup_lines(spark.createDataFrame(docs, "doc_id long, text string")).select("doc_id", "text").collect()]
+    assert sorted(got) == [(1, line + " one")] * 3 + [(2, other + " one")] + [(4, "alone")] * 3
+
+
 @pytest.mark.parametrize("keep", ["none", "first"])
 @pytest.mark.parametrize("part", [4096, 2])
 def test_repeats_equal_every_window_compared(spark, monkeypatch, keep, part):
