@@ -27,7 +27,7 @@ def remove_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 def remove_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, without the lines that stand in an earlier one."""
-    return _as_documents(lines.dedup_lines(docs))
+    return _as_documents(lines.dedup_lines(docs, max_edits=None))
 
 
 def remove_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -1,8 +1,9 @@
 """Near-duplicate line removal by a deletion-neighbourhood join, in DataFrame functions only.
 
-The lines of all documents are the parts between line breaks, the words of a line those between spaces. Two lines are near if they are equal, or
-if one edit of a word (put in, left out or changed) makes them equal and the longer has at least
-``LEAST`` words. A line goes if an earlier line, in the order of (key, text hash, place), is near it;
+The lines of all documents are the parts between line breaks, the words of a line those between spaces.
+Two lines are near if they are equal, or if edits of a word (put in, left out or changed) make them equal, of which the longer allows one for
+each full ``LEAST`` of its words, ``max_edits`` at the most (None: no other bound). A line
+goes if an earlier line, in the order of (key, text hash, place), is near it;
 blank lines stay. Every line is judged on the input, not on what is left.
 
 1. Equal lines meet in a partial minimum of their place, so that a very common line is one row per task.
@@ -13,7 +14,13 @@ blank lines stay. Every line is judged on the input, not on what is left.
    Changed words: equal variants at equal places. Words put in or left out: a variant that equals a
    whole line. For a group of equal keys only the earliest line is kept as partner.
 4. Each line meets the earliest line of its groups; the pair is verified on the words themselves.
-5. The places that stay are gathered per document and the texts cut accordingly.
+5. More edits than one: of two lines with k edits between them, each has at most k words that the other
+   lacks. So in any one order of all words, the first k + 1 distinct words of both have a word in common.
+   In the order taken here the most frequent words of a sample come last; the sample decides only how
+   many pairs meet. Lines first meet the earliest line of each of these words; those that are not
+   settled by it meet all earlier ones. Pairs whose parities of words differ by more than two bits an
+   edit are left out; of the others the distance is computed on the words.
+6. The places that stay are gathered per document and the texts cut accordingly.
 
 The sums behind the variant keys are running sums over a line's words, so that a long line costs as
 many steps as it has words. Texts move once, by document, and are read from there.
@@ -33,6 +40,8 @@ from pyspark.sql.window import Window
 from .common import named, stored
 
 LEAST = 8
+# The most frequent words, by rank, of one document in SHARE: decides only how many lines meet.
+RANKS, SHARE = (100, 1000, 4000), 16
 
 
 def _words(line: Column) -> Column:
@@ -152,25 +161,102 @@ def _near(texts: DataFrame, distinct: DataFrame) -> DataFrame:
     return met.filter(_one_edit(F.col("a"), F.col("b"))).select("first").distinct()
 
 
-def dedup_lines(df: DataFrame, key: str = "doc_id", text: str = "text", max_edits: int = 1) -> DataFrame:
+def _rare_words(texts: DataFrame) -> Column:
+    """Of ``words``, the numbers of as many as two lines with the most edits cannot both lack.
+
+    A line of n words has at most n / LEAST edits to a shorter one and n / (LEAST - 1) to a longer one.
+    """
+    some = texts.filter(F.pmod(F.xxhash64("__text"), F.lit(SHARE)) == 0)
+    number = "shiftrightunsigned(xxhash64(w), 6)"
+    often = (some.select(F.explode(F.array_distinct(_words(F.translate("__text", "\n", " ")))).alias("w")).groupBy(F.expr(number).alias("x"))
+             .agg(F.count("*").alias("c")).filter("c > 1").orderBy(F.desc("c"), "x").limit(RANKS[-1]).collect())
+    cases = [f"WHEN x IN ({', '.join(f'{r.x}L' for r in often[lo:hi])}) THEN {(len(RANKS) - k) << 58}L"
+             for k, (lo, hi) in enumerate(zip((0, *RANKS), RANKS)) if often[lo:hi]]
+    later = f"x + CASE {' '.join(cases)} ELSE 0L END" if cases else "x"
+    return F.expr(f"slice(array_sort(transform(array_distinct(transform(words, w -> {number})), x -> {later})), 1, size(words) div {LEAST - 1} + 1)")
+
+
+def _parities(words: Column) -> Column:
+    """128 bits, each whether the words that fall on it are odd in number: an edit changes two at most."""
+    def half(which: int) -> Column:
+        def flip(bits: Column, w: Column) -> Column:
+            at = F.pmod(F.xxhash64(w), F.lit(128)).cast("int") - 64 * which
+            return F.when(at.between(0, 63), bits.bitwiseXOR(F.call_function("shiftleft", F.lit(1).cast("long"), at))).otherwise(bits)
+        return F.aggregate(words, F.lit(0).cast("long"), flip)
+    return F.array(half(0), half(1))
+
+
+def _bound(longer: Column, most: int | None) -> Column:
+    edits = F.floor(longer / LEAST).cast("int")
+    return edits if most is None else F.least(edits, F.lit(most))
+
+
+def _within(a: Column, b: Column, edits: Column) -> Column:
+    """Whether two arrays of words differ by at most ``edits`` edits: each word becomes one character, the same in both."""
+    def text(words: Column, both: Column) -> Column:
+        def character(w: Column) -> Column:
+            at = F.array_position(both, w)
+            return F.lpad(F.hex(F.when(at < 0xD800, at).otherwise(at + 0x800)), 8, "0")  # no surrogates
+        return F.decode(F.unhex(F.array_join(F.transform(words, character), "")), "UTF-32")
+
+    # as a variable, the words of both are gathered once a pair, not once a word
+    near = F.transform(F.array(F.array_distinct(F.concat(a, b))), lambda both: F.call_function("levenshtein", text(a, both), text(b, both), edits) >= 0)
+    return F.get(near, F.lit(0))
+
+
+def _verified(texts: DataFrame, met: DataFrame, most: int | None) -> DataFrame:
+    """The lines (first) that are near an earlier one (other) they have met."""
+    edits = _bound(F.greatest("n", "n_other"), most)
+    differ = sum((F.bit_count(F.col("bits")[k].bitwiseXOR(F.col("bits_other")[k])) for k in (0, 1)), F.lit(0))
+    pairs = stored(met.filter((F.col("other") < F.col("first")) & (F.abs(F.col("n") - F.col("n_other")) <= edits) & (differ <= 2 * edits))
+                   .select("first", "other", edits.alias("edits")).distinct(), "lines-pairs")
+    sides = pairs.select("first", "other", "edits", F.explode(F.array("first", "other")).alias("line_at"))
+    place = ["__key", "__mark", "pos"]
+    read = _lines_at(texts, sides.select("line_at.*")).repartition("__mark").dropDuplicates(place)
+    sides = sides.join(read.select(F.struct(*place).alias("line_at"), _words(F.col("line")).alias("words")), "line_at")
+    words = sides.groupBy("first", "other", "edits").agg(F.max(F.when(F.col("line_at") == F.col("first"), F.col("words"))).alias("a"),
+                                                         F.max(F.when(F.col("line_at") == F.col("other"), F.col("words"))).alias("b"))
+    return words.filter(_within(F.col("a"), F.col("b"), F.col("edits"))).select("first").distinct()
+
+
+def _wider(texts: DataFrame, distinct: DataFrame, gone: DataFrame, most: int | None) -> DataFrame:
+    """``gone`` and the distinct lines (first) that have an earlier line at two edits or more within the bound."""
+    keyed = distinct.filter("rare is not null").select("first", F.explode("rare").alias("k"))
+    shared = keyed.groupBy("k").agg(F.count("*").alias("c")).filter("c > 1").select("k")
+    about = distinct.select("first", "n", "bits")
+    keyed = stored(keyed.join(shared, "k").join(about, "first"), "lines-rare")
+    least = keyed.groupBy("k").agg(F.min(F.struct("first", "n", "bits")).alias("m"))
+    least = least.select("k", F.col("m.first").alias("other"), F.col("m.n").alias("n_other"), F.col("m.bits").alias("bits_other"))
+    gone = stored(gone, "lines-gone")
+    once = stored(_verified(texts, keyed.join(gone, "first", "left_anti").join(least, "k"), most).unionByName(gone), "lines-gone")
+    every = keyed.withColumnsRenamed({"first": "other", "n": "n_other", "bits": "bits_other"})
+    return _verified(texts, keyed.join(once, "first", "left_anti").join(every, "k"), most).unionByName(once)
+
+
+def dedup_lines(df: DataFrame, key: str = "doc_id", text: str = "text", max_edits: int | None = 1) -> DataFrame:
     """``df`` with its text less the lines that go, and ``n_lines`` and ``n_removed``.
 
-    ``max_edits`` 0 finds equal lines only.
+    ``max_edits`` 0 finds equal lines only; None bounds the edits by the length of the line alone.
     """
-    if max_edits not in (0, 1):
-        raise ValueError("max_edits is 0 or 1")
+    if max_edits is not None and max_edits < 0:
+        raise ValueError("max_edits is None, 0 or more")
     texts = _keyed(df, key, text)
+    wide = max_edits is None or max_edits > 1
     every = texts.filter("__text is not null").select("__key", "__mark", F.posexplode(F.split("__text", "\n", -1)).alias("pos", "line"))
     every = every.filter(~_blank(F.col("line")))
     words = F.col("words")
-    halves = F.when(F.size(words) >= LEAST - 1, _piece_keys(words, 2)) if max_edits else F.lit(None).cast("array<bigint>")
+    halves = F.when(F.size(words) >= LEAST - 1, _piece_keys(words, 2)) if max_edits != 0 else F.lit(None).cast("array<bigint>")
+    more = {"n": F.size(words), "rare": _rare_words(texts), "bits": _parities(words)} if wide else {}
+    long = F.size(words) >= 2 * (LEAST - 1)  # the shorter of two lines with two edits
     hashed = every.withColumn("words", _words(F.col("line"))).select(
-        F.xxhash64("line").alias("l1"), F.xxhash64(F.lit(7), "line").alias("l2"), F.struct("__key", "__mark", "pos").alias("first"), halves.alias("halves"))
+        F.xxhash64("line").alias("l1"), F.xxhash64(F.lit(7), "line").alias("l2"), F.struct("__key", "__mark", "pos").alias("first"), halves.alias("halves"),
+        *(F.when(long, c).alias(name) for name, c in more.items()))
     # equal lines have equal halves: the earliest brings its own
-    distinct = stored(hashed.groupBy("l1", "l2").agg(F.min(F.struct("first", "halves")).alias("m")).select("m.first", "m.halves"), "lines")
+    distinct = stored(hashed.groupBy("l1", "l2").agg(F.min(F.struct("first", "halves", *more)).alias("m")).select("m.*"), "lines")
     kept = distinct.select("first")
-    if max_edits:
-        kept = kept.join(_near(texts, distinct), "first", "left_anti")
+    if max_edits != 0:
+        gone = _near(texts, distinct.select("first", "halves"))
+        kept = kept.join(_wider(texts, distinct, gone, max_edits) if wide else gone, "first", "left_anti")
     kept = kept.select("first.*").groupBy("__key", "__mark").agg(F.collect_set("pos").alias("kept"))
 
     lines = F.split("__text", "\n", -1)

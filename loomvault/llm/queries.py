@@ -27,7 +27,7 @@ def query(name: str, sql: str | None = None):
 
 @query("op1_line_dedup")
 def line_dedup(spark: SparkSession, folder: str) -> DataFrame:
-    out = lines.dedup_lines(documents(spark, folder))
+    out = lines.dedup_lines(documents(spark, folder), max_edits=None)
     return out.select("doc_id", "n_lines", "n_removed", F.length("text").cast("long").alias("n_chars"),
                       F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256).alias("kept_sha256"))
 

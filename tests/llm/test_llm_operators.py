@@ -97,6 +97,32 @@ def test_lines_equal_a_comparison_of_all_pairs(spark):
     assert got == expect
 
 
+def test_lines_within_a_bound_that_grows_equal_all_pairs(spark):
+    def distance(a, b):
+        row = list(range(len(b) + 1))
+        for i, x in enumerate(a, 1):
+            last, row[0] = row[0], i
+            for j, y in enumerate(b, 1):
+                last, row[j] = row[j], min(row[j] + 1, row[j - 1] + 1, last + (x != y))
+        return row[-1]
+
+    rng = random.Random(12)
+    pool = [words(rng, rng.choice((9, 14, 15, 16, 24, 33, 70))) for _ in range(12)] + [" ".join(["ha"] * 30)]
+    docs = []
+    for i in range(120):
+        line = rng.choice(pool).split(" ")
+        for _ in range(rng.randint(0, len(line) // 7 + 1)):
+            at = rng.randrange(len(line))
+            line[at:at + rng.choice((0, 1))] = rng.choice(([], ["new"], ["of", "two"]))
+        docs.append((i, " ".join(line)))
+    split = [(i, line, line.split(" ")) for i, line in docs]
+    gone = {i for i, line, a in split if any(j < i and (line == other or distance(a, b) <= max(len(a), len(b)) // lines.LEAST) for j, other, b in split)}
+    one = {i for i, line, a in split if any(j < i and (line == other or near(line, other)) for j, other, _ in split)}
+    assert one < gone and len(gone) < len(docs)
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    assert {r.doc_id for r in lines.dedup_lines(df, max_edits=None).filter("n_removed = 1").collect()} == gone
+
+
 def test_lines_of_repeated_rows_have_near_lines(spark):
     line, other = words(random.Random(8), 12), words(random.Random(9), 12)
     docs = [(1, line + " one")] * 3 + [(2, line + " two\n" + other + " one")] + [(4, other + " two\nalone")] * 3
