@@ -217,24 +217,30 @@ def near_links(prints: DataFrame, distance: int = DISTANCE) -> DataFrame:
             .mapInArrow(lambda batches: _runs(batches, distance), LINKS).distinct())
 
 
-def near_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text", distance: int = DISTANCE, shingle: int = SHINGLE) -> DataFrame:
-    """``key``, ``simhash`` and ``component``: the smallest key that near links lead to, itself included."""
-    docs = cut_lineage(add_simhash(df.select(named(key).alias("key"), named(text).alias("text")), "text", shingle).select("key", "simhash"))
+def _grouped(df: DataFrame, key: str, text: str, distance: int, shingle: int) -> DataFrame:
+    """``key``, the ``mark`` of the text, ``simhash`` and ``component`` of each row."""
+    given = df.select(named(key).alias("key"), F.xxhash64(named(text).cast("string")).alias("mark"), named(text).alias("text"))
+    docs = cut_lineage(add_simhash(given, "text", shingle).select("key", "mark", "simhash"))
     least = docs.groupBy("simhash").agg(F.min("key").alias("least"))
     groups = components(near_links(least.select(F.col("simhash").alias("print")), distance))
     rooted = least.join(groups, least["simhash"] == groups["node"], "left").select(
         "simhash", "least", F.coalesce("root", "simhash").alias("root"))
     smallest = rooted.groupBy("root").agg(F.min("least").alias("component"))
     classes = rooted.join(smallest, "root").select("simhash", "component")
-    return docs.join(classes, "simhash").select(F.col("key").alias(key), "simhash", "component")
+    return docs.join(classes, "simhash").select("key", "mark", "simhash", "component")
+
+
+def near_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text", distance: int = DISTANCE, shingle: int = SHINGLE) -> DataFrame:
+    """``key``, ``simhash`` and ``component``: the smallest key that near links lead to, itself included."""
+    return _grouped(df, key, text, distance, shingle).select(F.col("key").alias(key), "simhash", "component")
 
 
 def drop_near_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """The rows of ``df`` but for those with a near-duplicate of a smaller key; of equal rows one stays.
+    """The rows of ``df`` but for those with a near-duplicate of a smaller key; of rows of equal key and text one stays.
 
     Rows without a key stay as they are.
     """
-    known = df.filter(named(key).isNotNull())
-    kept = near_duplicates(known, key, text).filter(named(key) == F.col("component")).select(named(key)).distinct()
-    return known.join(kept, key, "left_semi").dropDuplicates([key]).select(*map(named, df.columns)).unionByName(
-        df.filter(named(key).isNull()))
+    known = df.filter(named(key).isNotNull()).withColumn("__mark", F.xxhash64(named(text).cast("string")))
+    kept = _grouped(known, key, text, DISTANCE, SHINGLE).filter("key = component").select(F.col("key").alias("__k"), F.col("mark").alias("__m")).distinct()
+    return (known.join(kept, (named(key) == F.col("__k")) & (F.col("__mark") == F.col("__m")), "left_semi").dropDuplicates([key, "__mark"])
+            .select(*map(named, df.columns)).unionByName(df.filter(named(key).isNull())))

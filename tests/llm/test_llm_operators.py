@@ -195,6 +195,14 @@ def test_fingerprints_and_components_equal_all_pairs(spark, monkeypatch):
         assert got == {i: (prints[i], root(i)) for i in prints}
 
 
+def test_texts_of_a_repeated_key_are_judged_each_on_its_own(spark):
+    rng = random.Random(6)
+    copied, clean, other = words(rng, 80), words(rng, 80), words(rng, 80)
+    docs = [(2, copied), (5, copied), (5, clean), (5, clean), (5, other), (None, clean)]
+    got = simhash.drop_near_duplicates(spark.createDataFrame(docs, "doc_id long, text string")).collect()
+    assert sorted(map(str, map(tuple, got))) == sorted(map(str, [(2, copied), (5, clean), (5, other), (None, clean)]))
+
+
 def test_golay_keys_meet_at_four_bits():
     rng = np.random.default_rng(2)
     one = rng.integers(0, 2**63, 500, dtype=np.uint64)
