@@ -5,7 +5,7 @@ training texts, a chunk of an Arrow batch, gets a suffix array over its words, o
 can match at all: those whose first words, as many as the shortest window has, are benchmark words.
 Every distinct window of the test texts is searched in it by binary search, over all shards; what
 lies between the two ends of a search are the places of a verbatim match. Occurrences that overlap in
-a text join to its longest verbatim matches, given as spans of words.
+a text join to spans of hit words; the longest verbatim match is taken within one item, word by word.
 
 A window is ``WINDOW`` consecutive words of an item, or the whole item if that is shorter. A document
 word inside an occurrence of a window is hit.
@@ -13,8 +13,8 @@ word inside an occurrence of a window is hit.
 The benchmark is the side that is sent out: in blocks of at most ``BLOCK_WORDS`` words, each a
 broadcast of bounded size, read one after the other by every task. Texts do not move.
 
-Defined cases: null and empty texts have no words and are not contaminated; null and wordless items
-match nothing; items that share a window all count; repeated item rows count once; texts of any
+Defined cases: null and empty texts have no words and are not contaminated; items of null or
+wordless text match nothing; an item without id hits as any other and is a null among the items; items that share a window all count; repeated item rows count once; texts of any
 length are handled whole; an empty benchmark leaves every document clean; columns that have the name
 of a new column are replaced.
 """
@@ -77,19 +77,20 @@ def search(ids: np.ndarray, order: np.ndarray, pattern: np.ndarray, sizes: np.nd
 class Block:
     """Distinct windows of a block of test texts, with the items that have each."""
 
-    def __init__(self, items: list[tuple[str, list[bytes]]], window: int = WINDOW):
+    def __init__(self, items: list[tuple[str | None, list[bytes]]], window: int = WINDOW):
         vocabulary = sorted({w for _, words in items for w in words})
         self.ids = {w: i + 1 for i, w in enumerate(vocabulary)}
-        owners: dict[tuple[int, ...], set[str]] = {}
-        for item, words in items:
+        owners: dict[tuple[int, ...], list[tuple[int, int]]] = {}
+        for row, (_, words) in enumerate(items):
             numbers = [self.ids[w] for w in words]
             for k in range(max(1, len(numbers) - window + 1)):
-                owners.setdefault(tuple(numbers[k : k + window]), set()).add(item)
+                owners.setdefault(tuple(numbers[k : k + window]), []).append((row, k))
         windows = sorted(owners)
         self.sizes = np.array([len(w) for w in windows], np.int64)
         self.least = int(self.sizes.min())
         self.pattern = np.array([w + (0,) * (window - len(w)) for w in windows], np.int64)
-        self.items = [sorted(owners[w]) for w in windows]
+        self.places = [owners[w] for w in windows]  # (item row, place in it)
+        self.items = [{items[row][0] for row, _ in owners[w]} for w in windows]
 
     def matches(self, numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Places in ``numbers`` where a window occurs, and which window; 0 ends a text."""
@@ -123,7 +124,8 @@ def shard_matches(texts: list[str | None], blocks: list) -> list[tuple]:
     sizes = np.fromiter(map(len, words), np.int64, len(words))
     starts = np.concatenate([[0], np.cumsum(sizes + 1)])  # one 0 after each text
     delta = np.zeros(int(starts[-1]) + 2, np.int64)
-    found: list[set[str]] = [set() for _ in texts]
+    found: list[set[str | None]] = [set() for _ in texts]
+    longest = [0] * len(texts)
     for shared in blocks:
         block: Block = shared.value
         numbers = np.zeros(int(starts[-1]) + 1, np.int64)
@@ -136,6 +138,13 @@ def shard_matches(texts: list[str | None], blocks: list) -> list[tuple]:
         owner = np.searchsorted(starts, place, "right") - 1
         for k, w in set(zip(owner.tolist(), which.tolist())):
             found[k].update(block.items[w])
+        open_: dict[tuple[int, int, int], tuple[int, int]] = {}  # a match runs on at the same distance from its item
+        for at, k, w in sorted(zip(place.tolist(), owner.tolist(), which.tolist())):
+            end = at + int(block.sizes[w])
+            for row, offset in block.places[w]:
+                start, last = open_.get(run := (k, row, at - offset), (at, at))
+                open_[run] = (start if at <= last else at, end)
+                longest[k] = max(longest[k], end - open_[run][0])
     hit = np.cumsum(delta) > 0
     out = []
     for k in range(len(texts)):
@@ -143,21 +152,20 @@ def shard_matches(texts: list[str | None], blocks: list) -> list[tuple]:
         edge = np.flatnonzero(np.diff(np.concatenate([[False], own, [False]]).astype(np.int8)))
         spans = [{"start": int(a), "end": int(b)} for a, b in zip(edge[::2], edge[1::2])]
         n = int(own.sum())
-        longest = max((s["end"] - s["start"] for s in spans), default=0)
-        out.append((len(own), n, spans, sorted(found[k]), longest, n > 0 and 20 * n >= len(own)))
+        out.append((len(own), n, spans, sorted(found[k], key=lambda x: (x is None, x or "")), longest[k], n > 0 and 20 * n >= len(own)))
     return out
 
 
 def find_benchmark_text(df: DataFrame, benchmark: DataFrame, text: str = "text", item: str = "item_id", item_text: str = "text",
                         window: int = WINDOW) -> DataFrame:
     """``df`` with the columns ``FIELDS``: words, hit words and their spans, the items that occur, the
-    longest hit span in words, and whether a twentieth of the words or more is hit."""
+    longest verbatim match with one item in words, and whether a twentieth of the words or more is hit."""
     blocks, held, total = [], [], 0
     given = benchmark.select(named(item).cast("string").alias("item"), named(item_text).alias("text")).filter("text is not null").distinct()
     context = df.sparkSession.sparkContext
     for row in given.sort("item", "text").toLocalIterator():  # one partition at a time, blocks of bounded size
         words = words_of(row["text"])
-        if not words or row["item"] is None:
+        if not words:
             continue
         if held and total + len(words) > BLOCK_WORDS:
             blocks.append(context.broadcast(Block(held, window)))

@@ -287,6 +287,15 @@ def test_benchmark_windows_equal_a_plain_search():
         assert row[:2] == (len(w), sum(hit)) and row[3] == sorted(found)
 
 
+def test_benchmark_items_without_id_hit_and_matches_are_of_one_item(spark):
+    one, two = words(random.Random(4), 20), words(random.Random(5), 15)
+    bench = spark.createDataFrame([(None, one), ("b", two)], "item_id string, text string")
+    docs = spark.createDataFrame([(1, f"x {one} y"), (2, f"{one} {two}"), (3, "x y")], "doc_id long, text string")
+    got = {r.doc_id: r for r in decontaminate.find_benchmark_text(docs, bench).collect()}
+    assert [(got[k].n_hit, got[k].hit_items, got[k].longest_match, got[k].contaminated) for k in (1, 2, 3)] == [
+        (20, [None], 20, True), (35, ["b", None], 20, True), (0, [], 0, False)]
+
+
 def test_encoding_equals_the_library(spark):
     import public_tokenizers
     from tokenizers import Tokenizer
