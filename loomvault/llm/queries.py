@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, chat, decontaminate, fingerprint, html_text, langid, lines, repeats, simhash, toxicity
+from . import bpe, chat, decontaminate, fingerprint, html_text, langid, lines, repeats, resample, shards, simhash, toxicity, whiten
 from .common import bucket_of_fold, documents, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -125,3 +125,72 @@ def bpe_query(spark: SparkSession, folder: str) -> DataFrame:
     out = bpe.bpe_encode(documents(spark, folder), public_tokenizers.path(TOKENIZER), decoded=True)
     return out.select("doc_id", "n_tokens", F.sha2(F.array_join(F.col("token_ids").cast("array<string>"), " "), 256).alias("ids_sha256"),
                       F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+# The CRC-32 of a string, by its table of 256 remainders.
+CRC_TABLE = """
+crc AS (SELECT list(r ORDER BY b) AS t FROM (SELECT b, list_reduce(list_prepend(b, range(8)), lambda c, k:
+        CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) AS r FROM (SELECT unnest(range(256)) AS b)))"""
+
+
+def crc_sql(text: str) -> str:
+    """DuckDB SQL for the unsigned CRC-32 of a string, where ``crc`` is joined."""
+    digit = "instr('0123456789ABCDEF', {}) - 1".format
+    octets = f"list_transform(regexp_extract_all(hex(encode({text})), '..'), lambda h: CAST(({digit('h[1]')}) * 16 + {digit('h[2]')} AS BIGINT))"
+    return f"xor(list_reduce(list_prepend(CAST(4294967295 AS BIGINT), {octets}), lambda c, b: xor(c >> 8, crc.t[(xor(c, b) & 255) + 1])), 4294967295)"
+
+
+RESAMPLING_SQL = f"""
+WITH {CRC_TABLE},
+d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                  '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS w FROM documents),
+b AS (SELECT regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                  '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS w FROM benchmark),
+dw AS (SELECT doc_id, w, count(*) AS n FROM (SELECT doc_id, unnest(w) AS w FROM d) GROUP BY ALL),
+bw AS (SELECT w, count(*) AS n FROM (SELECT unnest(w) AS w FROM b) GROUP BY ALL),
+words AS (SELECT w, {crc_sql("w")} % 10000 AS bucket FROM (SELECT w FROM dw UNION SELECT w FROM bw), crc),
+s AS (SELECT bucket, sum(n) AS n FROM dw JOIN words USING (w) GROUP BY bucket),
+t AS (SELECT bucket, sum(n) AS n FROM bw JOIN words USING (w) GROUP BY bucket),
+sums AS (SELECT CAST((SELECT coalesce(sum(n), 0) FROM s) AS DOUBLE) AS s_all, CAST((SELECT coalesce(sum(n), 0) FROM t) AS DOUBLE) AS t_all),
+gains AS (SELECT bucket, CAST(floor(1000 * ln((CAST(coalesce(t.n, 0) AS DOUBLE) + 1) * (s_all + 10000) / ((CAST(coalesce(s.n, 0) AS DOUBLE) + 1) * (t_all + 10000)))) AS BIGINT) AS gain
+          FROM s FULL JOIN t USING (bucket), sums),
+weights AS (SELECT doc_id, CAST(floor(sum(n * gain) / CAST(sum(n) AS DOUBLE)) AS BIGINT) AS weight FROM dw JOIN words USING (w) JOIN gains USING (bucket) GROUP BY doc_id),
+scored AS (SELECT doc_id, CAST(len(d.w) AS BIGINT) AS n_features, coalesce(weight, 0) AS weight,
+                  coalesce(weight, 0) + CAST(floor(-1000 * ln(-ln((CAST(CAST('0x' || sha256('2024:' || CAST(doc_id AS VARCHAR))[1:8] AS BIGINT) AS DOUBLE) + 0.5) / 4294967296))) AS BIGINT) AS score
+           FROM d LEFT JOIN weights USING (doc_id)),
+ranked AS (SELECT doc_id, row_number() OVER (ORDER BY score DESC, doc_id) AS r, count(*) OVER () AS n FROM scored WHERE n_features >= 20)
+SELECT doc_id, n_features, weight, score, CAST(CASE WHEN r <= n * 10 // 100 THEN r END AS BIGINT) AS rank FROM scored LEFT JOIN ranked USING (doc_id)
+"""
+
+
+@query("op11_importance_resampling", RESAMPLING_SQL)
+def importance_resampling(spark: SparkSession, folder: str) -> DataFrame:
+    out = resample.resample(documents(spark, folder), table(spark, folder, "benchmark"), percent=10, min_words=20, keep_text=False)
+    return out.select("doc_id", "n_features", "weight", "score", "rank")
+
+
+# The order is that of the operator; whole numbers only.
+SHARDING_SQL = f"""
+WITH {CRC_TABLE},
+d AS (SELECT doc_id, coalesce(text, '') AS text, strlen(coalesce(text, '')) + 16 AS size, sha256(coalesce(text, '')) AS same FROM documents),
+o AS (SELECT doc_id, size, same, sum(size) OVER (ORDER BY same, doc_id ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) - size AS before,
+             sum(size) OVER (PARTITION BY same) AS bytes, sum(size) OVER () AS total FROM d),
+p AS (SELECT *, CASE WHEN bytes * {40 * shards.WHOLE} > total THEN before ELSE min(before) OVER (PARTITION BY same) END AS start FROM o),
+q AS (SELECT *, CAST((2 * start + size) * 40 // (2 * total) AS INTEGER) AS shard FROM p),
+c AS (SELECT text, {crc_sql("text")} AS text_crc32 FROM (SELECT DISTINCT text FROM d), crc)
+SELECT q.doc_id, CAST(q.size AS BIGINT) AS size, CAST(text_crc32 AS BIGINT) AS text_crc32, 'bytes' AS law, shard,
+       row_number() OVER (PARTITION BY shard ORDER BY q.same, q.doc_id) - 1 AS slot, CAST(NULL AS INTEGER) AS grown_shard
+FROM q JOIN d ON q.doc_id = d.doc_id JOIN c USING (text)
+"""
+
+
+@query("op12_sharding", SHARDING_SQL)
+def sharding(spark: SparkSession, folder: str) -> DataFrame:
+    out = shards.assign_shards(documents(spark, folder), shards=40)
+    return out.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
+
+
+@query("op13_embedding_whitening")
+def embedding_whitening(spark: SparkSession, folder: str) -> DataFrame:
+    out = whiten.whiten(table(spark, folder, "embeddings").select("vec_id", "embedding"), components=32)
+    return out.select("vec_id", *whiten.ADDED)
