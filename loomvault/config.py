@@ -53,8 +53,4 @@ MIN_ROWS = {
 }
 
 # ---- scale guards (performance only: results never depend on them) ---------------------
-HOT_KEY_ROWS = 1_000_000          # a key above this many rows is cut into time slices
-MAX_HOT_KEYS = 512                # most keys that are cut: any other key holds less than 1/512 of the rows
-HOT_KEY_SLICES = 1024             # most slices one hot key is cut into
-SMALL_INPUT_BYTES = 64 << 20      # below this no key can be hot enough to matter
 BROADCAST_BYTES = 64 << 20        # largest side that is ever hinted for broadcast

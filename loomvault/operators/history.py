@@ -4,11 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.dates import end_of_time
-from .skew import SLICE, slice_hot_keys
+from .segments import SEGMENT, cut_points, segmented, with_edges
 
 
 def latest_per_key(df: DataFrame, key: str | Sequence[str], order: Sequence[str]) -> DataFrame:
@@ -30,100 +30,80 @@ def _extreme_per_key(df, key, order, pick) -> DataFrame:
 
 
 def previous_of(df: DataFrame, key: str, order: Sequence[str], columns: dict[str, str],
-                hot_rows: int | None = None) -> DataFrame:
-    """Add the previous row's values within a key; ``columns`` maps new name -> source column."""
-    return _neighbour(df, key, order, columns, backwards=False, hot_rows=hot_rows)
+                cuts: DataFrame | None = None) -> DataFrame:
+    """Add the previous row's values within a key; ``columns`` maps new name -> source column.
+
+    Here and below ``cuts`` are the points at which keys are cut into segments, see ``segments.cut_points``;
+    by default those of the rows themselves. They change the plan, never the result.
+    """
+    return _neighbour(df, key, order, columns, backwards=False, cuts=cuts)
 
 
 def next_of(df: DataFrame, key: str, order: Sequence[str], columns: dict[str, str],
-            hot_rows: int | None = None) -> DataFrame:
+            cuts: DataFrame | None = None) -> DataFrame:
     """Add the next row's values within a key."""
-    return _neighbour(df, key, order, columns, backwards=True, hot_rows=hot_rows)
+    return _neighbour(df, key, order, columns, backwards=True, cuts=cuts)
 
 
-def _neighbour(df, key, order, columns, backwards, hot_rows) -> DataFrame:
-    sliced = slice_hot_keys(df, key, order[0], hot_rows)
-    kept = df.columns
+def _neighbour(df, key, order, columns, backwards, cuts) -> DataFrame:
+    rows, cut = segmented(df, key, order[0], cut_points(df, key, order[0]) if cuts is None else cuts)
     sources = list(dict.fromkeys(columns.values()))
-    reach = F.lead if backwards else F.lag
-    ordered = Window.partitionBy(*sliced.partition).orderBy(*order)
-    near = reach(F.struct(*sources)).over(ordered)
-    if not sliced.edges_needed:
-        out = sliced.rows.withColumn("_near", near)
-    else:
-        pick = F.min_by if backwards else F.max_by
-        ends = sliced.rows.groupBy(key, SLICE).agg(pick(F.struct(*sources), F.struct(*order)).alias("_end"))
-        across = Window.partitionBy(key).orderBy(SLICE)  # one row per slice of the key
-        edges = ends.select(F.col(key).alias("_ek"), F.col(SLICE).alias("_es"), reach("_end").over(across).alias("_edge")).where("_edge is not null")
-        out = (
-            sliced.rows.withColumn("_near", near)
-            .join(edges, _edge_of(key), "left")
-            .withColumn("_near", F.coalesce("_near", "_edge"))
-        )
-    return out.select(*kept, *[F.col(f"_near.{src}").alias(new) for new, src in columns.items()])
-
-
-def _edge_of(key: str) -> Column:
-    """The edge of a row's slice; NULL is a key like any other."""
-    return (F.col(SLICE) == F.col("_es")) & F.col(key).eqNullSafe(F.col("_ek"))
+    near = F.struct(*[F.col(c).alias(f"v{i}") for i, c in enumerate(sources)])
+    reach, pick = (F.lead, F.min_by) if backwards else (F.lag, F.max_by)
+    inside = Window.partitionBy(key, SEGMENT).orderBy(*order)
+    ends = cut.groupBy(key, SEGMENT).agg(pick(near, F.struct(*order)).alias("_end"))
+    across = Window.partitionBy(key).orderBy(SEGMENT)  # one row per segment of a key
+    edges = ends.select(key, SEGMENT, reach("_end").over(across).alias("_edge")).where("_edge is not null")
+    found = with_edges(rows.withColumn("_near", reach(near).over(inside)), key, edges).withColumn("_near", F.coalesce("_near", "_edge"))
+    return found.select(*df.columns, *[F.col(f"_near.v{sources.index(src)}").alias(new) for new, src in columns.items()])
 
 
 def carry_forward(df: DataFrame, key: str, instant: str, columns: Sequence[str],
-                  hot_rows: int | None = None) -> DataFrame:
+                  cuts: DataFrame | None = None) -> DataFrame:
     """Replace each column by its last non-null value at or before the row's instant."""
-    sliced = slice_hot_keys(df, key, instant, hot_rows)
+    rows, cut = segmented(df, key, instant, cut_points(df, key, instant) if cuts is None else cuts)
     so_far = (
-        Window.partitionBy(*sliced.partition).orderBy(instant)
+        Window.partitionBy(key, SEGMENT).orderBy(instant)
         .rangeBetween(Window.unboundedPreceding, Window.currentRow)
     )
-    rows = sliced.rows
-    if not sliced.edges_needed:
-        filled = {c: F.last(c, ignorenulls=True).over(so_far) for c in columns}
-        return rows.withColumns(filled).select(*df.columns)
-    ends = rows.groupBy(key, SLICE).agg(
+    ends = cut.groupBy(key, SEGMENT).agg(
         *[F.max_by(c, F.when(F.col(c).isNotNull(), F.struct(instant))).alias(f"_end_{c}") for c in columns]
     )
-    before = Window.partitionBy(key).orderBy(SLICE).rowsBetween(Window.unboundedPreceding, -1)
-    edges = ends.select(
-        F.col(key).alias("_ek"), F.col(SLICE).alias("_es"),
-        *[F.last(f"_end_{c}", ignorenulls=True).over(before).alias(f"_edge_{c}") for c in columns]
-    )
-    joined = rows.withColumns({f"_own_{c}": F.last(c, ignorenulls=True).over(so_far) for c in columns})
-    joined = joined.join(edges, _edge_of(key), "left")
+    before = Window.partitionBy(key).orderBy(SEGMENT).rowsBetween(Window.unboundedPreceding, -1)
+    edges = ends.select(key, SEGMENT, *[F.last(f"_end_{c}", ignorenulls=True).over(before).alias(f"_edge_{c}") for c in columns])
+    own = rows.withColumns({f"_own_{c}": F.last(c, ignorenulls=True).over(so_far) for c in columns})
     filled = {c: F.coalesce(f"_own_{c}", f"_edge_{c}") for c in columns}
-    return joined.withColumns(filled).select(*df.columns)
+    return with_edges(own, key, edges).withColumns(filled).select(*df.columns)
 
 
 def drop_repeats(df: DataFrame, key: str, instant: str, mark: str, ties: Sequence[str] = (),
-                 seed: str | None = None, hot_rows: int | None = None) -> DataFrame:
+                 seed: str | None = None, cuts: DataFrame | None = None) -> DataFrame:
     """Keep a row only where ``mark`` differs from the previous row of the key.
 
     Rows of one key with the same instant count once: the first by ``ties`` stays. ``seed`` names a
     column with the mark that precedes the key's first row, NULL where there is none.
     """
     order = [instant, *[t for t in ties if t != mark], mark]
-    sliced = slice_hot_keys(df, key, instant, hot_rows)
-    if sliced.edges_needed:
-        payload = [c for c in df.columns if c not in (key, instant)]
-        single = df.groupBy(key, instant).agg(F.min_by(F.struct(*payload), F.struct(*order[1:])).alias("_row"))
-        single = single.select(key, instant, "_row.*").select(*df.columns)
-        marked = previous_of(single, key, [instant], {"_seen_at": instant, "_seen": mark}, hot_rows)
-    else:
-        ordered = Window.partitionBy(key).orderBy(*order)
-        marked = (
-            sliced.rows.withColumns({"_before": F.lag(instant).over(ordered), "_nth": F.row_number().over(ordered)})
-            .where((F.col("_nth") == 1) | ~F.col("_before").eqNullSafe(F.col(instant)))  # equal instants once, NULL too
-            .withColumns({"_seen_at": F.lag(instant).over(ordered), "_seen": F.lag(mark).over(ordered)})
-        )
-    before = F.col("_seen")
-    known = F.col("_seen_at").isNotNull()
+    rows, cut = segmented(df, key, instant, cut_points(df, key, instant) if cuts is None else cuts)
+    inside = Window.partitionBy(key, SEGMENT).orderBy(*order)
+    here = F.struct(F.col(mark).alias("mark"))
+
+    def once(some: DataFrame) -> DataFrame:  # equal instants once, NULL too
+        numbered = some.withColumns({"_before": F.lag(instant).over(inside), "_nth": F.row_number().over(inside)})
+        return numbered.where((F.col("_nth") == 1) | ~F.col("_before").eqNullSafe(F.col(instant)))
+
+    single = once(rows)
+    ends = once(cut.select(key, SEGMENT, *order)).groupBy(key, SEGMENT).agg(F.max_by(here, F.struct(instant)).alias("_end"))
+    edges = ends.select(key, SEGMENT, F.lag("_end").over(Window.partitionBy(key).orderBy(SEGMENT)).alias("_edge")).where("_edge is not null")
+    marked = with_edges(single.withColumn("_seen", F.lag(here).over(inside)), key, edges).withColumn("_seen", F.coalesce("_seen", "_edge"))
+    before, known = F.col("_seen.mark"), F.col("_seen").isNotNull()
     if seed is not None:
-        before, known = F.coalesce("_seen", F.col(seed)), known | F.col(seed).isNotNull()
+        before, known = F.when(known, before).otherwise(F.col(seed)), known | F.col(seed).isNotNull()
     return marked.where(~known | ~before.eqNullSafe(F.col(mark))).select(*df.columns)
 
 
 def asof_join(left: DataFrame, right: DataFrame, key: str, left_time: str, right_time: str,
-              columns: Sequence[str], hot_rows: int | None = None) -> DataFrame:
+              columns: Sequence[str], cuts: DataFrame | None = None) -> DataFrame:
     """For each left row the latest right row with ``right_time <= left_time``.
 
     Both sides go through one exchange as a single stream of rows; nothing is compared pairwise.
@@ -136,13 +116,13 @@ def asof_join(left: DataFrame, right: DataFrame, key: str, left_time: str, right
     left_part = left.select(F.struct(*left.columns).alias("_left"), F.col(key), F.col(left_time).alias("_at"))
     right_part = right.select(F.col(key), F.col(right_time).alias("_at"), carried.alias("_right"))
     stream = left_part.unionByName(right_part, allowMissingColumns=True)
-    matched = carry_forward(stream, key, "_at", ["_right"], hot_rows).where("_left is not null")
+    matched = carry_forward(stream, key, "_at", ["_right"], cuts).where("_left is not null")
     return matched.select("_left.*", *[F.col(f"_right.{c}") for c in (right_time, *columns)]).unionAll(loose)
 
 
-def scd2_intervals(df: DataFrame, key: str, instant: str, hot_rows: int | None = None) -> DataFrame:
+def scd2_intervals(df: DataFrame, key: str, instant: str, cuts: DataFrame | None = None) -> DataFrame:
     """VALID_FROM / VALID_TO / IS_CURRENT for each version of a key."""
-    with_next = next_of(df, key, [instant], {"_next": instant}, hot_rows)
+    with_next = next_of(df, key, [instant], {"_next": instant}, cuts)
     return with_next.select(
         *df.columns,
         F.col(instant).alias("VALID_FROM"),

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..operators.skew import broadcast_if_small
+from ..operators.sizes import broadcast_if_small
 
 
 def _terms(df: DataFrame, key: str, text: str) -> DataFrame:

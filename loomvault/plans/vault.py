@@ -16,6 +16,7 @@ from .. import config
 from ..functions.dates import at, end_of_time, ghost_time
 from ..functions.keys import has_key
 from ..operators.history import carry_forward, drop_repeats, latest_per_key
+from ..operators.segments import cut_points
 
 LDTS, SOURCE = "LOAD_DATETIME", "RECORD_SOURCE"
 META = (LDTS, SOURCE)
@@ -61,32 +62,38 @@ def load_link(staging: DataFrame, key: str, parents: Sequence[str], target: Data
     return first if target is None else first.join(target.select(key), key, "left_anti")
 
 
-def _after_stored(rows: DataFrame, target: DataFrame | None, key: str, mark: str, hot_rows: int | None) -> DataFrame:
+def cuts_of(staging: DataFrame, key: str, business_key: str) -> DataFrame:
+    """The points at which the keys of staged rows are cut into segments: the same for all that is loaded from them."""
+    return cut_points(staging.where(has_key(business_key)), key, LDTS)
+
+
+def _after_stored(rows: DataFrame, target: DataFrame | None, key: str, mark: str, cuts: DataFrame | None) -> DataFrame:
     """Changed rows of a batch, compared with the newest stored version of each key."""
+    cuts = cut_points(rows, key, LDTS) if cuts is None else cuts
     if target is None:
-        return drop_repeats(rows, key, LDTS, mark, ties=[SOURCE], hot_rows=hot_rows)
+        return drop_repeats(rows, key, LDTS, mark, ties=[SOURCE], cuts=cuts)
     newest = target.groupBy(key).agg(F.max(F.struct(LDTS, mark)).alias("_stored"))
     fresh = (
         rows.join(newest, key, "left")
         .where(F.col("_stored").isNull() | (F.col(LDTS) > F.col(f"_stored.{LDTS}")))
         .select(*rows.columns, F.col(f"_stored.{mark}").alias("_stored_mark"))
     )
-    changed = drop_repeats(fresh, key, LDTS, mark, ties=[SOURCE], seed="_stored_mark", hot_rows=hot_rows)
+    changed = drop_repeats(fresh, key, LDTS, mark, ties=[SOURCE], seed="_stored_mark", cuts=cuts)
     return changed.select(*rows.columns)
 
 
 def load_satellite(staging: DataFrame, key: str, hash_diff: str, payload: Sequence[str],
                    target: DataFrame | None = None, business_key: str | None = None,
-                   hot_rows: int | None = None) -> DataFrame:
+                   cuts: DataFrame | None = None) -> DataFrame:
     """New satellite versions: rows whose hash diff differs from the version before them."""
     source = staging.where(has_key(business_key)) if business_key else staging
     rows = source.select(key, F.col(hash_diff).alias("HASH_DIFF"), *payload, *META)
-    return _after_stored(rows, target, key, "HASH_DIFF", hot_rows)
+    return _after_stored(rows, target, key, "HASH_DIFF", cuts)
 
 
 def load_eff_satellite(staging: DataFrame, key: str, parents: Sequence[str], status: str, effective_from: str,
                        target: DataFrame | None = None, business_keys: Sequence[str] = (),
-                       hot_rows: int | None = None) -> DataFrame:
+                       cuts: DataFrame | None = None) -> DataFrame:
     """Validity of a link: a row whenever the relationship turns active or inactive."""
     ended = F.coalesce(F.col(status).isin(*config.INACTIVE_STATUSES), F.lit(False))
     source = staging.where(has_key(*business_keys)) if business_keys else staging
@@ -97,11 +104,11 @@ def load_eff_satellite(staging: DataFrame, key: str, parents: Sequence[str], sta
         F.when(ended, F.col(LDTS)).otherwise(end_of_time()).alias("EFFECTIVE_TO"),
         status, *META,
     )
-    return _after_stored(rows, target, key, "IS_ACTIVE", hot_rows)
+    return _after_stored(rows, target, key, "IS_ACTIVE", cuts)
 
 
 def load_pit(hub: DataFrame, key: str, satellites: Mapping[str, DataFrame], with_hash_diff: bool = True,
-             hot_rows: int | None = None) -> DataFrame:
+             cuts: DataFrame | None = None) -> DataFrame:
     """For each key and each instant anything changed: pointers to the valid satellite rows.
 
     Hub and satellite instants go through one exchange as a single stream; the pointer is carried
@@ -114,7 +121,7 @@ def load_pit(hub: DataFrame, key: str, satellites: Mapping[str, DataFrame], with
             sat.select(key, F.col(LDTS).alias("PIT_LOAD_DATETIME"), version.alias(name)), allowMissingColumns=True
         )
     names = list(satellites)
-    carried = carry_forward(stream, key, "PIT_LOAD_DATETIME", names, hot_rows)
+    carried = carry_forward(stream, key, "PIT_LOAD_DATETIME", names, cuts)
     pointers = []
     for name in names:
         pointers.append(F.coalesce(F.col(f"{name}.t"), ghost_time()).alias(f"{name}_LDTS"))

@@ -113,13 +113,13 @@ class Warehouse:
         return self._keep("pit_customer", vault.load_pit(self.hub_customer, "HK_CUSTOMER", {
             "SAT_CUSTOMER_DETAILS": self.sat_customer_details,
             "SAT_CUSTOMER_DEMOGRAPHICS": self.sat_customer_demographics,
-        }))
+        }, cuts=vault.cuts_of(self.stg_customers, "HK_CUSTOMER", "CUSTOMER_ID")))
 
     @cached_property
     def pit_order(self) -> DataFrame:
         return self._keep("pit_order", vault.load_pit(self.hub_order, "HK_ORDER", {
             "SAT_ORDER_DETAILS": self.sat_order_details, "SAT_ORDER_FINANCIALS": self.sat_order_financials,
-        }, with_hash_diff=False))
+        }, with_hash_diff=False, cuts=vault.cuts_of(self.stg_orders, "HK_ORDER", "ORDER_ID")))
 
     @cached_property
     def pit_customer_current(self) -> DataFrame:

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.dates import add_days, add_hours, at
-from ..operators.skew import scanned_bytes
+from ..operators.sizes import scanned_bytes
 
 AS_OF_ORDERS = "2001-08-02 00:00:00"
 AS_OF_EVENTS = "2024-01-31 00:00:00"

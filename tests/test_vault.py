@@ -3,6 +3,7 @@ from pyspark.sql import functions as F
 
 from loomvault import config, schemas
 from loomvault.functions.dates import at
+from loomvault.operators.segments import cut_points
 from loomvault.plans import staging, vault
 from loomvault.plans.warehouse import Landing, Warehouse, load_hub_customer, load_link_customer_order, load_sat_customer_demographics, load_sat_customer_details
 
@@ -35,10 +36,11 @@ def test_one_batch_equals_many(spark):
     rng = random.Random(3)
     data = [(f"h{rng.randint(0, 9)}", rng.choice("AB"), "s", d) for d in range(1, 29) for _ in range(6)]
     whole = load(staged(spark, data))
-    for hot in (None, 5):
+    for cut in (False, True):
         table = None
         for lo, hi in ((1, 5), (5, 6), (6, 20), (20, 29)):
-            new = load(staged(spark, [r for r in data if lo <= r[3] < hi]), table, hot_rows=hot)
+            part = staged(spark, [r for r in data if lo <= r[3] < hi])
+            new = load(part, table, cuts=cut_points(part, "HK", "LOAD_DATETIME", one_in=1, points=2) if cut else None)
             table = new if table is None else table.unionByName(new)
         same(whole, table)
 
