@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.keys import row_id
@@ -13,26 +15,48 @@ ACTION, IS_UPDATE, ROW_ID = "_ACTION", "_IS_UPDATE", "_ROW_ID"
 FEED_COLUMNS = (ACTION, IS_UPDATE, ROW_ID)
 
 
+def same_key(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> Column:
+    """Keys by value: NULL is a value like any other. The right side's keys are named ``_k0``, ``_k1`` and so on."""
+    return reduce(and_, (left[k].eqNullSafe(right[f"_k{i}"]) for i, k in enumerate(keys)))
+
+
+def _keys_of(df: DataFrame, keys: Sequence[str]) -> list[Column]:
+    return [F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)]
+
+
+def without_keys(df: DataFrame, gone: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Rows whose key is not in ``gone``."""
+    other = gone.select(*_keys_of(gone, keys))
+    return df.join(other, same_key(df, other, keys), "left_anti")
+
+
+def with_keys(df: DataFrame, known: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Rows whose key is in ``known``."""
+    other = known.select(*_keys_of(known, keys))
+    return df.join(other, same_key(df, other, keys), "left_semi")
+
+
 def merge_upsert(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Matched rows take the source's values, unmatched source rows are added.
 
     The source must hold each key once. Columns are matched by name; a column missing on one side
     is filled with NULL.
     """
-    kept = target.join(source.select(*keys), list(keys), "left_anti")
+    kept = without_keys(target, source, keys)
     return kept.unionByName(source, allowMissingColumns=True)
 
 
 def change_feed(before: DataFrame, after: DataFrame, keys: Sequence[str], append_only: bool = False) -> DataFrame:
     """Net changes between two versions: an update is a DELETE of the old and an INSERT of the new row."""
     columns = after.columns
-    old = before.select(*keys, F.struct(*columns).alias("_old"))
+    old = before.select(*_keys_of(before, keys), F.struct(*columns).alias("_old"))
     new = after.select(*keys, F.struct(*columns).alias("_new"))
     if append_only:
-        added = new.join(old.select(*keys), list(keys), "left_anti")
+        added = without_keys(new, before, keys)
         pairs = added.select(*keys, F.lit("INSERT").alias(ACTION), F.lit(False).alias(IS_UPDATE), F.col("_new").alias("_row"))
     else:
-        both = old.join(new, list(keys), "full_outer").where("not (_old <=> _new)")
+        both = new.join(old, same_key(new, old, keys), "full_outer").where("not (_old <=> _new)")
+        both = both.withColumns({k: F.when(F.col("_new").isNull(), F.col(f"_k{i}")).otherwise(F.col(k)) for i, k in enumerate(keys)})
         update = F.col("_old").isNotNull() & F.col("_new").isNotNull()
         sides = F.array(
             F.when(F.col("_old").isNotNull(), F.struct(F.lit("DELETE").alias("a"), F.col("_old").alias("r"))),
@@ -63,17 +87,15 @@ def cdc_merge(target: DataFrame, feed: DataFrame, keys: Sequence[str]) -> DataFr
     A matched row that is not flagged as an update is ignored, and deletes are ignored.
     """
     incoming = feed.where(F.col(ACTION) == "INSERT")
-    known = target.select(*keys)
-    updates = incoming.where(IS_UPDATE).join(known, list(keys), "left_semi")
-    inserts = incoming.join(known, list(keys), "left_anti")
+    updates = with_keys(incoming.where(IS_UPDATE), target, keys)
+    inserts = without_keys(incoming, target, keys)
     return merge_upsert(target, updates.unionByName(inserts).drop(*FEED_COLUMNS), keys)
 
 
 def feed_apply(target: DataFrame, feed: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Apply a whole feed, deletes included: ``feed_apply(a, change_feed(a, b)) == b``."""
-    touched = feed.select(*keys).distinct()
     added = feed.where(F.col(ACTION) == "INSERT").drop(*FEED_COLUMNS)
-    return target.join(touched, list(keys), "left_anti").unionByName(added)
+    return without_keys(target, feed.select(*keys).distinct(), keys).unionByName(added)
 
 
 def last_change_per_key(log: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
@@ -88,4 +110,4 @@ def cdc_apply(target: DataFrame, log: DataFrame, keys: Sequence[str], operation:
     """Apply an INSERT / UPDATE / DELETE log whose rows carry the after image as columns."""
     last = last_change_per_key(log, keys, order)
     alive = last.where(F.col(operation) != "DELETE").drop(operation, *order, *drop)
-    return target.join(last.select(*keys), list(keys), "left_anti").unionByName(alive, allowMissingColumns=True)
+    return without_keys(target, last, keys).unionByName(alive, allowMissingColumns=True)

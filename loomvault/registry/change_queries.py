@@ -17,10 +17,12 @@ from ..streaming import cdc, ingest, vault_stream
 from .base import CTES, doubles, query
 from .ctes import AS_OF_EVENTS as NOW_SQL
 
-# ---- two versions of a keyed table: customers before and after a re-rating ------------------
-CTES["customers_before"] = """SELECT c_custkey, c_nationkey, c_acctbal, c_mktsegment FROM customer WHERE c_custkey % 10 <> 0"""
+# ---- two versions of a keyed table: customers before and after a re-rating, one unchanged row without a key ------------------
+CTES["customers_before"] = """SELECT c_custkey, c_nationkey, c_acctbal, c_mktsegment FROM customer WHERE c_custkey % 10 <> 0
+UNION ALL SELECT NULL, c_nationkey, c_acctbal, c_mktsegment FROM customer WHERE c_custkey = 1"""
 CTES["customers_after"] = """SELECT c_custkey, c_nationkey, CASE WHEN c_custkey % 3 = 0 THEN c_acctbal + 1 ELSE c_acctbal END AS c_acctbal, c_mktsegment
-FROM customer WHERE c_custkey % 7 <> 0"""
+FROM customer WHERE c_custkey % 7 <> 0
+UNION ALL SELECT NULL, c_nationkey, c_acctbal, c_mktsegment FROM customer WHERE c_custkey = 1"""
 KEY = ["c_custkey"]
 
 
@@ -28,13 +30,14 @@ def versions(spark, folder):
     base = table(spark, folder, "customer").select("c_custkey", "c_nationkey", "c_acctbal", "c_mktsegment")
     key = F.col("c_custkey")
     after = base.where(key % 7 != 0).withColumn("c_acctbal", F.when(key % 3 == 0, F.col("c_acctbal") + 1).otherwise(F.col("c_acctbal")))
-    return base.where(key % 10 != 0), after
+    nameless = base.where(key == 1).withColumn("c_custkey", F.lit(None).cast(base.schema["c_custkey"].dataType))
+    return base.where(key % 10 != 0).unionByName(nameless), after.unionByName(nameless)
 
 
 FEED_SQL = """SELECT a.*, 'INSERT' AS _ACTION, b.c_custkey IS NOT NULL AS _IS_UPDATE, sha256(CAST(a.c_custkey AS VARCHAR)) AS _ROW_ID
-FROM customers_after a LEFT JOIN customers_before b ON a.c_custkey = b.c_custkey WHERE b.c_custkey IS NULL OR a.c_acctbal IS DISTINCT FROM b.c_acctbal
+FROM customers_after a LEFT JOIN customers_before b ON a.c_custkey = b.c_custkey WHERE a.c_custkey IS NOT NULL AND (b.c_custkey IS NULL OR a.c_acctbal IS DISTINCT FROM b.c_acctbal)
 UNION ALL SELECT b.*, 'DELETE', a.c_custkey IS NOT NULL, sha256(CAST(b.c_custkey AS VARCHAR))
-FROM customers_before b LEFT JOIN customers_after a ON a.c_custkey = b.c_custkey WHERE a.c_custkey IS NULL OR a.c_acctbal IS DISTINCT FROM b.c_acctbal"""
+FROM customers_before b LEFT JOIN customers_after a ON a.c_custkey = b.c_custkey WHERE b.c_custkey IS NOT NULL AND (a.c_custkey IS NULL OR a.c_acctbal IS DISTINCT FROM b.c_acctbal)"""
 
 
 @query("change_feed", FEED_SQL)
@@ -43,7 +46,7 @@ def change_feed(w, spark, folder):
 
 
 @query("change_feed_append_only", """SELECT a.*, 'INSERT' AS _ACTION, false AS _IS_UPDATE, sha256(CAST(a.c_custkey AS VARCHAR)) AS _ROW_ID
-FROM customers_after a WHERE a.c_custkey NOT IN (SELECT c_custkey FROM customers_before)""")
+FROM customers_after a WHERE NOT EXISTS (SELECT 1 FROM customers_before b WHERE b.c_custkey IS NOT DISTINCT FROM a.c_custkey)""")
 def change_feed_append_only(w, spark, folder):
     return changes.change_feed(*versions(spark, folder), KEY, append_only=True)
 
@@ -54,20 +57,20 @@ def feed_apply(w, spark, folder):
     return changes.feed_apply(before, changes.change_feed(before, after, KEY), KEY)
 
 
-@query("merge_upsert", """SELECT * FROM customers_after UNION ALL SELECT * FROM customers_before WHERE c_custkey NOT IN (SELECT c_custkey FROM customers_after)""")
+@query("merge_upsert", """SELECT * FROM customers_after UNION ALL SELECT * FROM customers_before b WHERE NOT EXISTS (SELECT 1 FROM customers_after a WHERE a.c_custkey IS NOT DISTINCT FROM b.c_custkey)""")
 def merge_upsert(w, spark, folder):
     before, after = versions(spark, folder)
     return changes.merge_upsert(before, after, KEY)
 
 
 @query("cdc_merge", """SELECT coalesce(a.c_custkey, b.c_custkey) AS c_custkey, coalesce(a.c_nationkey, b.c_nationkey) AS c_nationkey, coalesce(a.c_acctbal, b.c_acctbal) AS c_acctbal,
-  coalesce(a.c_mktsegment, b.c_mktsegment) AS c_mktsegment FROM customers_before b FULL JOIN customers_after a ON a.c_custkey = b.c_custkey""")
+  coalesce(a.c_mktsegment, b.c_mktsegment) AS c_mktsegment FROM customers_before b FULL JOIN customers_after a ON a.c_custkey IS NOT DISTINCT FROM b.c_custkey""")
 def cdc_merge(w, spark, folder):
     before, after = versions(spark, folder)
     return changes.cdc_merge(before, changes.change_feed(before, after, KEY), KEY)
 
 
-@query("stream_has_data", """SELECT (SELECT count(*) FROM customers_after a LEFT JOIN customers_before b USING (c_custkey) WHERE b.c_custkey IS NULL OR a.c_acctbal <> b.c_acctbal) > 0 AS HAS_DATA""")
+@query("stream_has_data", """SELECT (SELECT count(*) FROM customers_after a LEFT JOIN customers_before b USING (c_custkey) WHERE a.c_custkey IS NOT NULL AND (b.c_custkey IS NULL OR a.c_acctbal <> b.c_acctbal)) > 0 AS HAS_DATA""")
 def stream_has_data(w, spark, folder):
     feed = changes.change_feed(*versions(spark, folder), KEY)
     return feed.limit(1).agg((F.count("*") > 0).alias("HAS_DATA"))
@@ -161,15 +164,28 @@ def stream_of(spark, folder, name):
     return spark.readStream.schema(schema).option("pathGlobFilter", f"{name}.parquet").parquet(folder)
 
 
-@query("stream_ingest_events", """SELECT event_id::VARCHAR AS _OFFSET_TOKEN, user_id % 4 AS _PARTITION_ID, 'events' AS _TOPIC_NAME, ts AS _LOADED_AT,
-  CAST(json_extract(props, '$.k') AS INTEGER) AS K FROM events""")
+FILES = 8  # of each of the two folders, and of each trigger
+
+
+@query("stream_ingest_events", """SELECT CASE WHEN event_id % 1000 <> 5 THEN CAST(event_id AS VARCHAR) END AS _OFFSET_TOKEN, user_id % 4 AS _PARTITION_ID, 'events' AS _TOPIC_NAME,
+  ts AS _LOADED_AT, CASE WHEN event_id % 50 <> 49 THEN CAST(json_extract(props, '$.k') AS INTEGER) END AS K, event_id % 50 = 49 AS DEAD FROM events""")
 def stream_ingest_events(w, spark, folder):
+    """Every tenth event comes late; every seventh comes twice in the first batch and again in the second; some have no offset, some no JSON."""
     tables = TableFolder(spark, scratch_path(spark, "events"))
-    events = testbed.shape_stream_events(stream_of(spark, folder, "events"))
-    repeated = events.withColumn("_copy", F.explode(F.array(F.lit(1), F.lit(2)))).drop("_copy")  # each event delivered twice
-    ingest.stream_events(repeated, tables, "raw_stream_events", tables.path("_checkpoint")).awaitTermination()
-    return tables.read("raw_stream_events").select(
-        "_OFFSET_TOKEN", "_PARTITION_ID", "_TOPIC_NAME", "_LOADED_AT", F.variant_get("RECORD_CONTENT", "$.k", "int").alias("K"))
+    events = testbed.event_texts(table(spark, folder, "events"))
+    late = F.col("event_id") % 10 == 3
+    again = (F.col("event_id") % 7 == 0) & F.col("_OFFSET_TOKEN").isNotNull()
+    copies = F.explode(F.when(again, F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1))))
+    for number, part in ((1, events.where(~late).withColumn("_copy", copies).drop("_copy")), (2, events.where(late | again))):
+        # a variant is delivered as text too
+        part.withColumn("RECORD_METADATA", F.to_json("RECORD_METADATA")).drop("event_id").repartition(FILES).write.parquet(tables.path(f"delivered/{number}"))
+    schema = spark.read.parquet(tables.path("delivered/1")).schema
+    delivered = spark.readStream.schema(schema).option("maxFilesPerTrigger", FILES).parquet(tables.path("delivered/*"))
+    ingest.stream_events(delivered.withColumn("RECORD_METADATA", F.parse_json("RECORD_METADATA")), tables, "raw_stream_events", tables.path("_checkpoint")).awaitTermination()
+    good = tables.read("raw_stream_events").select(F.variant_get("RECORD_CONTENT", "$.k", "int").alias("K"), F.lit(False).alias("DEAD"), "*")
+    bad = tables.read("raw_stream_events_dead_letters").select(F.lit(None).cast("int").alias("K"), F.lit(True).alias("DEAD"), "*")
+    wanted = ["_OFFSET_TOKEN", "_PARTITION_ID", "_TOPIC_NAME", "_LOADED_AT", "K", "DEAD"]
+    return good.select(*wanted).unionByName(bad.select(*wanted))
 
 
 @query("stream_ingest_files", """SELECT o_orderkey, o_custkey, o_orderstatus, CAST(o_totalprice AS DOUBLE) AS o_totalprice, CAST(o_orderdate AS DATE) AS o_orderdate FROM orders WHERE o_orderstatus <> 'P'""")
@@ -197,9 +213,6 @@ VAULT_LOADERS = {
 }
 
 
-FILES = 8  # of each of the two folders, and of each trigger
-
-
 def raw_orders_in_two_folders(w, tables):
     """Landing rows in two folders of several files, older rows in the first."""
     raw = w.landing.orders

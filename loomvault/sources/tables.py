@@ -44,6 +44,19 @@ class TableFolder:
             frame = frame.where(F.col(BATCH) < before_batch)
         return frame.drop(BATCH)
 
+    def snapshot(self, name: str, before_batch: int) -> DataFrame | None:
+        """The rows of the newest batch before one, for tables of which every batch holds the whole state."""
+        known = [n for n in self._batches(name) if n < before_batch]
+        return self.spark.read.format(self.fmt).load(f"{self.path(name)}/{BATCH}={max(known)}") if known else None
+
+    def forget_snapshots(self, name: str, before_batch: int) -> None:
+        """Remove the states before a batch, but for the newest of them."""
+        for old in sorted(n for n in self._batches(name) if n < before_batch)[:-1]:
+            self._delete(f"{self.path(name)}/{BATCH}={old}")
+
+    def _batches(self, name: str) -> list[int]:
+        return [int(c.split("=", 1)[1]) for c in self._children(self.path(name)) if c.startswith(f"{BATCH}=")]
+
     def view(self, name: str, frame: DataFrame) -> DataFrame:
         frame.createOrReplaceTempView(name)
         return frame

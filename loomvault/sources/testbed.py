@@ -167,6 +167,19 @@ def shape_stream_events(events: DataFrame) -> DataFrame:
     )
 
 
+def event_texts(events: DataFrame) -> DataFrame:
+    """Event rows as they are delivered, the payload still text.
+
+    Every thousandth has no offset, every fiftieth a payload that is cut off.
+    """
+    number = F.col("event_id")
+    return events.select(
+        "event_id", F.when(number % 50 == 49, F.left("props", F.lit(3))).otherwise(F.col("props")).alias("RECORD_TEXT"),
+        F.parse_json(F.to_json(F.struct("event_id", "event_type"))).alias("RECORD_METADATA"), F.col("ts").alias("_LOADED_AT"),
+        F.concat(F.lit("events-"), (F.col("user_id") % 4).cast("string")).alias("_CHANNEL_NAME"),
+        F.when(number % 1000 != 5, _text("event_id")).alias("_OFFSET_TOKEN"), (F.col("user_id") % 4).alias("_PARTITION_ID"), F.lit("events").alias("_TOPIC_NAME"))
+
+
 def file_ingestion_log(spark: SparkSession, folder: str) -> DataFrame:
     """One load record per event: the type is the source system, the value its duration in seconds."""
     events = table(spark, folder, "events")

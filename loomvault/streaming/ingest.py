@@ -12,6 +12,10 @@ from pyspark.sql.streaming import StreamingQuery
 from ..sources.copy import LOG, accept_files, staged_rows
 from ..sources.formats import Stage, file_name
 from ..sources.tables import TableFolder
+from . import offsets
+from .cdc import split_dead_letters
+
+PAYLOAD = "RECORD_TEXT"
 
 
 def stream_files(spark: SparkSession, stage: Stage, tables: TableFolder, name: str, source_system: str, now: str,
@@ -36,21 +40,49 @@ def stream_files(spark: SparkSession, stage: Stage, tables: TableFolder, name: s
     return found.writeStream.foreachBatch(load).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
-def stream_events(events: DataFrame, tables: TableFolder, name: str, checkpoint: str) -> StreamingQuery:
-    """Row-level events, each (topic, partition, offset) once, however late a repeat or a new event comes.
+def load_events(batch: DataFrame, tables: TableFolder, name: str, batch_id: int) -> None:
+    """Land one micro-batch of events; running it again gives the same tables.
 
-    Repeats are found in the batch and in what earlier batches landed, so no event is dropped for its age.
+    What has landed is known from the intervals of landed offsets that the batch before stored, so the landing table is never
+    read. An offset that is no whole number is looked up among the few such tokens.
     """
-    keys = ["_TOPIC_NAME", "_PARTITION_ID", "_OFFSET_TOKEN"]
+    spark = batch.sparkSession
+    odd, state = f"{name}_tokens", f"{name}_offsets"
+    intervals = tables.snapshot(state, batch_id)
+    intervals = spark.createDataFrame([], offsets.SCHEMA) if intervals is None else intervals
+    placed = offsets.with_offset(batch).persist()
+    try:
+        fresh = offsets.not_landed(placed, intervals)
+        named = F.col("lane").isNull() & F.col(offsets.TOKEN).isNotNull() & F.col(offsets.TOPIC).isNotNull() & F.col(offsets.PARTITION).isNotNull()
+        keys = [offsets.TOPIC, offsets.PARTITION, offsets.TOKEN]
+        tokens = fresh.where(named).dropDuplicates(keys)
+        seen = tables.read(odd, before_batch=batch_id)
+        if seen is not None:
+            tokens = tokens.join(seen, keys, "left_anti").select(*fresh.columns)
+        rows = fresh.where(~named).unionByName(tokens)
+        good, bad = rows, None
+        if PAYLOAD in batch.columns:
+            parsed, bad = split_dead_letters(rows, PAYLOAD)
+            good = parsed.withColumn("RECORD_CONTENT", F.parse_json(PAYLOAD)).drop(PAYLOAD)
+            tables.append(f"{name}_dead_letters", bad.drop("lane", "offset"), batch_id)
+        tables.append(name, good.drop("lane", "offset"), batch_id)
+        tables.append(odd, tokens.select(*keys), batch_id)
+        new = offsets.islands(placed.where("lane is not null").select("lane", "offset").distinct())
+        tables.append(state, offsets.joined(intervals.unionByName(new)), batch_id)
+    finally:
+        placed.unpersist()
+    tables.forget_snapshots(state, batch_id - 1)
 
-    def load(batch: DataFrame, batch_id: int) -> None:
-        fresh = batch.dropDuplicates(keys)
-        landed = tables.read(name, before_batch=batch_id)
-        if landed is not None:
-            fresh = fresh.join(landed.select(*keys), keys, "left_anti").select(*batch.columns)
-        tables.append(name, fresh, batch_id)
 
-    return events.writeStream.foreachBatch(load).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+def stream_events(events: DataFrame, tables: TableFolder, name: str, checkpoint: str) -> StreamingQuery:
+    """Row-level events, each (topic, partition, offset) once, however late a repeat or a new event comes.
+
+    Events without an offset, topic or partition cannot be told apart and all land. A ``RECORD_TEXT`` column is parsed into ``RECORD_CONTENT``;
+    events whose text is no JSON go to ``<name>_dead_letters`` as they came, once too. ``<name>_offsets`` holds the intervals of
+    landed offsets after each batch.
+    """
+    return (events.writeStream.foreachBatch(lambda batch, batch_id: load_events(batch, tables, name, batch_id))
+            .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
 
 
 def error_trend_stream(errors: DataFrame, delay: str = "2 hours") -> DataFrame:

@@ -65,3 +65,17 @@ def test_an_update_of_microseconds_is_a_change(spark):
     two = spark.sql("select 1 id, timestamp_ntz'2020-01-01 00:00:00.000002' t")
     assert sorted(r._ACTION for r in change_feed(one, two, ["id"]).collect()) == ["DELETE", "INSERT"]
     assert change_feed(one, one, ["id"]).collect() == []
+
+
+def test_null_keys_are_compared_as_values(spark):
+    a = spark.createDataFrame([(1, None, "x"), (None, "k", "x"), (None, None, "x")], "k int, l string, v string")
+    b = spark.createDataFrame([(1, None, "y"), (None, "k", "x"), (2, None, "x")], "k int, l string, v string")
+    keys = ["k", "l"]
+    assert changes.change_feed(a, a, keys).count() == 0 and changes.feed_apply(a, changes.change_feed(a, a, keys), keys).count() == 3
+    feed = changes.change_feed(a, b, keys)
+    assert rows(feed, "k", "l", "v", changes.ACTION, changes.IS_UPDATE) == sorted([
+        (1, None, "x", "DELETE", True), (1, None, "y", "INSERT", True), (None, None, "x", "DELETE", False), (2, None, "x", "INSERT", False)], key=str)
+    same(changes.feed_apply(a, feed, keys), b)
+    assert rows(changes.change_feed(a, b, keys, append_only=True), "k", "l") == [(2, None)]
+    assert rows(changes.cdc_merge(a, feed, keys)) == sorted([(1, None, "y"), (None, "k", "x"), (None, None, "x"), (2, None, "x")], key=str)
+    assert changes.merge_upsert(a, b, keys).count() == 4

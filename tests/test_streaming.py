@@ -70,3 +70,51 @@ def test_error_trend_stream(spark, folder):
     q.awaitTermination()
     got = [(str(r["ERROR_HOUR"]), r["ERROR_COUNT"], r["ERROR_CODES"]) for r in spark.table("trend").collect()]
     assert got == [("2024-01-01 00:00:00", 2, "x,y")]  # the last hour is not final yet
+
+
+EVENT = "_OFFSET_TOKEN string, _PARTITION_ID long, _TOPIC_NAME string, RECORD_TEXT string"
+
+
+def landed(tables):
+    good = [(r._OFFSET_TOKEN, r._PARTITION_ID, r._TOPIC_NAME) for r in tables.read("e").collect()]
+    bad = [(r._OFFSET_TOKEN, r.RECORD_TEXT) for r in tables.read("e_dead_letters").collect()]
+    return sorted(good, key=str), sorted(bad, key=str)
+
+
+def test_events_land_once_whatever_their_order_and_a_batch_may_run_again(spark, folder):
+    tables = TableFolder(spark, folder)
+    first = [(str(k), 0, "t", "{}") for k in (1, 2, 3, 3, 9)] + [("2", 1, "t", "{}"), ("2", 0, "u", "{}"), (None, 0, "t", "{}"), (None, 0, "t", "{}"),
+             ("7", None, "t", "{}"), ("7", None, "t", "{}"), ("x-1", 0, "t", "{}"), ("x-1", 0, "t", "{}"), ("5", 0, "t", "no json"), ("5", 0, "t", "no json"), ("007", 0, "t", "{}")]
+    second = [("2", 0, "t", "{}"), ("4", 0, "t", "{}"), ("5", 0, "t", "no json"), ("10", 0, "t", "{}"), ("x-1", 0, "t", "{}"), ("x-2", 0, "t", "{}"), (None, 0, "t", "{}"), ("007", 0, "t", "{}")]
+    ingest.load_events(spark.createDataFrame(first, EVENT), tables, "e", 0)
+    for _ in range(2):
+        ingest.load_events(spark.createDataFrame(second, EVENT), tables, "e", 1)
+    good, bad = landed(tables)
+    want = [(str(k), 0, "t") for k in (1, 2, 3, 4, 9, 10)] + [("2", 1, "t"), ("2", 0, "u")] + [(None, 0, "t")] * 3 + [("7", None, "t")] * 2 + [
+        ("x-1", 0, "t"), ("x-2", 0, "t"), ("007", 0, "t")]
+    assert good == sorted(want, key=str) and bad == [("5", "no json")]
+    spans = sorted((r.lane, r.low, r.high) for r in tables.snapshot("e_offsets", 9).collect())
+    assert spans == [("0/t", 1, 5), ("0/t", 9, 10), ("0/u", 2, 2), ("1/t", 2, 2)]
+
+
+def test_intervals_of_offsets_equal_a_plain_scan(spark):
+    import random
+
+    from loomvault.streaming import offsets
+    for seed in range(3):
+        rng = random.Random(seed)
+        taken = {(lane, rng.randint(0, 60)) for lane in ("a", "b") for _ in range(40)}
+        parts = [set(), set()]
+        for t in taken:
+            parts[rng.random() < 0.5].add(t)
+        frames = [spark.createDataFrame(sorted(p), "lane string, offset long") for p in parts]
+        both = offsets.joined(offsets.islands(frames[0]).unionByName(offsets.islands(frames[1])))
+        spans = {(r.lane, k) for r in both.collect() for k in range(r.low, r.high + 1)}
+        assert spans == taken
+        assert both.count() == sum((lane, k - 1) not in taken for lane, k in taken)
+
+
+def test_no_event_leaves_no_interval(spark, folder):
+    tables = TableFolder(spark, folder)
+    ingest.load_events(spark.createDataFrame([], EVENT), tables, "e", 0)
+    assert landed(tables) == ([], []) and tables.snapshot("e_offsets", 1).count() == 0
