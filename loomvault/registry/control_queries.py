@@ -438,7 +438,8 @@ def table_backup(w, spark, folder):
     tables = TableFolder(spark, scratch_path(spark, "backup"))
     tables.replace("hub_product", w.hub_product)
     copied = tables.backup("hub_product", AS_OF_EVENTS)
-    return spark.read.parquet(f"{tables.root}/_backups/{copied}")
+    tables.replace("hub_product", w.hub_product.limit(0))  # the backup does not follow the table
+    return tables.read_backup(copied)
 
 
 @query("table_restore", doubles("hub_product"))
@@ -460,7 +461,7 @@ def backup_cleanup(w, spark, folder):
         tables.backup("hub_product", instant)
     removed = tables.cleanup_backups(AS_OF_EVENTS)
     left = [c for c, _, _ in tables.backups()]
-    kept = spark.read.parquet(f"{tables.root}/_backups/{left[0]}")
+    kept = tables.read_backup(left[0])
     return kept.agg(F.count("*").alias("ROWS_KEPT")).withColumn("REMOVED", F.lit(",".join(removed)))
 
 

@@ -135,6 +135,59 @@ def test_backup_restore_cleanup(spark, folder):
     assert tables.cleanup_backups("2024-03-01 00:00:00") == [] and len(tables.cleanup_backups("2024-06-01 00:00:00")) == 1
 
 
+def test_a_write_that_fails_half_way_leaves_the_table_as_it_was(spark, folder):
+    tables = TableFolder(spark, folder)
+    rows_ = spark.range(8).withColumn("p", F.col("id") % 2)
+    broken = rows_.withColumn("id", F.expr("if(id = 7, raise_error('no'), id)"))
+    tables.replace("t", rows_, "p")
+    tables.append("b", rows_, 1)
+    for fail in (lambda: tables.replace("t", broken, "p"), lambda: tables.upsert("t", broken, ["id"], "p"), lambda: tables.append("b", broken, 1)):
+        with pytest.raises(Exception, match="no"):
+            fail()
+    same(tables.read("t"), rows_)
+    same(tables.read("b"), rows_)
+
+
+def test_backup_and_restore_move_no_rows_and_vacuum_keeps_what_is_named(spark, folder):
+    import os
+    tables = TableFolder(spark, folder)
+
+    def files():
+        return sorted(os.path.join(d, f) for d, _, names in os.walk(f"{folder}/t") for f in names if f.endswith(".parquet"))
+    rows_ = spark.range(10).withColumn("p", F.col("id") % 3)
+    tables.replace("t", rows_, "p")
+    tables.backup("t", "2024-01-01 00:00:00")
+    tables.upsert("t", spark.createDataFrame([(1, 1), (20, 1)], "id long, p long"), ["id"], "p")
+    before = files()
+    tables.restore("t", "2024-01-02 00:00:00", "2024-01-03 00:00:00")
+    assert files() == before
+    same(tables.read("t"), rows_)
+    assert tables.vacuum("t") == []  # the state before the restore is still named
+    tables.replace("t", spark.range(2).withColumn("p", F.lit(0).cast("long")), "p")
+    assert len(tables.cleanup_backups("2024-06-01 00:00:00")) == 1
+    assert tables.read("t").count() == 2 and tables.read_backup("t_PRE_RESTORE_20240103_000000").count() == 11
+    assert not set(before) <= set(files())
+
+
+def test_a_batch_that_runs_again_begins_where_it_began(spark, folder):
+    tables = TableFolder(spark, folder)
+    for batch, value in ((1, 5), (2, 6), (2, 7), (3, 8)):
+        tables.begin("t", batch)
+        tables.upsert("t", spark.createDataFrame([(batch, value, 0)], "k int, v int, p int"), ["k"], "p")
+    assert rows(tables.read("t"), "k", "v") == [(1, 5), (2, 7), (3, 8)]
+    tables.begin("t", 3)
+    assert rows(tables.read("t"), "k") == [(1,), (2,)]
+    assert tables.vacuum("t")
+
+
+def test_partitions_of_odd_names(spark, folder):
+    tables = TableFolder(spark, folder)
+    data = [(1, "a b/c=d%"), (2, None), (3, "2024-01")]
+    tables.replace("t", spark.createDataFrame(data, "k int, p string"), "p")
+    got = tables.upsert("t", spark.createDataFrame([(2, "a b/c=d%"), (4, None)], "k int, p string"), ["k"], "p")
+    assert rows(got, "k", "p") == [(1, "a b/c=d%"), (2, "a b/c=d%"), (3, "2024-01"), (4, None)]
+
+
 def test_seeds(spark):
     assert {n: seeds.seed(spark, n).count() for n in seeds.SEEDS} == {"country_codes": 20, "order_status_mapping": 10, "payment_methods": 10, "product_categories": 15}
     assert all(seeds.check_seed_key(seeds.seed(spark, n), key).isEmpty() for n, (_, _, key) in seeds.SEEDS.items())
