@@ -6,8 +6,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import quality
+from ..operators.changes import without_keys
 from ..sources.tables import TableFolder
-from ..streaming.vault_stream import BUCKET, refresh_pit, with_bucket
+from ..streaming.known import BUCKET, load_known, with_bucket
+from ..streaming.vault_stream import refresh_pit
+from . import gold
 from . import warehouse as w
 
 VAULT_LOADS = {
@@ -24,6 +27,16 @@ VAULT_LOADS = {
     "sat_product_pricing": (w.load_sat_product_pricing, "stg_products"),
     "eff_sat_customer_order": (w.load_eff_sat_customer_order, "stg_orders"),
 }
+# key of each vault table, and what tells a version from the one before
+KEYED = {
+    "hub_customer": ("HK_CUSTOMER", None), "hub_order": ("HK_ORDER", None), "hub_product": ("HK_PRODUCT", None),
+    "link_customer_order": ("HK_LINK_CUSTOMER_ORDER", None), "link_order_product": ("HK_LINK_ORDER_PRODUCT", None),
+    "sat_customer_details": ("HK_CUSTOMER", "HASH_DIFF"), "sat_customer_demographics": ("HK_CUSTOMER", "HASH_DIFF"),
+    "sat_order_details": ("HK_ORDER", "HASH_DIFF"), "sat_order_financials": ("HK_ORDER", "HASH_DIFF"),
+    "sat_product_details": ("HK_PRODUCT", "HASH_DIFF"), "sat_product_pricing": ("HK_PRODUCT", "HASH_DIFF"),
+    "eff_sat_customer_order": ("HK_LINK_CUSTOMER_ORDER", "IS_ACTIVE"),
+}
+PENDING = "pending_order_items"
 PITS = {
     "pit_customer": ("HK_CUSTOMER", "stg_customers", "hub_customer",
                      {"SAT_CUSTOMER_DETAILS": "sat_customer_details", "SAT_CUSTOMER_DEMOGRAPHICS": "sat_customer_demographics"}),
@@ -44,20 +57,21 @@ def gate(layer: str, offending: DataFrame) -> None:
 
 
 def run_batch(spark: SparkSession, landing: w.Landing, tables: TableFolder, as_of: str, batch: int,
-              calendar: tuple[str, str], buckets: int = 64) -> w.Warehouse:
+              calendar: tuple[str, str], buckets: int = 64, late_orders: bool = False) -> w.Warehouse:
     """Load one landing batch. Running the same batch again gives the same tables.
 
-    Vault tables only grow. PIT rows, the bridge and facts are rewritten for the partitions the
+    Vault tables only grow; of them a batch reads what is known of its own keys. Items whose order is not known yet are kept in a table
+    of their own and met by the orders of every later batch; without ``late_orders`` such items fail the vault's check. PIT rows, the bridge and facts are rewritten for the partitions the
     batch touches; conformed tables, dimensions and aggregates are rebuilt from stored tables.
     """
     fresh = w.Warehouse(spark, landing, as_of, calendar)
     for name, (load, staged) in VAULT_LOADS.items():
-        tables.append(name, load(getattr(fresh, staged), tables.read(name, before_batch=batch)), batch)
+        load_known(getattr(fresh, staged), load, tables, name, batch, *KEYED[name], buckets)
     stored = {name: tables.read(name) for name in VAULT_LOADS}
     gate("vault", quality.vault_integrity([
         ("LINK_CUSTOMER_ORDER.HK_CUSTOMER", stored["link_customer_order"], "HK_CUSTOMER", stored["hub_customer"]),
         ("LINK_CUSTOMER_ORDER.HK_ORDER", stored["link_customer_order"], "HK_ORDER", stored["hub_order"]),
-        ("LINK_ORDER_PRODUCT.HK_ORDER", stored["link_order_product"], "HK_ORDER", stored["hub_order"]),
+        *([] if late_orders else [("LINK_ORDER_PRODUCT.HK_ORDER", stored["link_order_product"], "HK_ORDER", stored["hub_order"])]),
         ("LINK_ORDER_PRODUCT.HK_PRODUCT", stored["link_order_product"], "HK_PRODUCT", stored["hub_product"]),
     ]))
 
@@ -77,12 +91,17 @@ def run_batch(spark: SparkSession, landing: w.Landing, tables: TableFolder, as_o
     gate("silver", quality.pit_completeness(built.hub_customer, built.pit_customer, "HK_CUSTOMER"))
 
     touched_orders = fresh.stg_orders.select("HK_ORDER").distinct()
+    tables.begin(PENDING, batch)
+    waiting = tables.read(PENDING)
+    items = fresh.stg_order_items if waiting is None else fresh.stg_order_items.unionByName(
+        without_keys(waiting, fresh.stg_order_items, ["ORDER_ITEM_ID"]))
+    tables.replace(PENDING, items.join(built.conformed_orders.select("HK_ORDER"), "HK_ORDER", "left_anti").select(*items.columns))
     for name, key, rows in (
         ("fct_orders", "ORDER_SK", built.fct_orders.join(touched_orders, "HK_ORDER", "left_semi")),
-        ("fct_order_items", "ORDER_ITEM_SK", built.fct_order_items),
+        ("fct_order_items", "ORDER_ITEM_SK", gold.fct_order_items(items, built.conformed_orders)),
     ):
         monthly = rows.withColumn(MONTH, F.date_format("ORDER_DATE", "yyyy-MM"))
-        kept = tables.upsert(name, monthly, [key], MONTH)
+        kept = tables.upsert(name, monthly, [key], MONTH, sort_by=["ORDER_DATE_KEY"])
         if kept is not None:  # a partitioned table without rows has no files yet
             vars(built)[name] = kept.drop(MONTH)
     gate("gold", quality.duplicate_keys({"CUSTOMER_SK": built.dim_customer, "PRODUCT_SK": built.dim_product}))

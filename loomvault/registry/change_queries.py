@@ -9,6 +9,7 @@ from ..operators import changes, history
 from ..operators.observe import error_trend_hourly
 from ..plans import warehouse as loaders
 from ..plans import staging
+from ..plans.run import KEYED
 from ..session import scratch_path
 from ..sources import testbed
 from ..sources.tables import TableFolder
@@ -212,6 +213,8 @@ VAULT_LOADERS = {
     "sat_order_details": loaders.load_sat_order_details, "sat_order_financials": loaders.load_sat_order_financials,
 }
 
+VAULT_KEYS = {name: KEYED[name] for name in VAULT_LOADERS}
+
 
 def raw_orders_in_two_folders(w, tables):
     """Landing rows in two folders of several files, older rows in the first."""
@@ -227,7 +230,7 @@ def stream_orders_vault(w, spark):
     schema = raw_orders_in_two_folders(w, tables)
     raw = spark.readStream.schema(schema).option("maxFilesPerTrigger", FILES).parquet(tables.path("landed/*"))
     vault_stream.stream_load_vault(
-        raw, lambda batch: staging.stage_orders(batch, w.as_of), VAULT_LOADERS, tables, tables.path("_checkpoint")).awaitTermination()
+        raw, lambda batch: staging.stage_orders(batch, w.as_of), VAULT_LOADERS, tables, tables.path("_checkpoint"), keyed=VAULT_KEYS, buckets=8).awaitTermination()
     return tables
 
 

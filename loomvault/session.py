@@ -18,6 +18,8 @@ SETTINGS = {
     # split a skewed join input even when that costs one more exchange afterwards
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
+    # lists of keys reach the Bloom filters of files
+    "spark.sql.parquet.pushdown.inFilterThreshold": "256",
 }
 
 

@@ -7,7 +7,7 @@ and a restore puts one back, so neither moves a row; folders that no pointer nam
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from datetime import datetime, timedelta
 from urllib.parse import unquote
 
@@ -148,14 +148,17 @@ class TableFolder:
         frame.createOrReplaceTempView(name)
         return frame
 
-    def _write(self, name: str, frame: DataFrame, partition_by: Sequence[str] = (), under: str = "") -> list[str]:
+    def _write(self, name: str, frame: DataFrame, partition_by: Sequence[str] = (), under: str = "", sort_by: Sequence[str] = (),
+               options: Mapping[str, str] | None = None) -> list[str]:
         """Write a new version and return its folders. Parts are dealt out by size: a large one to several tasks, small ones together."""
         version = self._new_version(name)
         path = f"{self.path(name)}/{version}"
         if not partition_by:
             frame.write.format(self.fmt).save(f"{path}{under}")
             return [f"{version}{under}"]
-        frame.hint("rebalance", *partition_by).write.format(self.fmt).partitionBy(*partition_by).save(path)
+        dealt = frame.hint("rebalance", *partition_by)
+        dealt = dealt.sortWithinPartitions(*partition_by, *sort_by) if sort_by else dealt
+        dealt.write.format(self.fmt).options(**(options or {})).partitionBy(*partition_by).save(path)
         return [f"{version}/{c}" for c in self._children(path) if "=" in c]
 
     def replace(self, name: str, frame: DataFrame, partition_by: str | Sequence[str] = (), sort_by: Sequence[str] = ()) -> DataFrame | None:
@@ -179,7 +182,12 @@ class TableFolder:
         self._point(f"{self.path(name)}/{POINTER}", kept + self._write(name, frame, under=f"/{BATCH}={batch}"))
         return self.read(name)
 
-    def upsert(self, name: str, source: DataFrame, keys: Sequence[str], partition_by: str) -> DataFrame | None:
+    def add_parts(self, name: str, frame: DataFrame, partition_by: str, options: Mapping[str, str] | None = None) -> None:
+        """Add rows to a partitioned table; what it holds is not read. See ``begin`` for batches that may run again."""
+        folders = self.folders(name) or []
+        self._point(f"{self.path(name)}/{POINTER}", folders + self._write(name, frame, [partition_by], options=options))
+
+    def upsert(self, name: str, source: DataFrame, keys: Sequence[str], partition_by: str, sort_by: Sequence[str] = ()) -> DataFrame | None:
         """Write anew only the partitions that hold an incoming key, before or after the change.
 
         ``partition_by`` names a column of the table, such as a month. A key may move between
@@ -187,14 +195,15 @@ class TableFolder:
         """
         stored = self.read(name)
         if stored is None:
-            return self.replace(name, source, partition_by)
+            self._point(f"{self.path(name)}/{POINTER}", self._write(name, source, [partition_by], sort_by=sort_by))
+            return self.read(name)
         part = F.col(partition_by).cast("string").alias("p")
         where_now = with_keys(stored, source, keys).select(part)
         touched = {r["p"] for r in where_now.union(source.select(part)).distinct().collect()}  # partition names only
         now = self.read_parts(name, touched)
         merged = source if now is None else merge_upsert(now, source, keys)
         untouched = [f for f in self.folders(name) if _value(f) not in touched]
-        self._point(f"{self.path(name)}/{POINTER}", untouched + self._write(name, merged.select(*stored.columns), [partition_by]))
+        self._point(f"{self.path(name)}/{POINTER}", untouched + self._write(name, merged.select(*stored.columns), [partition_by], sort_by=sort_by))
         return self.read(name)
 
     def write(self, name: str, frame: DataFrame, how: str, **options) -> DataFrame | None:

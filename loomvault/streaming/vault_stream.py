@@ -13,43 +13,44 @@ from pyspark.sql.streaming.stateful_processor import StatefulProcessor, Stateful
 
 from ..plans import vault
 from ..sources.tables import TableFolder
+from .known import BUCKET, load_known, with_bucket
 
 Loader = Callable[..., DataFrame]
-BUCKET = "KEY_BUCKET"
 
 
-def load_batch(staged: DataFrame, loaders: Mapping[str, Loader], tables: TableFolder, batch: int) -> None:
+def load_batch(staged: DataFrame, loaders: Mapping[str, Loader], tables: TableFolder, batch: int,
+               keyed: Mapping[str, tuple[str, str | None]] | None = None, buckets: int = 64) -> None:
     """Append what one staged batch adds to each vault table.
 
     Loaders see the tables as they were before this batch, so running the batch again writes the
-    same rows into the same folders.
+    same rows into the same folders. For tables that ``keyed`` gives (key, mark) of, only the known rows of the batch's keys are read.
     """
     staged = staged.persist()  # read by every loader; recomputed from the source if an executor is lost
     try:
         for name, load in loaders.items():
-            tables.append(name, load(staged, tables.read(name, before_batch=batch)), batch)
+            if keyed and name in keyed:
+                load_known(staged, load, tables, name, batch, *keyed[name], buckets)
+            else:
+                tables.append(name, load(staged, tables.read(name, before_batch=batch)), batch)
     finally:
         staged.unpersist()
 
 
 def stream_load_vault(raw: DataFrame, stage: Callable[[DataFrame], DataFrame], loaders: Mapping[str, Loader],
                       tables: TableFolder, checkpoint: str,
-                      after: Callable[[DataFrame, int], None] | None = None) -> StreamingQuery:
+                      after: Callable[[DataFrame, int], None] | None = None,
+                      keyed: Mapping[str, tuple[str, str | None]] | None = None, buckets: int = 64) -> StreamingQuery:
     """Continuous hub, link and satellite load from a landing stream."""
 
     def load(batch: DataFrame, batch_id: int) -> None:
         staged = stage(batch)
-        load_batch(staged, loaders, tables, batch_id)
+        load_batch(staged, loaders, tables, batch_id, keyed, buckets)
         if after is not None:
             after(staged, batch_id)
 
     return raw.writeStream.foreachBatch(load).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
-def with_bucket(df: DataFrame, key: str, buckets: int) -> DataFrame:
-    return df.withColumn(BUCKET, F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int"))
-
-
 def refresh_pit(tables: TableFolder, touched: DataFrame, key: str, hub: str, satellites: Mapping[str, str], pit: str,
                 buckets: int = 64, with_hash_diff: bool = True) -> DataFrame:
     """Rebuild the PIT rows of the touched keys only; the rest of the table is not read for them."""
