@@ -7,9 +7,12 @@ the deepest element that holds nearly all of their text. Every line of the regio
 too, except what stands in page furniture (menus, headers, footers, sidebars, notices, adverts, forms,
 scripts, styles, reader comments), which is known by element name, role, class or id.
 
-Defined cases: null, empty and text-free pages give the empty text; broken markup, unclosed elements
-and cut-off pages are read as far as they go; a page of any length is handled as a whole in memory of
-its own size; repeated rows and extra columns pass through, a new column replaces one of its name.
+An element that holds the page's first ``article`` or ``main`` is no furniture for its class or id, but for reader comments; a name that begins
+with has-, no-, with- or without- says what is beside the element, not what it is. Where no such element marks the region, the heading right before it belongs to it.
+
+Defined cases: null, empty and text-free pages give the empty text; broken markup, unclosed elements,
+unknown declarations and cut-off pages are read as far as they go; a page of any length and depth is handled as a whole in
+memory and time of its own size; an empty table gives an empty table; repeated rows and extra columns pass through, a new column replaces one of its name.
 """
 
 from __future__ import annotations
@@ -45,54 +48,77 @@ WORDS = re.compile(
     r"comment|comments|commentlist|disqus|respond|replies|reply|discussion|cookie|cookies|consent|gdpr|notice|notices|alert|"
     r"popup|modal|overlay|newsletter|subscribe|subscription|signup|login|share|sharing|social|related|recommended|recommendations|"
     r"pagination|pager|toolbar|skip|copyright|legal|disclaimer)(?:$|[\s_-])", re.IGNORECASE)
+BESIDE = re.compile(r"(?:^|(?<=\s))(?:has|no|with|without)[_-]\S*", re.IGNORECASE)
+COMMENTS = re.compile(r"(?:^|[\s_-])(?:comment|comments|commentlist|disqus|respond|replies|reply|discussion)(?:$|[\s_-])", re.IGNORECASE)
+HEADINGS = frozenset("h1 h2".split())
 
 
 class Line:
-    __slots__ = ("text", "tags", "path")
+    """A block of text: its tags, the element that holds it, and whether it is a heading."""
+
+    __slots__ = ("text", "tags", "element", "heading")
 
-    def __init__(self, text: str, tags: int, path: tuple[int, ...]):
-        self.text, self.tags, self.path = text, tags, path
+    def __init__(self, text: str, tags: int, element: int, heading: bool):
+        self.text, self.tags, self.element, self.heading = text, tags, element, heading
 
 
 class Lines(HTMLParser):
-    """Cuts a page into lines of visible text with the elements that hold each."""
+    """Cuts a page into lines of visible text. Elements are numbers that know their parent, so depth costs nothing.
+
+    Text in furniture by element name or role is left out at once; furniture by class or id is noted, to be judged when the page is known.
+    """
 
     def __init__(self):
         super().__init__(convert_charrefs=True)
-        self.open: list[tuple[str, int, bool]] = []  # name, number, whether its text is left out
-        self.names: dict[int, str] = {}
+        self.names, self.parents = ["#page"], [0]
+        self.called: dict[int, bool] = {}  # furniture by class or id, and whether for reader comments
+        self.first = 0  # the first article or main
+        self.open: list[tuple[int, bool]] = []  # number, whether its text is left out
+        self.depths: dict[str, list[int]] = {}  # where elements of a name are open
+        self.barriers: list[int] = []
         self.lines: list[Line] = []
         self.words: list[str] = []
-        self.tags = self.count = 0
-        self.skipped = 0
+        self.tags = self.skipped = 0
 
     def flush(self) -> None:
         text = " ".join("".join(self.words).split())
         if text:
-            self.lines.append(Line(text, max(1, self.tags), tuple(n for _, n, _ in self.open)))
+            heading = any(self.depths.get(h) for h in HEADINGS)
+            self.lines.append(Line(text, max(1, self.tags), self.open[-1][0] if self.open else 0, heading))
             self.tags = 0
         self.words.clear()
 
     def furniture(self, tag: str, attrs) -> bool:
+        """Whether an element is left out whatever it holds."""
         if tag in HIDDEN or tag in FURNITURE:
             return True
         if tag in ("html", "body", *CONTENT):
             return False
         if tag == "header":  # the header of an article belongs to it
-            return not any(name in CONTENT for name, _, _ in self.open)
+            return not any(self.depths.get(c) for c in CONTENT)
         for key, value in attrs:
             value = value or ""
             if key == "role" and value.lower() in ROLES or key == "hidden" or key == "aria-hidden" and value.lower() == "true":
                 return True
-            if key in ("class", "id") and WORDS.search(value):
-                return True
             if key == "style" and "display:none" in value.replace(" ", "").lower():
                 return True
+            if key in ("class", "id") and WORDS.search(BESIDE.sub(" ", value)):
+                number = len(self.names)
+                self.called[number] = self.called.get(number, False) or bool(COMMENTS.search(value))
         return False
 
     def leave(self, depth: int) -> None:
         while len(self.open) > depth:
-            self.skipped -= self.open.pop()[2]
+            number, out = self.open.pop()
+            name = self.names[number]
+            self.depths[name].pop()
+            if name in BARRIER:
+                self.barriers.pop()
+            self.skipped -= out
+
+    def innermost(self, name: str) -> int:
+        found = self.depths.get(name)
+        return found[-1] if found else -1
 
     def handle_starttag(self, tag, attrs) -> None:
         self.tags += 1
@@ -101,21 +127,22 @@ class Lines(HTMLParser):
             return
         if tag not in INLINE:
             self.flush()
-            names = [name for name, _, _ in self.open]
             for closed in (*CLOSED_BY_BLOCK, *SAME_LEVEL.get(tag, ())):
-                for depth in range(len(names) - 1, -1, -1):
-                    if names[depth] == closed:
-                        self.leave(depth)
-                        names = names[:depth]
-                        break
-                    if names[depth] in BARRIER and names[depth] != closed:
-                        break
+                depth = self.innermost(closed)
+                if depth >= 0 and not (self.barriers and self.barriers[-1] > depth):
+                    self.leave(depth)
         if tag in VOID:
             return
         out = self.furniture(tag, attrs)
-        self.count += 1
-        self.names[self.count] = tag
-        self.open.append((tag, self.count, out))
+        number = len(self.names)
+        if tag in CONTENT and not self.skipped and not self.first:
+            self.first = number
+        self.names.append(tag)
+        self.parents.append(self.open[-1][0] if self.open else 0)
+        self.depths.setdefault(tag, []).append(len(self.open))
+        if tag in BARRIER:
+            self.barriers.append(len(self.open))
+        self.open.append((number, out))
         self.skipped += out
 
     def handle_startendtag(self, tag, attrs) -> None:
@@ -127,17 +154,22 @@ class Lines(HTMLParser):
         self.tags += 1
         if tag not in INLINE:
             self.flush()
-        for depth in range(len(self.open) - 1, -1, -1):
-            if self.open[depth][0] == tag:
-                self.leave(depth)
-                return
-            if tag in INLINE and self.open[depth][0] in BARRIER:
-                return
+        depth = self.innermost(tag)
+        if depth >= 0 and not (tag in INLINE and self.barriers and self.barriers[-1] > depth):
+            self.leave(depth)
 
     def handle_data(self, data) -> None:
         if not self.skipped:
             self.words.append(data)
 
+    def unknown_decl(self, data) -> None:
+        """A marked section that is not of HTML shows nothing."""
+
+    def parse_marked_section(self, i, report=1):
+        """The end of ``<![...]>``, whatever its name; the rest of the page where it never ends."""
+        end = self.rawdata.find(">", i)
+        return end + 1 if end >= 0 else -1
+
     def close(self) -> None:
         super().close()
         self.flush()
@@ -165,34 +197,76 @@ def threshold(values: np.ndarray) -> float:
     return min(cut, float(values.std()) if values.std() > 0 else cut)
 
 
+def _sums(parser: Lines, amounts: dict[int, float]) -> list[float]:
+    """For each element what it holds; children have larger numbers than their parents."""
+    held = [0.0] * len(parser.names)
+    for element, amount in amounts.items():
+        held[element] += amount
+    for number in range(len(held) - 1, 0, -1):
+        held[parser.parents[number]] += held[number]
+    return held
+
+
+def _within(parser: Lines, roots) -> list[bool]:
+    """For each element whether it is one of ``roots`` or lies in one."""
+    inside = [number in roots for number in range(len(parser.names))]
+    for number in range(1, len(inside)):
+        inside[number] = inside[number] or inside[parser.parents[number]]
+    return inside
+
+
+def _furniture_by_name(parser: Lines) -> list[bool]:
+    spared, number = set(), parser.first
+    while number:
+        number = parser.parents[number]
+        if not parser.called.get(number, True):
+            spared.add(number)
+    return _within(parser, parser.called.keys() - spared)
+
+
 def main_text(page: str | None) -> str:
     """The main text of one page, blocks joined by a line break."""
     if not page:
         return ""
     parser = Lines()
-    parser.feed(page)
-    parser.close()
-    lines = parser.lines
+    try:
+        parser.feed(page)
+        parser.close()
+    except AssertionError:  # how the standard parser gives up on a declaration: what was read so far counts
+        parser.flush()
+    names, parents = parser.names, parser.parents
+    around = _furniture_by_name(parser)
+    lines = [x for x in parser.lines if not around[x.element]]
     if not lines:
         return ""
     size = np.array([len(x.text) for x in lines], float)
     values = smoothed(size / np.array([x.tags for x in lines], float))
     chosen = values >= threshold(values)
-    mass: dict[int, float] = {}
+    amounts: dict[int, float] = {}
+    counts: dict[int, float] = {}
     for line, amount, keep in zip(lines, size, chosen):
+        counts[line.element] = counts.get(line.element, 0) + 1
         if keep:
-            for number in line.path:
-                mass[number] = mass.get(number, 0.0) + amount
+            amounts[line.element] = amounts.get(line.element, 0.0) + float(amount)
+    mass, blocks = _sums(parser, amounts), _sums(parser, counts)
     total = float(size[chosen].sum())
-    marked = {n: m for n, m in mass.items() if parser.names[n] in CONTENT}
-    region = max(marked, key=lambda n: (marked[n], n)) if marked and sum(marked.values()) * 2 >= total else 0
+    marked = [n for n in range(1, len(names)) if names[n] in CONTENT and mass[n]]
+    region = max(marked, key=lambda n: (mass[n], n)) if sum(mass[n] for n in marked) * 2 >= total and marked else 0
     if not region:
-        holding = [n for n, m in mass.items() if m >= HELD * total and parser.names[n] not in INLINE]
-        region = max((n for n in holding if sum(n in x.path for x in lines) > 1), default=0)
-    if parser.names.get(region) == "article":
-        # several articles on one page form one text with their siblings that hold as much as they do
-        return "\n".join(x.text for x in lines if any(n in marked and mass[n] * 4 >= mass[region] for n in x.path))
-    return "\n".join(x.text for x in lines if not region or region in x.path)
+        region = max((n for n in range(1, len(names)) if names[n] not in INLINE and mass[n] >= HELD * total and blocks[n] > 1), default=0)
+    roots = {region}
+    if names[region] == "article":
+        # several articles on one page form one text: those beside it, and others that hold as much
+        roots.update(n for n in range(1, len(names)) if names[n] in CONTENT and (
+            mass[n] * 4 >= mass[region] if mass[n] else False) or names[n] == "article" and parents[n] == parents[region])
+    inside = _within(parser, roots)
+    keep = [inside[x.element] for x in lines]
+    if names[region] not in CONTENT:
+        for at in range(keep.index(True) - 1 if True in keep else -1, -1, -1):
+            if not lines[at].heading:
+                break
+            keep[at] = True
+    return "\n".join(x.text for x, k in zip(lines, keep) if k)
 
 
 FIELDS = T.StructType([T.StructField("main_text", T.StringType())])
