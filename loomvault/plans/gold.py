@@ -134,33 +134,49 @@ def counted(orders: DataFrame) -> DataFrame:
 MONTH_KEYS = ("CALENDAR_YEAR", "CALENDAR_MONTH", "YEAR_MONTH", "CALENDAR_QUARTER", "YEAR_QUARTER", "CURRENCY_CODE")
 
 
-def agg_monthly_revenue(orders: DataFrame, calendar: DataFrame, as_of: str) -> DataFrame:
-    """Month x currency revenue with distinct, new and returning customers.
+REVENUE = {"TOTAL_AMOUNT": "GROSS_REVENUE", "NET_AMOUNT": "NET_REVENUE", "DISCOUNT_AMOUNT": "TOTAL_DISCOUNTS", "TAX_AMOUNT": "TOTAL_TAX"}
+REVENUE_TYPES = {"NET_AMOUNT": "decimal(30,4)"}  # others decimal(28,4)
 
-    Orders are first reduced to (customer, month, currency). A customer's first month is then a
-    window over those few rows (at most months x currencies per customer, however many orders it
-    has), and the three distinct counts become plain counts of flagged rows.
-    """
+
+def customer_months(orders: DataFrame, calendar: DataFrame) -> DataFrame:
+    """Counted orders reduced to (customer, month, currency): their number, amounts and how many amounts there are."""
     # A calendar has one row per day: a few thousand rows whatever the fact's size.
     days = F.broadcast(calendar.select("DATE_KEY", *MONTH_KEYS[:5]))
     dated = counted(orders).join(days, F.col("ORDER_DATE_KEY") == F.col("DATE_KEY"))
-    monthly = dated.groupBy("HK_CUSTOMER", *MONTH_KEYS).agg(
-        F.count("*").alias("n"),
-        *[F.sum(c).alias(c) for c in ("TOTAL_AMOUNT", "NET_AMOUNT", "DISCOUNT_AMOUNT", "TAX_AMOUNT")],
-    )
-    tagged = monthly.withColumn("first_month", F.min("YEAR_MONTH").over(Window.partitionBy("HK_CUSTOMER")))
+    return dated.groupBy("HK_CUSTOMER", *MONTH_KEYS).agg(
+        F.count("*").alias("n"), *[F.sum(c).cast(REVENUE_TYPES.get(c, "decimal(28,4)")).alias(c) for c in REVENUE],
+        *[F.count(c).alias(f"{c}_KNOWN") for c in REVENUE])
+
+
+def month_parts(months: DataFrame) -> DataFrame:
+    """What customers add to each month: all columns are sums, so parts of customers may be added and taken away.
+
+    A customer's first month is a window over few rows (at most months x currencies per customer, however many orders it
+    has), and the three distinct counts become plain counts of flagged rows.
+    """
+    tagged = months.withColumn("first_month", F.min("YEAR_MONTH").over(Window.partitionBy("HK_CUSTOMER")))
     known = F.col("HK_CUSTOMER").isNotNull()
     return tagged.groupBy(*MONTH_KEYS).agg(
         F.sum("n").alias("TOTAL_ORDERS"),
-        F.sum("TOTAL_AMOUNT").cast("decimal(28,4)").alias("GROSS_REVENUE"),
-        F.sum("NET_AMOUNT").cast("decimal(30,4)").alias("NET_REVENUE"),
-        F.sum("DISCOUNT_AMOUNT").cast("decimal(28,4)").alias("TOTAL_DISCOUNTS"),
-        F.sum("TAX_AMOUNT").cast("decimal(28,4)").alias("TOTAL_TAX"),
-        (F.sum("TOTAL_AMOUNT").cast("double") / F.sum("n")).alias("AVG_ORDER_VALUE"),
+        *[F.sum(c).cast(REVENUE_TYPES.get(c, "decimal(28,4)")).alias(total) for c, total in REVENUE.items()],
+        *[F.sum(f"{c}_KNOWN").alias(f"{c}_KNOWN") for c in REVENUE],
         F.count_if(known).alias("UNIQUE_CUSTOMERS"),
         F.count_if(known & (F.col("first_month") == F.col("YEAR_MONTH"))).alias("NEW_CUSTOMERS"),
         F.count_if(known & (F.col("first_month") < F.col("YEAR_MONTH"))).alias("RETURNING_CUSTOMERS"),
-    ).withColumn("AGGREGATED_AT", dates.at(as_of))
+    )
+
+
+def monthly_revenue_of(parts: DataFrame, as_of: str) -> DataFrame:
+    """Month x currency revenue from its summed parts."""
+    average = F.when(F.col("TOTAL_AMOUNT_KNOWN") > 0, F.col("GROSS_REVENUE").cast("double") / F.col("TOTAL_ORDERS"))
+    totals = [F.when(F.col(f"{c}_KNOWN") > 0, F.col(total)).alias(total) for c, total in REVENUE.items()]  # no amount is no total, not 0
+    return parts.select(*MONTH_KEYS, "TOTAL_ORDERS", *totals, average.alias("AVG_ORDER_VALUE"), "UNIQUE_CUSTOMERS", "NEW_CUSTOMERS",
+                        "RETURNING_CUSTOMERS", dates.at(as_of).alias("AGGREGATED_AT"))
+
+
+def agg_monthly_revenue(orders: DataFrame, calendar: DataFrame, as_of: str) -> DataFrame:
+    """Month x currency revenue with distinct, new and returning customers."""
+    return monthly_revenue_of(month_parts(customer_months(orders, calendar)), as_of)
 
 
 def agg_customer_ltv(customers: DataFrame, orders: DataFrame, as_of: str) -> DataFrame:

@@ -6,11 +6,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import quality
-from ..operators.changes import without_keys
+from ..operators.changes import change_feed, without_keys
 from ..sources.tables import TableFolder
-from ..streaming.known import BUCKET, load_known, with_bucket
+from ..streaming.known import BUCKET, load_known
 from ..streaming.vault_stream import refresh_pit
-from . import gold
+from . import deltas, gold
 from . import warehouse as w
 
 VAULT_LOADS = {
@@ -62,7 +62,7 @@ def run_batch(spark: SparkSession, landing: w.Landing, tables: TableFolder, as_o
 
     Vault tables only grow; of them a batch reads what is known of its own keys. Items whose order is not known yet are kept in a table
     of their own and met by the orders of every later batch; without ``late_orders`` such items fail the vault's check. PIT rows, the bridge and facts are rewritten for the partitions the
-    batch touches; conformed tables, dimensions and aggregates are rebuilt from stored tables.
+    batch touches, monthly revenue from the changes of orders; conformed tables, dimensions and lifetime values are rebuilt from stored tables.
     """
     fresh = w.Warehouse(spark, landing, as_of, calendar)
     for name, (load, staged) in VAULT_LOADS.items():
@@ -84,10 +84,9 @@ def run_batch(spark: SparkSession, landing: w.Landing, tables: TableFolder, as_o
     for name, (key, staged, hub, satellites) in PITS.items():
         refresh_pit(tables, getattr(fresh, staged), key, hub, satellites, name, buckets, with_hash_diff=name == "pit_customer")
         vars(built)[name] = tables.read(name).drop(BUCKET)
-    touched_links = fresh.stg_orders.select("HK_LINK_CUSTOMER_ORDER").distinct()
-    bridge = built.bridge_customer_order.join(touched_links, "HK_LINK_CUSTOMER_ORDER", "left_semi")
-    tables.upsert("bridge_customer_order", with_bucket(bridge, "HK_LINK_CUSTOMER_ORDER", buckets), ["HK_LINK_CUSTOMER_ORDER"], BUCKET)
-    vars(built)["bridge_customer_order"] = tables.read("bridge_customer_order").drop(BUCKET)
+    bridge = deltas.refresh_bridge(tables, fresh.stg_orders, "HK_LINK_CUSTOMER_ORDER", ["HK_CUSTOMER", "HK_ORDER"], stored["link_customer_order"],
+                                   stored["eff_sat_customer_order"], "bridge_customer_order", batch, ["ORDER_STATUS"], buckets)
+    vars(built)["bridge_customer_order"] = bridge.drop(BUCKET).withColumnRenamed("ORDER_STATUS", "EFF_ORDER_STATUS")
     gate("silver", quality.pit_completeness(built.hub_customer, built.pit_customer, "HK_CUSTOMER"))
 
     touched_orders = fresh.stg_orders.select("HK_ORDER").distinct()
@@ -96,6 +95,8 @@ def run_batch(spark: SparkSession, landing: w.Landing, tables: TableFolder, as_o
     items = fresh.stg_order_items if waiting is None else fresh.stg_order_items.unionByName(
         without_keys(waiting, fresh.stg_order_items, ["ORDER_ITEM_ID"]))
     tables.replace(PENDING, items.join(built.conformed_orders.select("HK_ORDER"), "HK_ORDER", "left_anti").select(*items.columns))
+    tables.begin("fct_orders", batch)
+    orders_before = tables.read("fct_orders")
     for name, key, rows in (
         ("fct_orders", "ORDER_SK", built.fct_orders.join(touched_orders, "HK_ORDER", "left_semi")),
         ("fct_order_items", "ORDER_ITEM_SK", gold.fct_order_items(items, built.conformed_orders)),
@@ -106,6 +107,9 @@ def run_batch(spark: SparkSession, landing: w.Landing, tables: TableFolder, as_o
             vars(built)[name] = kept.drop(MONTH)
     gate("gold", quality.duplicate_keys({"CUSTOMER_SK": built.dim_customer, "PRODUCT_SK": built.dim_product}))
     gate("gold", quality.fact_measures(built.fct_orders))
-    for name in ("agg_monthly_revenue", "agg_customer_ltv"):
-        getattr(built, name)
+    now = built.fct_orders.join(touched_orders, "HK_ORDER", "left_semi")
+    before = now.limit(0) if orders_before is None else orders_before.drop(MONTH).join(touched_orders, "HK_ORDER", "left_semi").select(*now.columns)
+    revenue = deltas.refresh_revenue(tables, change_feed(before, now, ["ORDER_SK"]), built.dim_date, as_of, batch, buckets)
+    vars(built)["agg_monthly_revenue"] = tables.keep("agg_monthly_revenue", revenue)
+    built.agg_customer_ltv  # stored by ``shared``
     return built

@@ -8,7 +8,7 @@ from ..functions.dates import at
 from ..operators import changes, history
 from ..operators.observe import error_trend_hourly
 from ..plans import warehouse as loaders
-from ..plans import staging
+from ..plans import deltas, staging
 from ..plans.run import KEYED
 from ..session import scratch_path
 from ..sources import testbed
@@ -261,6 +261,44 @@ def refresh_to_lag(w, spark, folder):
     return tables.read("pit_product").drop(vault_stream.BUCKET)
 
 
+def two_states_of_orders(w):
+    """Orders before and after: some are new, some were of another amount, customer or state, some are gone."""
+    after = w.fct_orders
+    number = F.regexp_extract("ORDER_ID", r"(\d+)", 1).cast("bigint")
+    before = after.where(number % 5 != 0).withColumns({
+        "TOTAL_AMOUNT": F.when(number % 7 == 0, F.col("TOTAL_AMOUNT") + 1).otherwise(F.col("TOTAL_AMOUNT")).cast(after.schema["TOTAL_AMOUNT"].dataType),
+        "HK_CUSTOMER": F.when(number % 11 == 0, F.lit(None).cast("string")).otherwise(F.col("HK_CUSTOMER")),
+        "ORDER_STATUS": F.when(number % 13 == 0, "CANCELLED").otherwise(F.col("ORDER_STATUS")),
+    })
+    gone = before.where(number % 3 == 0).withColumn("ORDER_SK", F.concat(F.lit("gone-"), "ORDER_SK"))
+    return before.unionByName(gone), after
+
+
+@query("refresh_revenue_to_lag", doubles("agg_monthly_revenue"))
+def refresh_revenue_to_lag(w, spark, folder):
+    """Monthly revenue of an earlier state of all orders, brought up to date by the changes alone; the second batch runs twice."""
+    tables = TableFolder(spark, scratch_path(spark, "revenue"))
+    before, after = (tables.replace(name, state) for name, state in zip(("before", "after"), two_states_of_orders(w)))
+    first = changes.change_feed(before.limit(0), before, ["ORDER_SK"])
+    deltas.refresh_revenue(tables, first, w.dim_date, w.as_of, 1, buckets=8)
+    for _ in range(2):
+        out = deltas.refresh_revenue(tables, changes.change_feed(before, after, ["ORDER_SK"]), w.dim_date, w.as_of, 2, buckets=8)
+    return out
+
+
+@query("refresh_bridge_to_lag", doubles("bridge_customer_order", texts=("EFFECTIVE_TO",)))
+def refresh_bridge_to_lag(w, spark, folder):
+    """The bridge of early orders, then only the links of the late batch rebuilt."""
+    tables = TableFolder(spark, scratch_path(spark, "bridge"))
+    late = F.col("LOAD_DATETIME") >= at("1998-01-01 00:00:00")
+    chosen = {"link_customer_order": loaders.load_link_customer_order, "eff_sat_customer_order": loaders.load_eff_sat_customer_order}
+    for batch, part in enumerate((w.stg_orders.where(~late), w.stg_orders.where(late))):
+        vault_stream.load_batch(part, chosen, tables, batch, KEYED, buckets=8)
+        out = deltas.refresh_bridge(tables, part, "HK_LINK_CUSTOMER_ORDER", ["HK_CUSTOMER", "HK_ORDER"], tables.read("link_customer_order"),
+                                    tables.read("eff_sat_customer_order"), "bridge", batch, ["ORDER_STATUS"], buckets=8)
+    return out.drop(vault_stream.BUCKET).withColumnRenamed("ORDER_STATUS", "EFF_ORDER_STATUS").select(*w.bridge_customer_order.columns)
+
+
 @query("stream_satellite_stateful", """SELECT HK_ORDER, HASH_DIFF, ORDER_STATUS, LOAD_DATETIME, RECORD_SOURCE FROM sat_order_details""")
 def stream_satellite_stateful(w, spark, folder):
     tables = TableFolder(spark, scratch_path(spark, "stateful"))

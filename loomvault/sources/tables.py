@@ -187,6 +187,12 @@ class TableFolder:
         folders = self.folders(name) or []
         self._point(f"{self.path(name)}/{POINTER}", folders + self._write(name, frame, [partition_by], options=options))
 
+    def replace_parts(self, name: str, frame: DataFrame, partition_by: str, values: Sequence[str | None]) -> None:
+        """Put rows in place of some partitions; the others stay where they are."""
+        gone = set(values)
+        kept = [f for f in self.folders(name) or [] if _value(f) not in gone]
+        self._point(f"{self.path(name)}/{POINTER}", kept + self._write(name, frame, [partition_by]))
+
     def upsert(self, name: str, source: DataFrame, keys: Sequence[str], partition_by: str, sort_by: Sequence[str] = ()) -> DataFrame | None:
         """Write anew only the partitions that hold an incoming key, before or after the change.
 
