@@ -29,7 +29,8 @@ def test_pages(page, text):
 def test_deep_pages_cost_in_proportion():
     began = time.perf_counter()
     text = html_text.main_text("<div>x" * 40_000)
-    assert text.count("x") == 40_000 and time.perf_counter() - began < 15
+    assert text.count("x") == 36_000  # the region is the deepest element with nine tenths of the text
+    assert time.perf_counter() - began < 15
     assert html_text.main_text("<ul><li>a" * 20_000).count("a") == 20_000
 
 
