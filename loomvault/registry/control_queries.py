@@ -305,10 +305,26 @@ def ingestion_check(w, spark, folder):
     return observe.ingestion_check(testbed.file_ingestion_log(spark, folder), "ERROR", 24, AS_OF_EVENTS)
 
 
-@query("file_ingestion_log", """SELECT SOURCE_SYSTEM, PIPE_NAME, STATUS, count(*) AS FILES, CAST(sum(ROWS_LOADED) AS BIGINT) AS ROWS_LOADED, max(LOAD_END_TS) AS LAST_LOAD_TIME FROM file_ingestion_log GROUP BY ALL""")
+@query("file_ingestion_log", f"""SELECT upper(event_type) AS SOURCE_SYSTEM, 'PIPE_' || upper(event_type) AS PIPE_NAME, CASE WHEN event_type = 'error' THEN 'SKIPPED' ELSE 'LOADED' END AS STATUS,
+  count(*) AS ROW_COUNT, CASE WHEN event_type = 'error' THEN 0 ELSE count(*) END AS ROWS_LOADED, CAST(CASE WHEN event_type = 'error' THEN count(*) ELSE 0 END AS BIGINT) AS ERRORS_SEEN, true AS SIZED,
+  CAST({NOW_SQL} AS TIMESTAMP) AS LAST_LOAD_TIME FROM events GROUP BY event_type UNION ALL SELECT 'EMPTY', 'PIPE_EMPTY', 'LOADED', 0, 0, 0, true, CAST({NOW_SQL} AS TIMESTAMP) FROM (SELECT count(*) FROM events)""")
 def file_ingestion_log(w, spark, folder):
-    return testbed.file_ingestion_log(spark, folder).groupBy("SOURCE_SYSTEM", "PIPE_NAME", "STATUS").agg(
-        F.count("*").alias("FILES"), F.sum("ROWS_LOADED").alias("ROWS_LOADED"), F.max("LOAD_END_TS").alias("LAST_LOAD_TIME"))
+    """The log that loads of event files write: a source per event type, Parquet files of differing types, one set of text where numbers are declared, one without rows."""
+    tables = TableFolder(spark, scratch_path(spark, "log"))
+    events = table(spark, folder, "events").select("event_id", "event_type", "value")
+    schema = _types("event_id bigint, event_type string, value double")
+    sources = [r["event_type"] for r in events.select("event_type").distinct().collect()]  # a handful of systems
+    for batch, source in enumerate([*sources, "empty"]):
+        mine = events.where(F.col("event_type") == source)
+        path = tables.path(f"landed/{source}")
+        mine.withColumn("value", F.concat(F.lit("v"), "value") if source == "error" else F.col("value")).withColumn(
+            "event_id", F.col("event_id").cast("string") if batch % 2 else F.col("event_id")).write.parquet(path)
+        result = copy.copy_into(spark, formats.Stage(path, "parquet", schema), source.upper(), AS_OF_EVENTS, f"PIPE_{source.upper()}")
+        tables.append("events", result.rows, batch)
+        tables.append(copy.LOG, result.log, batch)
+    return tables.read(copy.LOG).groupBy("SOURCE_SYSTEM", "PIPE_NAME", "STATUS").agg(
+        F.sum("ROW_COUNT").alias("ROW_COUNT"), F.sum("ROWS_LOADED").alias("ROWS_LOADED"), F.sum("ERRORS_SEEN").alias("ERRORS_SEEN"),
+        (F.min("FILE_SIZE_BYTES") > 0).alias("SIZED"), F.max("LOAD_END_TS").alias("LAST_LOAD_TIME"))
 
 
 @query("ingestion_source_status", f"""SELECT PIPE_NAME, count(*) AS FILES_LOADED, CAST(sum(ROWS_LOADED) AS BIGINT) AS TOTAL_ROWS, max(LOAD_END_TS) AS LATEST_LOAD FROM file_ingestion_log
@@ -570,17 +586,19 @@ def infer_schema_drift(w, spark, folder):
     customer = table(spark, folder, "customer").select("c_custkey", "c_name", "c_nationkey")
     customer.write.option("header", "true").csv(first)
     customer.select("c_custkey", F.concat(F.lit("N"), F.col("c_nationkey")).alias("c_nationkey"), (F.col("c_nationkey") % 5).alias("c_region")).write.option("header", "true").csv(second)
-    before = drift.detect_drift(drift.infer_from_files(spark, first, sampling=1.0), None, "SHOP", "CUSTOMER", AS_OF_EVENTS)
-    after = drift.detect_drift(drift.infer_from_files(spark, second, sampling=1.0), before.registry, "SHOP", "CUSTOMER", AS_OF_EVENTS)
+    before = drift.detect_drift(drift.infer_from_files(spark, first), None, "SHOP", "CUSTOMER", AS_OF_EVENTS)
+    after = drift.detect_drift(drift.infer_from_files(spark, second), before.registry, "SHOP", "CUSTOMER", AS_OF_EVENTS)
     return after.changes.withColumn("SCHEMA_VERSION", F.lit(after.version))
 
 
 @query("landing_schemas", """SELECT 'RAW_CUSTOMERS' AS TABLE_NAME, count(*) AS N FROM raw_customers UNION ALL SELECT 'RAW_ORDERS', count(*) FROM raw_orders
-UNION ALL SELECT 'RAW_PRODUCTS', count(*) FROM raw_products UNION ALL SELECT 'RAW_ORDER_ITEMS', count(*) FROM raw_order_items UNION ALL SELECT 'RAW_STREAM_EVENTS', count(*) FROM events""")
+UNION ALL SELECT 'RAW_PRODUCTS', count(*) FROM raw_products UNION ALL SELECT 'RAW_ORDER_ITEMS', count(*) FROM raw_order_items UNION ALL SELECT 'RAW_STREAM_EVENTS', count(*) FROM events
+UNION ALL SELECT 'RAW_CDC_EVENTS', count(*) FROM events""")
 def landing_schemas(w, spark, folder):
     """Every landing table has the declared columns and types; counted to show the rows were read."""
     frames = {"RAW_CUSTOMERS": w.landing.customers, "RAW_ORDERS": w.landing.orders, "RAW_PRODUCTS": w.landing.products,
-              "RAW_ORDER_ITEMS": w.landing.order_items, "RAW_STREAM_EVENTS": testbed.stream_events(spark, folder)}
+              "RAW_ORDER_ITEMS": w.landing.order_items, "RAW_STREAM_EVENTS": testbed.stream_events(spark, folder),
+              "RAW_CDC_EVENTS": testbed.cdc_events(spark, folder)}
     out = None
     for name, df in frames.items():
         assert_schema(df, LANDING[name])

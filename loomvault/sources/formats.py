@@ -85,8 +85,8 @@ def read_json(spark: SparkSession, path: str, schema: T.StructType | None = None
 
     One document or array per line can be read in splits; ``multi_line`` is for files that hold a
     single document or array spread over lines, each of which one task has to parse whole. With a
-    schema, a document that is no JSON or has a value of another type gives no row; ``strict`` gives
-    a row of NULLs for it that is marked ``_broken``.
+    schema, a document that is no JSON gives no row, or with ``strict`` a row of NULLs that is marked ``_broken``. A value of
+    another type is NULL and not marked; ``read_json_by_name`` marks it.
     """
     if schema is None:
         reader = spark.read.option("multiLine", str(multi_line).lower()).option("mode", "PERMISSIVE")

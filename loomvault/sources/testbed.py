@@ -167,6 +167,17 @@ def shape_stream_events(events: DataFrame) -> DataFrame:
     )
 
 
+def cdc_events(spark: SparkSession, folder: str) -> DataFrame:
+    """Events in the shape of the change log's landing table."""
+    image = F.parse_json(F.to_json(F.struct("event_id", "event_type", "value")))
+    return table(spark, folder, "events").select(
+        _text("event_id").alias("CDC_ID"), F.lit("shop").alias("SOURCE_DATABASE"), F.lit("public").alias("SOURCE_SCHEMA"), F.lit("events").alias("SOURCE_TABLE"),
+        F.when(F.col("event_id") % 9 == 0, "DELETE").otherwise("INSERT").alias("CDC_OPERATION"),
+        F.when(F.col("event_id") % 9 == 0, image).alias("RECORD_BEFORE"), F.when(F.col("event_id") % 9 != 0, image).alias("RECORD_AFTER"),
+        F.col("ts").alias("CDC_TIMESTAMP"), _text("user_id").alias("TRANSACTION_ID"), F.lpad(_text("event_id"), 12, "0").alias("LSN"),
+        F.col("ts").alias("_LOADED_AT"), F.lit(None).cast("string").alias("_FLOW_FILE_UUID"))
+
+
 def event_texts(events: DataFrame) -> DataFrame:
     """Event rows as they are delivered, the payload still text.
 

@@ -9,13 +9,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from ..sources.copy import LOG, accept_files, staged_rows
+from ..sources.copy import LOG, accept_files, staged_files, staged_rows
 from ..sources.formats import Stage, file_name
 from ..sources.tables import TableFolder
 from . import offsets
 from .cdc import split_dead_letters
 
 PAYLOAD = "RECORD_TEXT"
+LISTED = "path string, modificationTime timestamp, length bigint, content binary"
 
 
 def stream_files(spark: SparkSession, stage: Stage, tables: TableFolder, name: str, source_system: str, now: str,
@@ -26,14 +27,16 @@ def stream_files(spark: SparkSession, stage: Stage, tables: TableFolder, name: s
     as a copy reads them, columns matched by name file by file. A batch writes its own folder, so a
     replay after a failure replaces what the failed attempt left.
     """
-    found = spark.readStream.option("maxFilesPerTrigger", max_files).text(stage.location).select(file_name())
+    # only the listing: files are read once, as a copy reads them, and those without a line are seen too
+    found = spark.readStream.format("binaryFile").option("maxFilesPerTrigger", max_files).schema(LISTED).load(stage.location).select(file_name())
 
     def load(batch: DataFrame, batch_id: int) -> None:
         files = [unquote(r["_FILE_NAME"]) for r in batch.distinct().collect()]  # at most max_files names
         if not files:
             return
         rows = staged_rows(batch.sparkSession, replace(stage, location=files))
-        result = accept_files(rows, stage, source_system, now, done=tables.read(LOG, before_batch=batch_id))
+        result = accept_files(rows, stage, source_system, now, done=tables.read(LOG, before_batch=batch_id),
+                              listing=staged_files(batch.sparkSession, files))
         tables.append(name, result.rows, batch_id)
         tables.append(LOG, result.log, batch_id)
 

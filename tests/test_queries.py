@@ -34,6 +34,9 @@ def sql():
 def test_query(spark, sql, name):
     df = entry.queries()[name](spark, SMALL)
     ours = [tuple(r) for r in df.collect()]
+    if name not in entry.oracle_sql():  # rows only: see the tests of the operator
+        assert ours
+        return
     theirs = sql.sql(entry.oracle_sql()[name])
     order = sorted(df.columns)
     assert order == sorted(theirs.columns)

@@ -188,6 +188,35 @@ def test_partitions_of_odd_names(spark, folder):
     assert rows(got, "k", "p") == [(1, "a b/c=d%"), (2, "a b/c=d%"), (3, "2024-01"), (4, None)]
 
 
+def test_types_come_from_all_rows(spark, folder):
+    write(folder, "a.csv", "i,l,d,b,day,at,s,none,mix,num\n" + "\n".join("1,2,3,true,2024-01-01,2024-01-01,x,,1,1" for _ in range(3000)) + "\n")
+    write(folder, "b.csv", "i,l,d,b,day,at,s,none,mix,num\n-7,9999999999, 1.5 ,FALSE,2024-02-29,2024-01-01 10:00:00,1,NULL,odd,NA\n")
+    got = {r.COLUMN_NAME: r.DATA_TYPE for r in drift.infer_from_files(spark, folder).collect()}
+    assert got == {"i": "int", "l": "bigint", "d": "double", "b": "boolean", "day": "date", "at": "timestamp", "s": "string", "none": "string", "mix": "string", "num": "int"}
+
+
+def test_parquet_files_of_differing_schemas_and_files_without_rows(spark, folder):
+    spark.createDataFrame([(1, "a", 1.0)], "id int, name string, amount double").coalesce(1).write.parquet(f"{folder}/in/1")
+    spark.createDataFrame([("2", "b", 2)], "ID string, name string, amount int").coalesce(1).write.parquet(f"{folder}/in/2")
+    spark.createDataFrame([("x", "c", 3), ("4", "d", 4)], "id string, name string, amount int").coalesce(1).write.parquet(f"{folder}/in/3")
+    spark.createDataFrame([], "id int, name string").coalesce(1).write.parquet(f"{folder}/in/4")
+    spark.createDataFrame([(1,)], "other int").coalesce(1).write.parquet(f"{folder}/in/5")
+    import os
+    os.makedirs(f"{folder}/in/6")
+    write(f"{folder}/in/6", "part-0.parquet", "this is no parquet")
+    result = copy.copy_into(spark, formats.Stage(f"{folder}/in/*", "parquet", SCHEMA), "S", NOW)
+    assert rows(result.rows, "id", "name", "amount") == [(1, "a", 1.0), (2, "b", 2.0)]
+    log = {r.FILE_PATH.split("/in/")[1][0]: (r.STATUS, r.ROW_COUNT, r.ERRORS_SEEN) for r in result.log.collect()}
+    assert log == {"1": ("LOADED", 1, 0), "2": ("LOADED", 1, 0), "3": ("SKIPPED", 2, 1), "4": ("LOADED", 0, 0), "5": ("SKIPPED", 1, 1), "6": ("SKIPPED", 1, 1)}
+
+
+def test_a_header_without_rows_is_logged(spark, folder):
+    write(folder, "a.csv", "id,name,amount\n1,x,2.0\n")
+    write(folder, "b.csv", "id,name,amount\n")
+    result = copy.copy_into(spark, formats.Stage(folder, "csv_comma", SCHEMA), "S", NOW)
+    assert sorted((r.FILE_NAME, r.STATUS, r.ROW_COUNT) for r in result.log.collect()) == [("a.csv", "LOADED", 1), ("b.csv", "LOADED", 0)]
+
+
 def test_seeds(spark):
     assert {n: seeds.seed(spark, n).count() for n in seeds.SEEDS} == {"country_codes": 20, "order_status_mapping": 10, "payment_methods": 10, "product_categories": 15}
     assert all(seeds.check_seed_key(seeds.seed(spark, n), key).isEmpty() for n, (_, _, key) in seeds.SEEDS.items())
