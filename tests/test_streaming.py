@@ -1,5 +1,6 @@
 import os
 
+import pytest
 from conftest import same
 from pyspark.sql import functions as F
 
@@ -37,7 +38,19 @@ def test_a_batch_run_again_changes_nothing(spark, warehouse, folder):
         same(tables.read(name), getattr(warehouse, name))
 
 
-def test_stored_run_in_two_batches_equals_the_lazy_frames(spark, warehouse, folder):
+@pytest.fixture
+def no_codegen(spark):
+    """Many small jobs over few rows: compiling them takes longer than running them."""
+    settings = {"spark.sql.codegen.wholeStage": "false", "spark.sql.codegen.factoryMode": "NO_CODEGEN"}
+    before = {k: spark.conf.get(k, None) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    yield
+    for k, v in before.items():
+        spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def test_stored_run_in_two_batches_equals_the_lazy_frames(spark, warehouse, folder, no_codegen):
     from loomvault.plans.run import run_batch
     from loomvault.plans.warehouse import Landing
     tables = TableFolder(spark, folder)
