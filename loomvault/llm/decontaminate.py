@@ -40,18 +40,20 @@ def words_of(text: str | None) -> list[bytes]:
     return text.encode("utf-8", "surrogatepass").translate(_TO_WORDS).split() if text else []
 
 
-def pack(ids: np.ndarray, at: np.ndarray, k: int) -> np.ndarray:
-    """Words k, k+1 and k+2 of each suffix as one number (ids are below 2^21)."""
+def pack(ids: np.ndarray, at: np.ndarray, k: int, words: int, bits: int) -> np.ndarray:
+    """``words`` words of each suffix from its k-th on as one number, ``bits`` bits for each."""
     top = len(ids) - 1  # the last entry is a 0 that ends every suffix
     out = np.zeros(len(at), np.int64)
-    for j in range(k, k + 3):
-        out = out << 21 | ids[np.minimum(at + j, top)]
+    for j in range(k, k + words):
+        out = out << bits | ids[np.minimum(at + j, top)]
     return out
 
 
 def suffix_array(ids: np.ndarray, at: np.ndarray, length: int) -> np.ndarray:
     """The positions ``at`` in order of the first ``length`` words that follow (0 sorts first)."""
-    keys = [pack(ids, at, k) for k in range(0, length, 3)]
+    bits = max(1, int(ids.max()).bit_length())  # of the largest id here, so that ids of any size fit
+    words = min(length, 63 // bits)
+    keys = [pack(ids, at, k, words, bits) for k in range(0, length, words)]
     return at[np.lexsort(keys[::-1])]
 
 
