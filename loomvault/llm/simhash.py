@@ -201,7 +201,9 @@ def near_links(prints: DataFrame, distance: int = DISTANCE) -> DataFrame:
                 for key, row in golay_keys(part):
                     yield pa.RecordBatch.from_arrays([pa.array(key), pa.array(part[row])], ["key", "print"])
 
-    keys = prints.select("print").mapInArrow(keyed, KEYED)
+    # each fingerprint gives many keys: dealt anew, as the few bytes of the fingerprints would else come in a handful of tasks
+    prints = prints.select("print").repartition(width, "print")
+    keys = prints.mapInArrow(keyed, KEYED)
     # Keys of many fingerprints, estimated from those of one in SHARE: this decides only how the work
     # is dealt; each key is compared in full either way.
     some = prints.filter(F.pmod(F.xxhash64("print"), F.lit(SHARE)) == 0).select("print").mapInArrow(keyed, KEYED)
