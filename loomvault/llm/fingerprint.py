@@ -190,7 +190,7 @@ def compare_with_next(df: DataFrame, key: str = "doc_id", text: str = "text") ->
     is_head = F.concat(F.coalesce(F.col("key").cast("string"), F.lit("None")), F.lit("|"), F.sha2("text", 256)) == head_of[F.col("range")]
     whole = rows.withColumn("ghost", F.lit(False))
     ghosts = rows.filter(is_head).withColumn("range", send_to[F.col("range")]).withColumn("ghost", F.lit(True)).dropDuplicates(["range"])
-    dealt = (whole.unionByName(ghosts).repartition(ranges, "range")
+    dealt = (whole.unionByName(ghosts).repartitionById(ranges, "range")
              .sortWithinPartitions("range", "ghost", F.col("key").asc_nulls_first(), F.sha2("text", 256)))
     out = T.StructType([T.StructField("key", rows.schema["key"].dataType), *NEIGHBOURS])
     schema = to_arrow_schema(out)
