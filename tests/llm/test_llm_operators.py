@@ -253,6 +253,13 @@ def test_neighbours_in_key_order(spark):
         assert got[i].fingerprint == fingerprint.as_text(fingerprint.sketches([text])[0])
 
 
+def test_neighbours_lie_in_as_many_tasks_as_ranges(spark):
+    docs = spark.range(0, 4000).selectExpr("id AS doc_id", "concat('text of ', id) AS text")
+    out = fingerprint.compare_with_next(docs).select("doc_id", F.spark_partition_id().alias("p"))
+    sizes = [r["count"] for r in out.groupBy("p").count().collect()]
+    assert len(sizes) == int(spark.conf.get("spark.sql.shuffle.partitions")) and max(sizes) < 1.5 * 4000 / len(sizes)
+
+
 def test_held_out_language_and_toxicity(spark):
     folder = "/root/testdata/sf0.01"
     docs = {r.doc_id: r for r in spark.read.parquet(f"{folder}/documents.parquet").collect()}
@@ -287,6 +294,18 @@ def test_benchmark_windows_equal_a_plain_search():
         assert row[:2] == (len(w), sum(hit)) and row[3] == sorted(found)
 
 
+@pytest.mark.parametrize("base", [0, 2**21 - 3, 2**33])
+def test_benchmark_words_of_any_number_are_found(base):
+    rng = np.random.default_rng(9)
+    numbers = np.append(base + rng.integers(1, 5, 300), 0)
+    pattern = np.array([numbers[k : k + 13] for k in (3, 40, 200, 287)] + [np.append(numbers[9:11], np.zeros(11, np.int64))])
+    sizes = np.array([13, 13, 13, 13, 2])
+    order = decontaminate.suffix_array(numbers, np.arange(300), 13)
+    lo, hi = (decontaminate.search(numbers, order, pattern, sizes, upper) for upper in (False, True))
+    for k, n in enumerate(sizes):
+        assert sorted(order[lo[k] : hi[k]]) == [a for a in range(301 - n) if numbers[a : a + n].tolist() == pattern[k, :n].tolist()]
+
+
 def test_benchmark_items_without_id_hit_and_matches_are_of_one_item(spark):
     one, two = words(random.Random(4), 20), words(random.Random(5), 15)
     bench = spark.createDataFrame([(None, one), ("b", two)], "item_id string, text string")
