@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.dates import at
 from ..operators import changes, history
@@ -14,7 +15,7 @@ from ..session import scratch_path
 from ..sources import testbed
 from ..sources.tables import TableFolder
 from ..sources.testbed import AS_OF_EVENTS, table
-from ..streaming import cdc, ingest, vault_stream
+from ..streaming import apply, cdc, ingest, vault_stream
 from .base import CTES, doubles, query
 from .ctes import AS_OF_EVENTS as NOW_SQL
 
@@ -189,11 +190,58 @@ def stream_ingest_events(w, spark, folder):
     return good.select(*wanted).unionByName(bad.select(*wanted))
 
 
+CTES["change_rows"] = """SELECT 'customers' AS tbl, c_custkey AS id, c_mktsegment AS v FROM customer UNION ALL SELECT 'orders', o_orderkey, o_orderstatus FROM orders"""
+CHANGED = {name: apply.Target(name, T.StructType([T.StructField("ID", T.LongType()), T.StructField("VALUE", T.StringType())]), ["ID"])
+           for name in ("customers", "orders")}
+
+
+def change_texts(spark, folder):
+    """Change envelopes of customers and orders in two deliveries.
+
+    Every row is inserted, every 9th then updated, every 11th at last deleted. The updates and every tenth insert come in the second delivery, after
+    the deletions; every 7th insert comes in both. Every 50th insert is cut off, and some customers' changes name a table that is not kept.
+    """
+    rows = table(spark, folder, "customer").select(F.lit("customers").alias("t"), F.col("c_custkey").alias("ID"), F.col("c_mktsegment").alias("VALUE")).unionByName(
+        table(spark, folder, "orders").select(F.lit("orders").alias("t"), F.col("o_orderkey").alias("ID"), F.col("o_orderstatus").alias("VALUE")))
+
+    def change(operation, day, value, name=F.col("t")):
+        row = F.struct("ID", value.alias("VALUE"))
+        images = [row.alias("before")] if operation == "DELETE" else [row.alias("after")]
+        return F.to_json(F.struct(
+            F.lit(operation).alias("operation"), *images, F.lit(f"2024-01-{day}T00:00:00").alias("timestamp"),
+            F.lpad(F.col("ID").cast("string"), 12, "0").alias("lsn"), F.struct(F.lit("shop").alias("db"), name.alias("table")).alias("source")))
+
+    inserts = change("INSERT", "05", F.col("VALUE"))
+    cut = F.col("ID") % 50 == 49
+    late = F.col("ID") % 10 == 3
+    first = [rows.where(~late).select(F.when(cut, F.left(inserts, F.lit(20))).otherwise(inserts).alias("text")),
+             rows.where("ID % 11 = 0").select(change("DELETE", "07", F.col("VALUE")).alias("text")),
+             rows.where("t = 'customers' AND ID % 100 = 1").select(change("INSERT", "05", F.col("VALUE"), F.lit("ghosts")).alias("text"))]
+    second = [rows.where("ID % 9 = 0").select(change("UPDATE", "06", F.concat("VALUE", F.lit("*"))).alias("text")),
+              rows.where(late | ((F.col("ID") % 7 == 0) & ~cut)).select(inserts.alias("text"))]
+    return first[0].unionByName(first[1]).unionByName(first[2]), second[0].unionByName(second[1])
+
+
+@query("stream_cdc_apply", """SELECT tbl AS SOURCE_TABLE, id AS ID, CASE WHEN id % 9 = 0 THEN v || '*' ELSE v END AS VALUE, NULL AS REASON
+  FROM change_rows WHERE id % 11 <> 0 AND (id % 50 <> 49 OR id % 9 = 0)
+UNION ALL SELECT NULL, NULL, NULL, 'NO_JSON' FROM change_rows WHERE id % 50 = 49
+UNION ALL SELECT NULL, NULL, NULL, 'UNKNOWN_TABLE' FROM customer WHERE c_custkey % 100 = 1""")
+def stream_cdc_apply(w, spark, folder):
+    """One stream of changes kept in two tables, with repeats, late inserts of deleted rows, broken texts and an unknown table."""
+    tables = TableFolder(spark, scratch_path(spark, "changes"))
+    for number, part in enumerate(change_texts(spark, folder)):
+        part.repartition(FILES).write.parquet(tables.path(f"delivered/{number}"))
+    delivered = spark.readStream.schema("text string").option("maxFilesPerTrigger", FILES).parquet(tables.path("delivered/*"))
+    apply.stream_apply(delivered, CHANGED, tables, tables.path("_checkpoint"), buckets=8).awaitTermination()
+    none = F.lit(None).cast("string")
+    kept = [apply.current(tables, t).select(F.lit(name).alias("SOURCE_TABLE"), "ID", "VALUE", none.alias("REASON")) for name, t in CHANGED.items()]
+    dead = tables.read("changes_dead_letters").select(none.alias("SOURCE_TABLE"), F.lit(None).cast("bigint").alias("ID"), none.alias("VALUE"), "REASON")
+    return kept[0].unionByName(kept[1]).unionByName(dead)
+
+
 @query("stream_ingest_files", """SELECT o_orderkey, o_custkey, o_orderstatus, CAST(o_totalprice AS DOUBLE) AS o_totalprice, CAST(o_orderdate AS DATE) AS o_orderdate FROM orders WHERE o_orderstatus <> 'P'""")
 def stream_ingest_files(w, spark, folder):
     """Orders written as delimited files; a broken row in the files of state P skips those files whole, those of state F have their columns the other way round."""
-    from pyspark.sql import types as T
-
     from ..sources.formats import Stage
     tables = TableFolder(spark, scratch_path(spark, "files"))
     orders = table(spark, folder, "orders").select("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", F.to_date("o_orderdate").alias("o_orderdate"))

@@ -27,14 +27,17 @@ def split_dead_letters(df: DataFrame, column: str) -> tuple[DataFrame, DataFrame
     return df.where(parsed.isNotNull()), df.where(parsed.isNull())
 
 
-def open_envelopes(df: DataFrame, column: str) -> DataFrame:
-    """Envelope text to the columns of the change landing table; images stay JSON text."""
-    doc = F.parse_json(column)
+def open_envelopes(df: DataFrame, column: str, keep: Sequence[str] = ()) -> DataFrame:
+    """Envelope text to the columns of the change landing table; images stay JSON text.
+
+    What is no JSON, or no instant, is NULL. The columns ``keep`` stay as they are.
+    """
+    doc = F.try_parse_json(column)
     text = {target: F.variant_get(doc, f"$.{field}", "string") for field, target in ENVELOPE.items() if field not in ("before", "after")}
     images = {ENVELOPE[f]: F.to_json(F.variant_get(doc, f"$.{f}", "variant")) for f in ("before", "after")}
     origin = {target: F.variant_get(doc, f"$.source.{field}", "string") for field, target in ENVELOPE_SOURCE.items()}
-    out = df.select(*[c.alias(n) for n, c in {**origin, **text, **images}.items()])
-    return out.withColumn("CDC_TIMESTAMP", F.col("CDC_TIMESTAMP").cast("timestamp_ntz"))
+    out = df.select(*keep, *[c.alias(n) for n, c in {**origin, **text, **images}.items()])
+    return out.withColumn("CDC_TIMESTAMP", F.col("CDC_TIMESTAMP").try_cast("timestamp_ntz"))
 
 
 def route(events: DataFrame, tables: Sequence[str]) -> dict[str, DataFrame]:
