@@ -202,7 +202,8 @@ def near_links(prints: DataFrame, distance: int = DISTANCE) -> DataFrame:
                     yield pa.RecordBatch.from_arrays([pa.array(key), pa.array(part[row])], ["key", "print"])
 
     # each fingerprint gives many keys: dealt anew, as the few bytes of the fingerprints would else come in a handful of tasks
-    prints = prints.select("print").repartition(width, "print")
+    # (by another hash than the one they may lie by already, which the planner would take for done)
+    prints = prints.select("print").repartition(width, F.xxhash64("print"))
     keys = prints.mapInArrow(keyed, KEYED)
     # Keys of many fingerprints, estimated from those of one in SHARE: this decides only how the work
     # is dealt; each key is compared in full either way.
