@@ -9,7 +9,8 @@ from ..functions.dates import at
 from ..operators import changes, history
 from ..operators.observe import error_trend_hourly
 from ..plans import warehouse as loaders
-from ..plans import deltas, staging
+from ..operators.ranking import ntile_of, percent_rank_of
+from ..plans import deltas, ranks, staging
 from ..plans.run import KEYED
 from ..session import scratch_path
 from ..sources import testbed
@@ -53,6 +54,23 @@ def change_feed_append_only(w, spark, folder):
     return changes.change_feed(*versions(spark, folder), KEY, append_only=True)
 
 
+@query("ranks_after_change", """SELECT c_custkey, c_acctbal, row_number() OVER by_balance AS POSITION, rank() OVER (ORDER BY c_acctbal NULLS FIRST) AS RANK,
+  CAST(ntile(5) OVER by_balance AS INTEGER) AS QUINTILE, percent_rank() OVER (ORDER BY c_acctbal NULLS FIRST) AS PERCENT_RANK
+FROM customers_after WINDOW by_balance AS (ORDER BY c_acctbal NULLS FIRST, c_custkey NULLS FIRST)""")
+def ranks_after_change(w, spark, folder):
+    """Ranks of balances stored for the first version of customers, then changed by what the second one changes."""
+    tables = TableFolder(spark, scratch_path(spark, "ranks"))
+    before, after = versions(spark, folder)
+    balance = F.col("c_acctbal")
+    ranks.build_ranks(tables, "balance", before, "c_custkey", balance, bins=16)
+    signed = changes.change_feed(before, after, KEY).withColumn(ranks.SIGN, F.when(F.col("_ACTION") == "INSERT", 1).otherwise(-1))
+    ranks.change_ranks(tables, "balance", signed, "c_custkey", balance, batch=1, bins=16)
+    now, total = ranks.read_ranks(tables, "balance", "c_custkey", "c_acctbal")
+    position, rank = F.col("c_acctbal_POSITION"), F.col("c_acctbal_RANK")
+    return now.select("c_custkey", "c_acctbal", position.alias("POSITION"), rank.alias("RANK"), ntile_of(position, total, 5).alias("QUINTILE"),
+                      percent_rank_of(rank, total).alias("PERCENT_RANK"))
+
+
 @query("feed_apply", "SELECT * FROM customers_after")
 def feed_apply(w, spark, folder):
     before, after = versions(spark, folder)

@@ -16,7 +16,7 @@ CORE = [
     "agg_monthly_revenue", "agg_customer_ltv", "bv_order_lifecycle", "conformed_customers", "pit_customer", "pit_order", "bridge_customer_order",
     "load_satellite", "load_eff_satellite", "fct_order_items", "dim_product", "dp_product_performance", "feature_store_customer", "agg_revenue_by_segment",
     "snapshot_scd2", "sv_product_performance", "secure_customer_profiles", "asof_join", "win_ntile", "win_percent_rank", "agg_conditional_distinct",
-    "change_feed", "cdc_apply", "cdc_route", "stream_cdc_apply", "error_trend_hourly", "classify_columns", "dq_vault_ri", "dq_inline", "ingestion_freshness", "budget_status",
+    "change_feed", "cdc_apply", "cdc_route", "stream_cdc_apply", "ranks_after_change", "error_trend_hourly", "classify_columns", "dq_vault_ri", "dq_inline", "ingestion_freshness", "budget_status",
     "data_product_catalog", "seed_enrich", "fn_string", "fn_datediff", "fn_json_array", "product_search_topk",
 ]
 NAMES = sorted(entry.queries()) if os.environ.get("LOOMVAULT_ALL") else CORE
