@@ -4,15 +4,19 @@ A turn is ``<turn>role``, a line break, the text and ``</turn>`` with a line bre
 roles ``\\`` is written ``\\s`` and ``<`` is written ``\\l`` (in roles also the line break ``\\n``), so
 no text can hold a mark and all are read back exactly.
 
-The turns of a conversation are cut in blocks of ``BLOCK`` turn numbers, which are handled apart, so
-that a conversation of any length is spread over tasks. In a block, running sums of the turns' tokens
-(words and marks) choose windows: as many turns as the budget holds, one at least. Each window begins
-with the system turn of the conversation and up to ``HISTORY`` turns before it, within a share of the
-budget. Assistant texts are the targets; in the repeated turns they are masked, so that each is a
-target once.
+The turns of a conversation are cut in blocks of ``BLOCK`` turns by their place in it, whatever their
+numbers are. Blocks are handled apart, so that a conversation of any length is spread over tasks. In a
+block, running sums of the turns' tokens (words and marks) choose windows: as many turns as the budget
+holds, one at least. Each window begins with the system turn of the conversation and up to ``HISTORY``
+turns before it, within a share of the budget. Assistant texts are the targets; in the repeated turns
+they are masked, so that each is a target once.
+
+Conversations of one block need no places: only their number of rows is counted. The rows of longer
+ones are stored, dealt to ranges of (conversation, turn, role, text, row) and counted there; only the
+first conversation of a range can have begun in an earlier one, so one row a range carries the places on.
 
 Defined cases: null texts and roles are empty; turns are ordered by (turn, role, text), nulls first;
-rows with equal turn numbers are all kept, in that order; a turn above the budget gets a window of its
+rows with equal turn numbers, equal rows too, are all kept, in that order, in any number; a turn above the budget gets a window of its
 own, whole; a conversation without a system turn has none to repeat; a null conversation id is one
 conversation; an empty table gives an empty table; other columns are left out.
 """
@@ -21,8 +25,9 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
-from .common import named
+from .common import named, stored
 
 BUDGET = 2048
 HISTORY = 4
@@ -47,19 +52,39 @@ def unescape_role(role: Column) -> Column:
     return unescape(F.replace(role, F.lit("\\n"), F.lit("\n")))
 
 
+def _placed(rows: DataFrame) -> DataFrame:
+    """``rows`` with the place ``at`` of each in its conversation; 0 throughout where one block holds it, as turns are sorted inside blocks."""
+    longer = rows.groupBy("conv_id").agg(F.count("*").alias("n")).filter(F.col("n") > BLOCK).select(F.col("conv_id").alias("__c"))
+    same = F.col("conv_id").eqNullSafe(F.col("__c"))
+    order = ["turn", "role", "text", "__row"]
+    # stored first: a task that runs again must find every row under its number, or equal rows could go to two ranges or none
+    long = stored(rows.join(longer, same, "left_semi").withColumn("__row", F.monotonically_increasing_id()), "chat-rows")
+    ranges = stored(long.repartitionByRange("conv_id", *order).withColumn("__part", F.spark_partition_id()), "chat-ranges")
+
+    # rows of a conversation in earlier ranges: zero but for the first conversation of a range, so one row a range at most
+    sizes = ranges.groupBy("conv_id", "__part").agg(F.count("*").alias("n"))
+    earlier = Window.partitionBy("conv_id").orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
+    begun = sizes.withColumn("begun", F.sum("n").over(earlier)).filter("begun > 0").select(
+        F.col("__part").alias("__p"), F.col("conv_id").alias("__c"), "begun")
+    inside = F.row_number().over(Window.partitionBy("conv_id", "__part").orderBy(*order)) - 1
+    long = ranges.withColumn("__at", inside).join(F.broadcast(begun), (F.col("__part") == F.col("__p")) & same, "left")
+    long = long.select("conv_id", "turn", "role", "text", (F.col("__at") + F.coalesce("begun", F.lit(0))).alias("at"))
+    return rows.join(longer, same, "left_anti").withColumn("at", F.lit(0).cast("long")).unionByName(long)
+
+
 def format_chats(df: DataFrame, conv: str = "conv_id", turn: str = "turn", role: str = "role", text: str = "text",
                  budget: int = BUDGET, history: int = HISTORY) -> DataFrame:
     """One row per window: ``conv_id``, ``block``, ``window``, ``formatted``, ``repeated`` (turns at its
     beginning that other windows show too) and ``loss`` (start and length of each target, in code points)."""
     rows = df.select(named(conv).alias("conv_id"), named(turn).cast("long").alias("turn"),
                      F.coalesce(named(role).cast("string"), F.lit("")).alias("role"), F.coalesce(named(text).cast("string"), F.lit("")).alias("text"))
-    rows = rows.withColumn("block", F.coalesce(F.floor(F.col("turn") / BLOCK), F.lit(-(1 << 56))))  # turns without a number first
-    turns = rows.select("conv_id", "block", F.struct(
-        "turn", "role", "text", (F.regexp_count("text", F.lit(r"\S+")) + 3).cast("long").alias("tokens"), F.lit(False).alias("old")).alias("t"))
-    # the last turn numbers of a block are also history of the next one
-    late = F.pmod("turn", F.lit(BLOCK)) >= BLOCK - history
-    carried = rows.filter(late & F.col("turn").isNotNull()).select("conv_id", (F.col("block") + 1).alias("block"), F.struct(
-        "turn", "role", "text", (F.regexp_count("text", F.lit(r"\S+")) + 3).cast("long").alias("tokens"), F.lit(True).alias("old")).alias("t"))
+    tokens = (F.regexp_count("text", F.lit(r"\S+")) + 3).cast("long")
+    turn_of = lambda old: F.struct("at", "turn", "role", "text", tokens.alias("tokens"), F.lit(old).alias("old")).alias("t")
+    placed = _placed(rows)
+    turns = placed.select("conv_id", F.floor(F.col("at") / BLOCK).alias("block"), turn_of(False))
+    # the last turns of a block are also history of the next one
+    carried = placed.filter(F.pmod("at", F.lit(BLOCK)) >= max(BLOCK - history, 0)).select(
+        "conv_id", (F.floor(F.col("at") / BLOCK) + 1).alias("block"), turn_of(True))
     system = (rows.filter("role = 'system'").groupBy("conv_id").agg(F.min(F.struct("turn", "role", "text")).alias("system")))
     blocks = turns.unionByName(carried).groupBy("conv_id", "block").agg(F.sort_array(F.collect_list("t")).alias("all"))
     blocks = blocks.filter(F.exists("all", lambda t: ~t["old"]))
