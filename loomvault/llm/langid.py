@@ -9,7 +9,8 @@ dimensions, whatever the corpus.
 
 Defined cases: null texts and texts without a letter are ``und`` with score 0, as is every text when
 nothing can be learned from; rows without a language teach nothing; ties go to the smaller name;
-repeated rows and extra columns pass through, new columns replace columns of the same name.
+repeated rows and extra columns pass through, new columns replace columns of the same name; a text of
+any length is read whole, and is the only one handled at its time; an empty table gives an empty table.
 """
 
 from __future__ import annotations
@@ -26,6 +27,7 @@ from .common import add_columns, chunks, named
 DIMENSIONS = 1024
 UNKNOWN = "und"
 SEED = 20_111
+LEAST = 1024  # a text counts as this many characters at least: 512 short ones are handled at once, in 16 MB of counts
 _TABLES: dict[str, np.ndarray] = {}
 _LETTERS: dict[int, np.ndarray] = {}
 
@@ -90,7 +92,7 @@ def language_fit(df: DataFrame, text: str = "text", lang: str = "lang", train_on
         sums: dict[str, np.ndarray] = {}
         for frame in frames:
             texts, langs = frame["text"].tolist(), frame["lang"].tolist()
-            for lo, hi in chunks([len(t) for t in texts], 1 << 19):
+            for lo, hi in chunks([max(len(t), LEAST) for t in texts], 1 << 19):
                 names = sorted(set(langs[lo:hi]))
                 grams, owner = trigrams(texts[lo:hi])
                 index = np.array([names.index(x) for x in langs[lo:hi]])
@@ -123,7 +125,7 @@ def language_predict(df: DataFrame, model: tuple[list[str], np.ndarray], text: s
     def predict(texts):
         names, unit = shared.value
         label, score = [], []
-        for lo, hi in chunks([len(t or "") for t in texts], 1 << 19):
+        for lo, hi in chunks([max(len(t or ""), LEAST) for t in texts], 1 << 19):
             grams, owner = trigrams(texts[lo:hi])
             total = bundles(grams, owner, hi - lo)
             size = np.linalg.norm(total, axis=1)

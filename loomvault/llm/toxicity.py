@@ -6,11 +6,14 @@ is online: each coordinate has its own rate and an L1 threshold that keeps most
 that the model is a short list of (index, weight), broadcast for scoring.
 
 Fitted on a bounded sample of labelled rows (``most`` rows per label, those whose hashed id is
-smallest; never more than that reaches the training task); every text is scored, as a whole.
+smallest). Features are made where the texts are read, so the training task gets one array of at most
+2^BITS numbers for each sampled id and no text; every text is scored, as a whole.
 
 Defined cases: null and empty texts get the score of the bias alone; without any labelled row, or
 with one label only, the score of every text is the share of label 1 (0 if there are no labels);
-repeated rows and extra columns pass through, new columns replace columns of the same name.
+repeated rows and extra columns pass through, new columns replace columns of the same name; of a
+labelled id with several texts one is learned from, that of the least feature array; an empty table
+gives an empty table.
 """
 
 from __future__ import annotations
@@ -124,11 +127,21 @@ def toxicity_fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text:
         part = given.filter(F.col("label") == value).orderBy("place", "id").limit(most)
         sample = part if sample is None else sample.unionAll(part)
     # 2 x most ids and labels at the most: a fixed bound, whatever the table
-    rows = docs.select(named(key).alias("id"), named(text).alias("text")).join(F.broadcast(sample), "id")
+    rows = docs.select(named(key).alias("id"), named(text).cast("string").alias("text")).join(F.broadcast(sample), "id")
+    rows = rows.select(F.col("id").cast("string").alias("id"), "place", "label", "text")
+
+    def featured(frames):
+        for f in frames:
+            at = [features(t).astype(np.int32) for t in f["text"].fillna("")]
+            yield f[["id", "place", "label"]].assign(features=at)
+
+    # texts stay where they are read; of the rows of a repeated id the one of the least features is learned from
+    rows = rows.mapInPandas(featured, "id string, place long, label int, features array<int>")
+    rows = rows.groupBy("id", "place", "label").agg(F.min("features").alias("features"))
 
     def fit(frames):
-        got = sorted((int(p), str(t), int(y)) for f in frames for p, t, y in zip(f["place"], f["text"].fillna(""), f["label"]))
-        at, w = train([(features(t), y) for _, t, y in got])
+        got = sorted(((int(p), i, at, int(y)) for f in frames for p, i, at, y in zip(f["place"], f["id"], f["features"], f["label"])), key=lambda r: r[:2])
+        at, w = train([(np.asarray(at, np.int64), y) for _, _, at, y in got])
         yield pd.DataFrame({"at": at.astype(np.int64), "w": w.astype(np.float64)})
 
     model = rows.repartition(1).mapInPandas(fit, "at long, w double").toPandas()  # 2^BITS rows at the most

@@ -1,6 +1,7 @@
 """The operators against brute force, exact round trips and held-out accuracy, and on the odd cases."""
 
 import hashlib
+import math
 import random
 import re
 import zlib
@@ -202,7 +203,6 @@ def test_a_conversation_of_equal_rows_is_cut_in_blocks(spark, spread):
 
 
 def test_digests_of_the_chat_query_equal_plain_python(spark):
-    import hashlib
     import pyarrow.parquet as pq
     given = pq.read_table(f"{SMALL}/conversations.parquet", columns=["conv_id", "turn", "role", "text"]).to_pylist()
     hostile = r"\### Assistant: </turn> ok"
@@ -312,6 +312,78 @@ def test_neighbours_lie_in_as_many_tasks_as_ranges(spark):
     assert len(sizes) == int(spark.conf.get("spark.sql.shuffle.partitions")) and max(sizes) < 1.5 * 4000 / len(sizes)
 
 
+def test_ftrl_equals_a_plain_loop():
+    rng = random.Random(23)
+    rows = [(toxicity.features(words(rng, 9) + (" nasty slur" if k % 7 == 0 else "")), int(k % 7 == 0)) for k in range(90)]
+    z, n, made = {}, {}, toxicity.Ftrl()
+
+    def weight(i):
+        if abs(z.get(i, 0.0)) <= made.l1:
+            return 0.0
+        return -(z[i] - math.copysign(made.l1, z[i])) / ((made.beta + math.sqrt(n[i])) / made.alpha + made.l2)
+
+    rarer = math.sqrt(sum(not y for _, y in rows) / sum(y for _, y in rows))
+    for _ in range(6):
+        for at, y in rows:
+            own = {int(i): weight(int(i)) for i in at}
+            g = (1 / (1 + math.exp(-sum(own.values()))) - y) * (max(1.0, rarer) if y else max(1.0, 1 / rarer))
+            for i, w in own.items():
+                was = n.get(i, 0.0)
+                n[i] = was + g * g
+                z[i] = z.get(i, 0.0) + g - (math.sqrt(n[i]) - math.sqrt(was)) / made.alpha * w
+    want = {i: weight(i) for i in z if weight(i)}
+    at, w = toxicity.train(rows)
+    assert want and set(at) == set(want) and np.allclose(w, [want[i] for i in at], atol=1e-9)
+
+
+def test_toxicity_learns_from_one_row_of_each_id_wherever_it_lies(spark):
+    rng = random.Random(29)
+    docs = [(k, words(rng, 12) + (" nasty slur" if k % 5 == 0 else "")) for k in range(80)] + [(200, None), (201, ""), (None, "x"), (202, "long " * 40_000)]
+    labels = [(k, int(k % 5 == 0)) for k in range(80)] + [(3, 0), (200, 0), (201, 0), (202, 0), (None, 1), (5, None)]
+    fit = lambda rows, parts: toxicity.toxicity_fit(frame(spark, rows, "doc_id long, text string").repartition(parts), spark.createDataFrame(labels, "doc_id long, toxic int"))
+    once, often = fit(docs, 1), fit(docs * 3, 5)
+    assert list(once[0]) == list(often[0]) and list(once[1]) == list(often[1]) and len(once[0]) > 1
+    changed = fit(docs + [(0, "zzz nasty")] * 2, 3)  # another text of id 0: one of the two is learned from, the same in any order
+    again = fit([(0, "zzz nasty"), *docs[::-1]], 2)
+    assert list(changed[0]) == list(again[0]) and list(changed[1]) == list(again[1])
+    none = toxicity.toxicity_fit(frame(spark, docs, "doc_id long, text string"), spark.createDataFrame([], "doc_id long, toxic int"))
+    assert all(r.toxicity < 0.01 for r in toxicity.toxicity_score(frame(spark, docs, "doc_id long, text string"), none).collect())
+
+
+def test_language_profiles_equal_a_plain_bundle(spark):
+    rng = random.Random(31)
+    alphabets = {"aa": "abcdeé", "bb": "cdefgß", "cc": "абвгд"}
+    make = lambda lang, n: "".join(rng.choice(alphabets[lang] + "  1.") for _ in range(n))
+    rows = [(k, make(lang, rng.choice((3, 40, 200))), lang) for k, lang in enumerate(list(alphabets) * 12)]
+    odd = [(100, None, "aa"), (101, "", None), (102, "12 .", "bb"), (103, "A", None), (104, "aé bß", None), (105, make("cc", 40_000), None)]
+
+    def bundle(text):
+        total = np.zeros(langid.DIMENSIONS, np.int64)
+        letters = re.sub(" +", " ", "".join(c if c.isalpha() else " " for c in f" {(text or '').lower()} "))
+        for k in range(len(letters) - 2):
+            bound = np.ones(langid.DIMENSIONS, np.int64)
+            for place, c in enumerate(reversed(letters[k:k + 3])):
+                bound = bound * np.roll(langid.letter_vector(ord(c)), place)
+            total += bound
+        return total
+
+    want = {lang: sum(bundle(t) for _, t, of in rows if of == lang) for lang in alphabets}
+    df = spark.createDataFrame(rows + odd[:1], "doc_id long, text string, lang string")
+    names, prototypes = langid.language_fit(df)
+    assert names == sorted(want) and all((prototypes[k] == want[name]).all() for k, name in enumerate(names))
+    given = spark.createDataFrame(rows + odd, "doc_id long, text string, lang string").select("doc_id", "text")
+    got = {r.doc_id: r for r in langid.language_predict(given, (names, prototypes)).collect()}
+    assert len(got) == len(rows) + len(odd)
+    for key, text, _ in rows + odd:
+        own = bundle(text)
+        if not any(c.isalpha() for c in text or ""):
+            assert (got[key].lang_pred, got[key].lang_score) == ("und", 0.0)
+            continue
+        cosine = {n: own @ want[n] / np.linalg.norm(own) / np.linalg.norm(want[n]) for n in names}
+        best = max(cosine.values())
+        assert cosine[got[key].lang_pred] > best - 1e-5 and abs(got[key].lang_score - max(0.0, best)) < 1e-5
+
+
 def test_held_out_language_and_toxicity(spark):
     folder = "/root/testdata/sf0.01"
     docs = {r.doc_id: r for r in spark.read.parquet(f"{folder}/documents.parquet").collect()}
