@@ -165,3 +165,50 @@ def test_full_name_needs_both_parts(spark):
     wh = Warehouse(spark, Landing(customers, *empty), "2024-02-01 00:00:00")
     row = wh.dim_customer.first()
     assert row["FULL_NAME"] is None and row["CHURN_RISK"] == "HIGH" and row["LTV_TIER"] == "NEW" and row["IS_ACTIVE"] is False
+
+
+def raw_orders(spark):
+    """Several versions of some orders, out of order and repeated, equal instants with differing rows, keys that are missing or blank."""
+    data = [(f"o{k % 7}", f" c{k % 3}", ("new", "paid", None)[k * k % 3], k % 5 + 1, k % 4) for k in range(60)]
+    data += [(None, "c1", "new", 1, 1), ("  ", "c1", "new", 2, 1), ("o9", None, "paid", 1, 2), ("O1 ", "c1", "PAID", 2, 0)]
+    df = spark.createDataFrame(data, "ORDER_ID string, CUSTOMER_ID string, ORDER_STATUS string, D int, A int")
+    nothing = {c: F.lit(None).cast("string") for c in ("SHIPPING_METHOD", "SHIPPING_ADDRESS", "BILLING_ADDRESS", "CURRENCY_CODE", "PAYMENT_METHOD", "_FILE_NAME")}
+    day = F.concat(F.lit("2024-01-0"), F.col("D").cast("string")).cast("timestamp_ntz")
+    return df.select("ORDER_ID", "CUSTOMER_ID", "ORDER_STATUS", day.alias("ORDER_DATE"), F.lit(None).cast("timestamp_ntz").alias("FULFILLMENT_DATE"),
+                     F.col("A").cast("decimal(18,4)").alias("TOTAL_AMOUNT"), F.lit(None).cast("decimal(18,4)").alias("DISCOUNT_AMOUNT"),
+                     F.lit(1).cast("decimal(18,4)").alias("TAX_AMOUNT"), *[c.alias(n) for n, c in nothing.items()],
+                     day.alias("_LOADED_AT"), F.lit(1).cast("bigint").alias("_FILE_ROW_NUMBER"))
+
+
+def test_late_digests_give_the_same_rows(spark):
+    from loomvault.plans import warehouse as loaders
+    orders = staging.stage_orders(raw_orders(spark), "2024-02-01 00:00:00")
+    two_sources = orders.unionByName(orders.withColumn("RECORD_SOURCE", F.lit("A")))
+    for staged_rows in (orders, two_sources):
+        same(loaders.load_hub_order(staged_rows), loaders.load_hub_order(staged_rows, late=True))
+        same(load_link_customer_order(staged_rows), load_link_customer_order(staged_rows, late=True))
+    for load_sat, hashed in ((loaders.load_sat_order_details, staging.ORDER_DETAILS_HASHED), (loaders.load_sat_order_financials, staging.ORDER_FINANCIALS)):
+        plain = load_sat(orders)
+        same(plain.drop("ORDER_DATE"), load_sat(orders, hashed=hashed).drop("ORDER_DATE"))
+        cuts = cut_points(orders, "ORDER_ID", "LOAD_DATETIME", one_in=1, points=2)
+        same(plain.drop("ORDER_DATE"), load_sat(orders, hashed=hashed, cuts=cuts).drop("ORDER_DATE"))
+
+
+def test_no_digest_is_made_before_a_first_load_is_exchanged(spark):
+    from loomvault.plans import gold
+    from loomvault.plans import warehouse as loaders
+    orders = staging.stage_orders(raw_orders(spark), "2024-02-01 00:00:00")
+    items = spark.createDataFrame([("i1", "o1", "p1", 1)], "ORDER_ITEM_ID string, ORDER_ID string, PRODUCT_ID string, Q int").select(
+        "ORDER_ITEM_ID", "ORDER_ID", "PRODUCT_ID", F.col("Q").cast("decimal(10,0)").alias("QUANTITY"), F.col("Q").cast("decimal(18,4)").alias("UNIT_PRICE"),
+        F.col("Q").cast("decimal(5,2)").alias("DISCOUNT_PERCENT"), F.col("Q").cast("decimal(18,4)").alias("LINE_TOTAL"), at(DAY.format(1)).alias("_LOADED_AT"),
+        F.lit("f").alias("_FILE_NAME"), F.lit(1).cast("bigint").alias("_FILE_ROW_NUMBER"))
+    w = Warehouse(spark, Landing(None, raw_orders(spark), None, items), "2024-02-01 00:00:00")
+    facts = gold.fct_order_items(w.stg_order_items, orders.select("HK_ORDER", "ORDER_ID", "ORDER_DATE", "CURRENCY_CODE").hint("merge"))
+    for df in (w.hub_order, w.link_customer_order, w.link_order_product, facts):
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert "sha2(" in plan
+        assert "Exchange hashpartitioning" in plan and "sha2(" not in plan[plan.index("Exchange hashpartitioning"):]
+    lines = loaders.load_sat_order_details(orders, hashed=staging.ORDER_DETAILS_HASHED)._jdf.queryExecution().executedPlan().toString().split("\n")
+    dealt = [i for i, line in enumerate(lines) if "REPARTITION_BY_COL" in line]  # the digest is made right above this exchange
+    assert dealt and all("sha2(" in lines[i - 1] and "sha2(" not in lines[i + 1] for i in dealt)
+    assert rows(facts, "ORDER_ID", "CURRENCY_CODE")[0][0] == "O1"
