@@ -162,3 +162,33 @@ def test_no_event_leaves_no_interval(spark, folder):
     tables = TableFolder(spark, folder)
     ingest.load_events(spark.createDataFrame([], EVENT), tables, "e", 0)
     assert landed(tables) == ([], []) and tables.snapshot("e_offsets", 1).count() == 0
+
+
+def test_stateful_satellite_by_buckets_equals_one_load(spark, folder):
+    import random
+
+    from conftest import rows
+
+    from loomvault.plans import vault
+    rng = random.Random(5)
+    schema = "HK string, HASH_DIFF string, P string, LOAD_DATETIME timestamp_ntz, RECORD_SOURCE string"
+    for part, days in ((1, (1, 12)), (2, (12, 28))):
+        data = [(f"h{rng.randint(0, 30)}", rng.choice("ABC"), "p", f"2024-01-{rng.randrange(*days):02d} 00:00:00", rng.choice("st")) for _ in range(200)]
+        data.append((None, "A", "p", f"2024-01-{days[0]:02d} 00:00:00", "s"))
+        text = spark.createDataFrame(data, schema.replace("timestamp_ntz", "string"))
+        text.withColumn("LOAD_DATETIME", F.col("LOAD_DATETIME").cast("timestamp_ntz")).coalesce(1).write.parquet(f"{folder}/landed/{part}")
+    provider = "spark.sql.streaming.stateStore.providerClass"
+    before = spark.conf.get(provider)
+    spark.conf.set(provider, "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+    tables, batches = TableFolder(spark, f"{folder}/tables"), []
+    try:
+        raw = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(f"{folder}/landed/*")
+        out = vault_stream.stream_satellite_stateful(raw, "HK", buckets=3)
+        out.writeStream.foreachBatch(lambda df, n: (tables.append("sat", df, n), batches.append(n))).option("checkpointLocation", f"{folder}/c").trigger(
+            availableNow=True).start().awaitTermination()
+    finally:
+        spark.conf.set(provider, before)
+    whole = spark.read.schema(schema).parquet(f"{folder}/landed/*").withColumnRenamed("HASH_DIFF", "HD")
+    want = vault.load_satellite(whole, "HK", "HD", ["P"])
+    assert len(batches) == 2
+    assert rows(tables.read("sat").select(*want.columns)) == rows(want)
