@@ -317,8 +317,12 @@ def file_ingestion_log(w, spark, folder):
     for batch, source in enumerate([*sources, "empty"]):
         mine = events.where(F.col("event_type") == source)
         path = tables.path(f"landed/{source}")
-        mine.withColumn("value", F.concat(F.lit("v"), "value") if source == "error" else F.col("value")).withColumn(
-            "event_id", F.col("event_id").cast("string") if batch % 2 else F.col("event_id")).write.parquet(path)
+        shaped = mine.withColumn("value", F.concat(F.lit("v"), "value") if source == "error" else F.col("value")).withColumn(
+            "event_id", F.col("event_id").cast("string") if batch % 2 else F.col("event_id"))
+        if source == "empty":
+            shaped.write.parquet(path)
+        else:  # a plain write leaves a file without rows where the first split has none of the source; a partitioned one does not
+            shaped.withColumn("part", F.lit(batch)).write.partitionBy("part").parquet(path)
         result = copy.copy_into(spark, formats.Stage(path, "parquet", schema), source.upper(), AS_OF_EVENTS, f"PIPE_{source.upper()}")
         tables.append("events", result.rows, batch)
         tables.append(copy.LOG, result.log, batch)

@@ -235,3 +235,13 @@ def test_products_register_once(spark):
     same(once.select("PRODUCT_NAME"), observe.register_products(spark, once, NOW).select("PRODUCT_NAME"))
     assert once.schema.names == schemas.DATA_PRODUCT_REGISTRY.names
     assert "SLA: 12h freshness, 99.50% uptime" in [r["SLA_SUMMARY"] for r in observe.product_catalog(once).collect()]
+
+
+def test_log_of_events_has_no_row_of_a_split_without_the_source(spark, folder):
+    from loomvault.registry import control_queries
+    fields = "event_id bigint, event_type string, value double"
+    spark.createDataFrame([(k, "view", k / 7) for k in range(5000)], fields).coalesce(1).write.parquet(f"{folder}/events.parquet")
+    spark.createDataFrame([(9001, "error", 1.0), (9002, "error", 2.0)], fields).coalesce(1).write.mode("append").parquet(f"{folder}/events.parquet")
+    log = control_queries.file_ingestion_log(None, spark, folder)
+    found = sorted((r.SOURCE_SYSTEM, r.STATUS, r.ROW_COUNT, r.ROWS_LOADED, r.ERRORS_SEEN) for r in log.collect())
+    assert found == [("EMPTY", "LOADED", 0, 0, 0), ("ERROR", "SKIPPED", 2, 0, 2), ("VIEW", "LOADED", 5000, 5000, 0)]
