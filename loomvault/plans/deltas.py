@@ -18,6 +18,7 @@ from . import gold, vault
 MONTHS, PARTS = "customer_months", "month_parts"
 SUMS = ("n", *gold.REVENUE, *(f"{c}_KNOWN" for c in gold.REVENUE))
 KEY = ["HK_CUSTOMER"]
+REVENUE_COLUMNS = (*KEY, "ORDER_STATUS", "ORDER_DATE_KEY", "CURRENCY_CODE", *gold.REVENUE)  # of an order, read by ``refresh_revenue``
 
 
 def signed(rows: DataFrame, columns, sign: int) -> DataFrame:

@@ -12,6 +12,7 @@ from ..functions.keys import hash_diff, hash_key
 from ..functions.text import clean_lower, clean_upper, clean_words
 
 MONEY = "decimal(18,4)"
+CUSTOMERS, ORDERS, PRODUCTS, ORDER_ITEMS = (f"ECOMMERCE.RAW_{name}" for name in ("CUSTOMERS", "ORDERS", "PRODUCTS", "ORDER_ITEMS"))
 CARRIED = ("_LOADED_AT", "_FILE_NAME", "_FILE_ROW_NUMBER")
 
 
@@ -67,7 +68,7 @@ def stage_customers(raw: DataFrame, as_of: str) -> DataFrame:
     return stage(
         raw, cleansed, {"HK_CUSTOMER": ["CUSTOMER_ID"]},
         {"HD_CUSTOMER_DETAILS": CUSTOMER_DETAILS, "HD_CUSTOMER_DEMOGRAPHICS": CUSTOMER_DEMOGRAPHICS},
-        "ECOMMERCE.RAW_CUSTOMERS", as_of,
+        CUSTOMERS, as_of,
     )
 
 
@@ -82,7 +83,7 @@ def stage_orders(raw: DataFrame, as_of: str) -> DataFrame:
         raw, cleansed,
         {"HK_ORDER": ["ORDER_ID"], "HK_CUSTOMER": ["CUSTOMER_ID"], "HK_LINK_CUSTOMER_ORDER": ["CUSTOMER_ID", "ORDER_ID"]},
         {"HD_ORDER_DETAILS": ORDER_DETAILS_HASHED, "HD_ORDER_FINANCIALS": ORDER_FINANCIALS},
-        "ECOMMERCE.RAW_ORDERS", as_of,
+        ORDERS, as_of,
     )
 
 
@@ -95,7 +96,7 @@ def stage_products(raw: DataFrame, as_of: str) -> DataFrame:
     return stage(
         raw, cleansed, {"HK_PRODUCT": ["PRODUCT_ID"]},
         {"HD_PRODUCT_DETAILS": PRODUCT_DETAILS_HASHED, "HD_PRODUCT_PRICING": PRODUCT_PRICING},
-        "ECOMMERCE.RAW_PRODUCTS", as_of,
+        PRODUCTS, as_of,
     )
 
 
@@ -110,5 +111,5 @@ def stage_order_items(raw: DataFrame, as_of: str) -> DataFrame:
         {"HK_ORDER": ["ORDER_ID"], "HK_PRODUCT": ["PRODUCT_ID"],
          "HK_LINK_ORDER_PRODUCT": ["ORDER_ID", "PRODUCT_ID", "ORDER_ITEM_ID"]},
         {"HD_ORDER_ITEM_DETAILS": ORDER_ITEM_MEASURES},
-        "ECOMMERCE.RAW_ORDER_ITEMS", as_of,
+        ORDER_ITEMS, as_of,
     )

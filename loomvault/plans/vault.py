@@ -42,28 +42,30 @@ def _first_seen(staging: DataFrame, key: str, payload: Sequence[str]) -> DataFra
     return first.select(key, *[F.col(f"_row.{c}").alias(c) for c in (*payload, *META)])
 
 
-def _first_seen_late(staging: DataFrame, business_keys: Sequence[str], keys: Mapping[str, Sequence[str]]) -> DataFrame:
+def _first_seen_late(staging: DataFrame, business_keys: Sequence[str], keys: Mapping[str, Sequence[str]], source: str) -> DataFrame:
     """``_first_seen`` by business keys; ``keys`` (name -> its business keys) are hashed from what is left.
 
-    Digests do not compress and make most of a row: here none is aggregated or exchanged. The inner aggregate keeps instants only,
-    so it is done by hashing and not by sorting each task's rows; where all rows name one source, the outer one needs no exchange.
+    Digests do not compress and make most of a row: here none is aggregated or exchanged. The aggregate keeps an instant and a flag
+    only, so it is done by hashing and not by sorting each task's rows, and it needs one exchange.
     Business keys must be free of the key separator, as the text that a key is hashed from is not compared.
     """
-    each = staging.groupBy(*business_keys, SOURCE).agg(F.min(LDTS).alias(LDTS))
-    first = each.groupBy(*business_keys).agg(F.min(F.struct(LDTS, SOURCE)).alias("_row"))
-    return first.select("*", *[hash_key(first, *parts).alias(name) for name, parts in keys.items()], *[F.col(f"_row.{c}").alias(c) for c in META])
+    first = staging.groupBy(*business_keys).agg(F.min(LDTS).alias("_first"), F.max(F.col(LDTS).isNull()).alias("_undated"))
+    made = {name: hash_key(first, *parts) for name, parts in keys.items()}
+    # an instant that is missing comes before all others
+    return first.withColumns(made | {LDTS: F.when(~F.col("_undated"), F.col("_first")), SOURCE: F.lit(source)})
 
 
 def load_hub(staging: DataFrame, key: str, business_key: str, target: DataFrame | None = None,
-             use_high_water_mark: bool = False, late: bool = False) -> DataFrame:
+             use_high_water_mark: bool = False, late: str | None = None) -> DataFrame:
     """New hub rows: one per business key never seen before. Blank keys are not loaded.
 
-    ``late`` here and in ``load_link``: keys are hashed from the business keys after rows are reduced, with the same rows as result.
+    ``late`` here and in ``load_link`` names the source, where all staged rows are of one: keys are then hashed from the business
+    keys after rows are reduced, with the same rows as result.
     """
     source = newer_than(staging, target) if use_high_water_mark else staging
     present = source.where(has_key(business_key))
-    if late:
-        first = _first_seen_late(present, [business_key], {key: [business_key]}).select(key, business_key, *META)
+    if late is not None:
+        first = _first_seen_late(present, [business_key], {key: [business_key]}, late).select(key, business_key, *META)
     else:
         first = _first_seen(present, key, [business_key])
     return first if target is None else first.join(target.select(key), key, "left_anti")
@@ -71,15 +73,15 @@ def load_hub(staging: DataFrame, key: str, business_key: str, target: DataFrame
 
 def load_link(staging: DataFrame, key: str, parents: Sequence[str], target: DataFrame | None = None,
               business_keys: Sequence[str] = (), child_keys: Sequence[str] = (),
-              use_high_water_mark: bool = False, late: bool = False) -> DataFrame:
+              use_high_water_mark: bool = False, late: str | None = None) -> DataFrame:
     """New link rows: one per key combination; ``business_keys`` (those of the parents, in their order) must all be present."""
     source = newer_than(staging, target) if use_high_water_mark else staging
     needed = [*business_keys, *child_keys]
     if needed:
         source = source.where(has_key(*needed))
-    if late:
+    if late is not None:
         keys = {key: needed, **{parent: [its] for parent, its in zip(parents, business_keys, strict=True)}}
-        first = _first_seen_late(source, needed, keys).select(key, *parents, *child_keys, *META)
+        first = _first_seen_late(source, needed, keys, late).select(key, *parents, *child_keys, *META)
     else:
         first = _first_seen(source, key, [*parents, *child_keys])
     return first if target is None else first.join(target.select(key), key, "left_anti")

@@ -61,23 +61,23 @@ class Warehouse:
     # ---- raw vault ---------------------------------------------------------------------
     @cached_property
     def hub_customer(self) -> DataFrame:
-        return self._keep("hub_customer", load_hub_customer(self.stg_customers, late=True))
+        return self._keep("hub_customer", load_hub_customer(self.stg_customers, late=staging.CUSTOMERS))
 
     @cached_property
     def hub_order(self) -> DataFrame:
-        return self._keep("hub_order", load_hub_order(self.stg_orders, late=True))
+        return self._keep("hub_order", load_hub_order(self.stg_orders, late=staging.ORDERS))
 
     @cached_property
     def hub_product(self) -> DataFrame:
-        return self._keep("hub_product", load_hub_product(self.stg_products, late=True))
+        return self._keep("hub_product", load_hub_product(self.stg_products, late=staging.PRODUCTS))
 
     @cached_property
     def link_customer_order(self) -> DataFrame:
-        return self._keep("link_customer_order", load_link_customer_order(self.stg_orders, late=True))
+        return self._keep("link_customer_order", load_link_customer_order(self.stg_orders, late=staging.ORDERS))
 
     @cached_property
     def link_order_product(self) -> DataFrame:
-        return self._keep("link_order_product", load_link_order_product(self.stg_order_items, late=True))
+        return self._keep("link_order_product", load_link_order_product(self.stg_order_items, late=staging.ORDER_ITEMS))
 
     @cached_property
     def sat_customer_details(self) -> DataFrame:
