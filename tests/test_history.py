@@ -173,3 +173,29 @@ def test_a_key_of_half_the_rows_meets_no_large_task(spark):
     want = df.withColumn("p", F.lag("mark").over(Window.partitionBy("k").orderBy("t")))
     same(history.previous_of(df, "k", ["t"], {"p": "mark"}, cuts=cuts), want)
     same(history.drop_repeats(df, "k", "t", "mark", cuts=cuts), want.where("p is null or p <> mark").drop("p"))
+
+
+def test_newest_kept_is_the_newest_row_without_repeats(spark, versions):
+    """Two marks at once, few cuts and many; rows without an instant are the first of a key."""
+    undated = spark.createDataFrame([("k1", "a"), ("k2", "b"), ("only", "a"), ("flat", "c")], "k string, mark string").select(
+        "k", F.lit(None).cast("timestamp_ntz").alias("t"), "mark", F.lit(-1).alias("n"), F.lit("s").alias("RECORD_SOURCE"))
+    flat = versions.where("k = 'hot'").withColumns({"k": F.lit("flat"), "mark": F.lit("c")})
+    df = versions.unionByName(undated).unionByName(flat).withColumn("coarse", F.when(F.col("mark") == "c", "c").otherwise("ab"))
+    marks = {"fine": (lambda rows: F.col("mark"), ["mark"]), "rough": (lambda rows: F.col("coarse"), ["coarse"])}
+    for cuts in (None, cut(df)):
+        got = history.newest_kept(df.drop("n", "RECORD_SOURCE").withColumn("at", F.col("t")), "k", "t", {
+            name: (mark, [*columns, "at"]) for name, (mark, columns) in marks.items()}, cuts)
+        for name, column in (("fine", "mark"), ("rough", "coarse")):
+            kept = history.drop_repeats(df.select("k", "t", column), "k", "t", column)
+            want = kept.groupBy("k").agg(F.max_by(F.struct(column, F.col("t").alias("at")), "t").alias(name))
+            same(got.select("k", name), want)
+
+
+def test_partitions_grow_with_the_scan(spark, tmp_path):
+    from loomvault.operators.sizes import dealt, parts_for, scanned_bytes
+    path = str(tmp_path / "t")
+    spark.range(20000).write.parquet(path)
+    df = spark.read.parquet(path)
+    size, cores = scanned_bytes(df), spark.sparkContext.defaultParallelism
+    assert parts_for(df, size // 50) in (50, 51) and parts_for(df, 2 * size) == cores
+    assert dealt(df, size // 50, "id").rdd.getNumPartitions() in (50, 51)
