@@ -17,6 +17,9 @@ from ..functions.dates import at, end_of_time, ghost_time
 from ..functions.keys import has_key, hash_diff as diff_of, hash_key
 from ..operators.history import carry_forward, drop_repeats, latest_per_key
 from ..operators.segments import cut_points
+from ..operators.sizes import dealt
+
+GROUPED_BYTES = 2 << 20  # of stored data for each partition in which distinct keys are gathered
 
 LDTS, SOURCE = "LOAD_DATETIME", "RECORD_SOURCE"
 META = (LDTS, SOURCE)
@@ -42,13 +45,18 @@ def _first_seen(staging: DataFrame, key: str, payload: Sequence[str]) -> DataFra
     return first.select(key, *[F.col(f"_row.{c}").alias(c) for c in (*payload, *META)])
 
 
-def _first_seen_late(staging: DataFrame, business_keys: Sequence[str], keys: Mapping[str, Sequence[str]], source: str) -> DataFrame:
+def _first_seen_late(staging: DataFrame, business_keys: Sequence[str], keys: Mapping[str, Sequence[str]], source: str,
+                     distinct: bool = False) -> DataFrame:
     """``_first_seen`` by business keys; ``keys`` (name -> its business keys) are hashed from what is left.
 
     Digests do not compress and make most of a row: here none is aggregated or exchanged. The aggregate keeps an instant and a flag
     only, so it is done by hashing and not by sorting each task's rows, and it needs one exchange.
     Business keys must be free of the key separator, as the text that a key is hashed from is not compared.
+    With ``distinct``, for keys that hardly repeat, rows are exchanged before they are aggregated: what a task holds of such keys grows with
+    its part of the scan and is spilled, and nothing would shrink. They are dealt into partitions whose number grows with the scan instead.
     """
+    if distinct:
+        staging = dealt(staging.select(*business_keys, LDTS), GROUPED_BYTES, *business_keys)
     first = staging.groupBy(*business_keys).agg(F.min(LDTS).alias("_first"), F.max(F.col(LDTS).isNull()).alias("_undated"))
     made = {name: hash_key(first, *parts) for name, parts in keys.items()}
     # an instant that is missing comes before all others
@@ -81,7 +89,7 @@ def load_link(staging: DataFrame, key: str, parents: Sequence[str], target: Data
         source = source.where(has_key(*needed))
     if late is not None:
         keys = {key: needed, **{parent: [its] for parent, its in zip(parents, business_keys, strict=True)}}
-        first = _first_seen_late(source, needed, keys, late).select(key, *parents, *child_keys, *META)
+        first = _first_seen_late(source, needed, keys, late, distinct=bool(child_keys)).select(key, *parents, *child_keys, *META)
     else:
         first = _first_seen(source, key, [*parents, *child_keys])
     return first if target is None else first.join(target.select(key), key, "left_anti")

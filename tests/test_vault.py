@@ -211,3 +211,21 @@ def test_no_digest_is_made_before_a_first_load_is_exchanged(spark):
     dealt = [i for i, line in enumerate(lines) if "REPARTITION_BY_COL" in line]  # the digest is made right above this exchange
     assert dealt and all("sha2(" in lines[i - 1] and "sha2(" not in lines[i + 1] for i in dealt)
     assert rows(facts, "ORDER_ID", "CURRENCY_CODE")[0][0] == "O1"
+
+
+def test_a_link_of_children_is_dealt_before_it_is_aggregated(spark):
+    """Its keys hardly repeat: a map-side aggregate would hold all of them, and spill."""
+    from loomvault.plans import warehouse as loaders
+    items = spark.range(400).select(
+        F.concat(F.lit("I"), (F.col("id") % 150).cast("string")).alias("ORDER_ITEM_ID"), F.when(F.col("id") % 150 != 3, F.concat(F.lit("O"), (F.col("id") % 50).cast("string"))).alias("ORDER_ID"),
+        F.concat(F.lit("P"), (F.col("id") % 10).cast("string")).alias("PRODUCT_ID"), F.when(F.col("id") % 150 != 7, at(DAY.format(1)) + F.make_dt_interval(F.col("id").cast("int"))).alias("LOAD_DATETIME"),
+        F.lit(staging.ORDER_ITEMS).alias("RECORD_SOURCE"))
+    from loomvault.functions.keys import hash_key
+    keyed = items.withColumns({"HK_ORDER": hash_key(items, "ORDER_ID"), "HK_PRODUCT": hash_key(items, "PRODUCT_ID"),
+                               "HK_LINK_ORDER_PRODUCT": hash_key(items, "ORDER_ID", "PRODUCT_ID", "ORDER_ITEM_ID")})
+    link = loaders.load_link_order_product(keyed, late=staging.ORDER_ITEMS)
+    same(link, loaders.load_link_order_product(keyed))
+    assert link.count() == 149
+    lines = link._jdf.queryExecution().executedPlan().toString().split("\n")
+    moved = [i for i, line in enumerate(lines) if "Exchange" in line]
+    assert len(moved) == 1 and not any("Aggregate" in line for line in lines[moved[0]:])
