@@ -47,22 +47,22 @@ def load_events(batch: DataFrame, tables: TableFolder, name: str, batch_id: int)
     """Land one micro-batch of events; running it again gives the same tables.
 
     What has landed is known from the intervals of landed offsets that the batch before stored, so the landing table is never
-    read. An offset that is no whole number is looked up among the few such tokens.
+    read. An offset that is no whole number is looked up among the few such tokens. Events are brought down to one of each offset
+    once: several tables are written from them.
     """
-    spark = batch.sparkSession
     odd, state = f"{name}_tokens", f"{name}_offsets"
     intervals = tables.snapshot(state, batch_id)
-    intervals = spark.createDataFrame([], offsets.SCHEMA) if intervals is None else intervals
-    placed = offsets.with_offset(batch).persist()
+    placed = offsets.with_offset(batch)
+    numbered = offsets.each_once(placed).persist()
+    loose = placed.where("lane is null").persist()
     try:
-        fresh = offsets.not_landed(placed, intervals)
-        named = F.col("lane").isNull() & F.col(offsets.TOKEN).isNotNull() & F.col(offsets.TOPIC).isNotNull() & F.col(offsets.PARTITION).isNotNull()
+        named = F.col(offsets.TOKEN).isNotNull() & F.col(offsets.TOPIC).isNotNull() & F.col(offsets.PARTITION).isNotNull()
         keys = [offsets.TOPIC, offsets.PARTITION, offsets.TOKEN]
-        tokens = fresh.where(named).dropDuplicates(keys)
+        tokens = loose.where(named).dropDuplicates(keys)
         seen = tables.read(odd, before_batch=batch_id)
         if seen is not None:
-            tokens = tokens.join(seen, keys, "left_anti").select(*fresh.columns)
-        rows = fresh.where(~named).unionByName(tokens)
+            tokens = tokens.join(seen, keys, "left_anti").select(*loose.columns)
+        rows = offsets.not_landed(loose.where(~named), intervals, numbered).unionByName(tokens)
         good, bad = rows, None
         if PAYLOAD in batch.columns:
             parsed, bad = split_dead_letters(rows, PAYLOAD)
@@ -70,10 +70,11 @@ def load_events(batch: DataFrame, tables: TableFolder, name: str, batch_id: int)
             tables.append(f"{name}_dead_letters", bad.drop("lane", "offset"), batch_id)
         tables.append(name, good.drop("lane", "offset"), batch_id)
         tables.append(odd, tokens.select(*keys), batch_id)
-        new = offsets.islands(placed.where("lane is not null").select("lane", "offset").distinct())
-        tables.append(state, offsets.joined(intervals.unionByName(new)), batch_id)
+        new = offsets.islands(numbered.select("lane", "offset"))
+        tables.append(state, offsets.joined(new if intervals is None else intervals.unionByName(new)), batch_id)
     finally:
-        placed.unpersist()
+        numbered.unpersist()
+        loose.unpersist()
     tables.forget_snapshots(state, batch_id - 1)
 
 

@@ -7,7 +7,9 @@ from pyspark.sql import functions as F
 
 from ..operators.history import asof_join, next_of, previous_of
 from ..operators.segments import cut_points
+from ..operators.sizes import dealt
 
+EVENT_BYTES = 16 << 20  # of stored data for each partition of the events of a batch
 TOPIC, PARTITION, TOKEN = "_TOPIC_NAME", "_PARTITION_ID", "_OFFSET_TOKEN"
 SCHEMA = "lane string, low bigint, high bigint"
 TOKENS = f"{TOPIC} string, {PARTITION} bigint, {TOKEN} string"
@@ -20,13 +22,21 @@ def with_offset(events: DataFrame) -> DataFrame:
     return events.withColumns({"lane": F.when(plain, F.concat_ws("/", F.col(PARTITION).cast("string"), TOPIC)), "offset": F.when(plain, offset)})
 
 
-def not_landed(events: DataFrame, intervals: DataFrame) -> DataFrame:
+def each_once(events: DataFrame) -> DataFrame:
+    """One event of each lane and offset."""
+    placed = events.where("lane is not null")
+    return dealt(placed, EVENT_BYTES, "lane", "offset").dropDuplicates(["lane", "offset"])
+
+
+def not_landed(events: DataFrame, intervals: DataFrame | None, numbered: DataFrame | None = None) -> DataFrame:
     """Events (with lane and offset) that no interval holds, each offset once. Events without an offset all stay.
 
     An offset is looked up in the last interval that begins at or before it. Events and intervals go through one exchange,
-    a lane of any size in segments.
+    a lane of any size in segments. ``numbered`` may hold ``each_once`` of the events where that is stored: it is read several times.
     """
-    numbered = events.where("lane is not null").dropDuplicates(["lane", "offset"])
+    numbered = each_once(events) if numbered is None else numbered
+    if intervals is None:  # nothing has landed
+        return numbered.unionByName(events.where("lane is null"))
     starts = intervals.select("lane", F.col("low").alias("_low"), F.col("high").alias("_high"))
     found = asof_join(numbered, starts, "lane", "offset", "_low", ["_high"], cut_points(numbered, "lane", "offset"))
     fresh = found.where("_high is null or _high < offset").select(*events.columns)

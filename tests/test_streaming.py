@@ -158,6 +158,24 @@ def test_intervals_of_offsets_equal_a_plain_scan(spark):
         assert both.count() == sum((lane, k - 1) not in taken for lane, k in taken)
 
 
+def test_events_are_told_apart_once_and_not_looked_up_before_any_has_landed(spark, folder):
+    from conftest import rows
+
+    from loomvault.streaming import offsets
+    data = [(str(k % 7), k % 2, "t", "{}") for k in range(40)] + [(None, 0, "t", "{}"), ("x", 0, "t", "{}")]
+    events = offsets.with_offset(spark.createDataFrame(data, EVENT))
+    none = spark.createDataFrame([], offsets.SCHEMA)
+    numbered = offsets.each_once(events).persist()
+    try:
+        first = offsets.not_landed(events, None, numbered)
+        assert rows(first) == rows(offsets.not_landed(events, none)) and first.count() == 16
+        assert "Window" not in first._jdf.queryExecution().executedPlan().toString()
+        later = offsets.not_landed(events, none, numbered)
+        assert later._jdf.queryExecution().withCachedData().toString().count("Deduplicate") == 0  # it reads the stored ones
+    finally:
+        numbered.unpersist()
+
+
 def test_no_event_leaves_no_interval(spark, folder):
     tables = TableFolder(spark, folder)
     ingest.load_events(spark.createDataFrame([], EVENT), tables, "e", 0)
