@@ -58,6 +58,15 @@ def test_columns_of_clashing_names_are_replaced(spark):
     assert [tuple(r) for r in kept.collect()] == [(1, "plain words", 7)]
 
 
+def lev(a, b):
+    row = list(range(len(b) + 1))
+    for i, x in enumerate(a, 1):
+        last, row[0] = row[0], i
+        for j, y in enumerate(b, 1):
+            last, row[j] = row[j], min(row[j] + 1, row[j - 1] + 1, last + (x != y))
+    return row[-1]
+
+
 def near(a, b):
     a, b = a.split(" "), b.split(" ")
     if a == b:
@@ -124,6 +133,38 @@ def test_lines_within_a_bound_that_grows_equal_all_pairs(spark):
     assert {r.doc_id for r in lines.dedup_lines(df, max_edits=None).filter("n_removed = 1").collect()} == gone
 
 
+def test_lines_within_the_bound_share_a_run_that_both_take(spark):
+    rng = random.Random(21)
+    pairs = []
+    for i in range(300):
+        n = rng.choice((7, 8, 9, 14, 15, 16, 21, 30, 58, 63, 150))
+        a = ["ha"] * n if i % 29 == 0 else words(rng, n).split(" ")
+        b = list(a)
+        for _ in range(max(len(a), len(b)) // lines.LEAST):
+            at = rng.randrange(len(b))
+            b[at:at + rng.choice((0, 1))] = rng.choice(([], [f"new{i}"], ["of"]))
+        if len(b) >= 7 and abs(len(a) - len(b)) <= max(len(a), len(b)) // lines.LEAST:
+            pairs.append((i, a, b))
+    df = spark.createDataFrame(pairs, "i int, a array<string>, b array<string>")
+    of = {c: df.select("i", F.transform(c, lambda w: F.xxhash64(w)).alias("h")) for c in "ab"}
+    often = [r.x for r in of["a"].select(F.explode(F.expr(lines.RUNS)).alias("x")).distinct().orderBy("x").limit(100).collect()]
+    for some in ([], often):
+        taken = {c: {r.i: r.keys for r in of[c].select("i", lines._keys(some, None).alias("keys")).collect()} for c in "ab"}
+        for i, a, b in pairs:
+            if lev(a, b) <= max(len(a), len(b)) // lines.LEAST:
+                assert set(taken["a"][i]) & set(taken["b"][i]), (a, b)
+            assert len(taken["a"][i]) <= lines.RUN * (len(a) // 7) + 1
+
+
+def test_words_with_one_character_are_told_apart(spark):
+    numbers = spark.range(6000).select(F.concat(F.lit("w"), "id").alias("w")).groupBy(F.xxhash64("w").bitwiseAND(F.lit(0xFFFFF))).agg(F.collect_list("w").alias("ws"))
+    one, other = numbers.filter("size(ws) > 1").first().ws[:2]
+    a = words(random.Random(5), 16).split(" ") + [one, other]
+    b = a[:-2] + [other, one]
+    df = spark.createDataFrame([(a, b, 1), (a, b, 2), (a, a, 0)], "a array<string>, b array<string>, e int")
+    assert [r.x for r in df.select(lines._within(F.col("a"), F.col("b"), F.col("e")).alias("x")).collect()] == [False, True, True]
+
+
 def test_lines_of_repeated_rows_have_near_lines(spark):
     line, other = words(random.Random(8), 12), words(random.Random(9), 12)
     docs = [(1, line + " one")] * 3 + [(2, line + " two\n" + other + " one")] + [(4, other + " two\nalone")] * 3
