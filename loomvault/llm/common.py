@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from ..session import scratch_path
+from ..session import stored  # noqa: F401 - for the operators
 
 # Texts handled at once inside a task, in characters. Bounds memory; never changes a result.
 CHUNK_CHARS = 2 << 20
@@ -20,13 +20,6 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
-def stored(df: DataFrame, label: str) -> DataFrame:
-    """The rows written to the shared folder and read again: computed once, and safe from lost executors."""
-    path = scratch_path(df.sparkSession, label)
-    df.write.parquet(path)
-    return df.sparkSession.read.parquet(path)
-
-
 def named(column: str) -> Column:
     """A column by its exact name, dots and all."""
     return F.col("`" + column.replace("`", "``") + "`")
