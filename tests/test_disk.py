@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 from loomvault.functions.dates import at
 from loomvault.functions.keys import packed, unpacked
+from loomvault.operators.changes import change_feed
+from loomvault.plans import deltas
 from loomvault.plans import warehouse as loaders
 from loomvault.registry import change_queries as cq
 from loomvault.session import REMOVE_SHUFFLED, stored
@@ -87,3 +89,14 @@ def test_few_keys_are_found_without_an_exchange_of_all(spark, folder, monkeypatc
     monkeypatch.setattr(known, "FEW", 1)
     found = known.known_rows(tables, "t", keys.where("K < 'k3'"), "K", 4)
     assert {r.K for r in found.collect()} >= {r.K for r in many.where("K < 'k3'").collect()}
+
+
+def test_revenue_keeps_no_copy_of_its_changes(spark, warehouse, folder):
+    tables = TableFolder(spark, folder)
+    feed = change_feed(warehouse.fct_orders.limit(0), warehouse.fct_orders, ["ORDER_SK"])
+    kept = spark._jsc.sc().getPersistentRDDs().size()
+    got = []
+    left = left_by(spark, lambda: got.append(deltas.refresh_revenue(tables, feed, warehouse.dim_date, warehouse.as_of, 1, buckets=3)))
+    assert tables.folders(deltas.CHANGES) is None and spark._jsc.sc().getPersistentRDDs().size() == kept
+    assert not left
+    same(got[0], warehouse.agg_monthly_revenue)
