@@ -100,3 +100,16 @@ def test_revenue_keeps_no_copy_of_its_changes(spark, warehouse, folder):
     assert tables.folders(deltas.CHANGES) is None and spark._jsc.sc().getPersistentRDDs().size() == kept
     assert not left
     same(got[0], warehouse.agg_monthly_revenue)
+
+
+def test_bridge_of_batches_equals_the_whole(spark, warehouse, folder):
+    """With digests as bytes and as text; a key of a batch that no link has changes nothing."""
+    for digests in ((), loaders.LINK_DIGESTS):
+        tables = TableFolder(spark, f"{folder}/{len(digests)}")
+        for batch, part in enumerate((warehouse.stg_orders.where(~late()), warehouse.stg_orders.where(late()), warehouse.stg_orders.where(late()).limit(3))):
+            links = warehouse.link_customer_order.join(warehouse.stg_orders.where(~late()).select("HK_ORDER"), "HK_ORDER", "left_semi") if not batch else warehouse.link_customer_order
+            states = warehouse.eff_sat_customer_order.where(~late()) if not batch else warehouse.eff_sat_customer_order
+            unknown = part.limit(1).withColumn("HK_LINK_CUSTOMER_ORDER", F.lit("0" * 64))
+            out = deltas.refresh_bridge(tables, part.unionByName(unknown), "HK_LINK_CUSTOMER_ORDER", ["HK_CUSTOMER", "HK_ORDER"], links, states, "bridge", batch,
+                                        ["ORDER_STATUS"], 4, digests)
+        same(out.drop(known.BUCKET).withColumnRenamed("ORDER_STATUS", "EFF_ORDER_STATUS"), warehouse.bridge_customer_order)
