@@ -1,5 +1,6 @@
 """What jobs of several steps leave on disk: no step's shuffle files, no copy of all staged columns, digests as bytes in what is exchanged."""
 
+import re
 import time
 
 from conftest import rows, same
@@ -113,3 +114,12 @@ def test_bridge_of_batches_equals_the_whole(spark, warehouse, folder):
             out = deltas.refresh_bridge(tables, part.unionByName(unknown), "HK_LINK_CUSTOMER_ORDER", ["HK_CUSTOMER", "HK_ORDER"], links, states, "bridge", batch,
                                         ["ORDER_STATUS"], 4, digests)
         same(out.drop(known.BUCKET).withColumnRenamed("ORDER_STATUS", "EFF_ORDER_STATUS"), warehouse.bridge_customer_order)
+
+
+def test_items_move_after_the_joins_of_their_orders(spark, warehouse):
+    built = type(warehouse)(spark, warehouse.landing, warehouse.as_of, warehouse.calendar)
+    assert not left_by(spark, lambda: built.fct_order_items)
+    text = built.fct_order_items._jdf.queryExecution().optimizedPlan().toString()
+    assert len(re.findall(r"\bJoin\b", text)) == 1  # none of the vault's
+    want = warehouse.conformed_orders.select("ORDER_ID", "ORDER_DATE", "CURRENCY_CODE")
+    same(built.item_orders, want)
