@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from loomvault.functions.dates import at
 from loomvault.functions.keys import packed, unpacked
 from loomvault.operators.changes import change_feed
-from loomvault.plans import deltas
+from loomvault.plans import deltas, staging
 from loomvault.plans import warehouse as loaders
 from loomvault.registry import change_queries as cq
 from loomvault.session import REMOVE_SHUFFLED, stored
@@ -123,3 +123,11 @@ def test_items_move_after_the_joins_of_their_orders(spark, warehouse):
     assert len(re.findall(r"\bJoin\b", text)) == 1  # none of the vault's
     want = warehouse.conformed_orders.select("ORDER_ID", "ORDER_DATE", "CURRENCY_CODE")
     same(built.item_orders, want)
+
+
+def test_a_stateful_stream_exchanges_bytes(spark, warehouse):
+    staged = staging.stage_orders(warehouse.landing.orders, warehouse.as_of)
+    rows_ = staged.select("HK_ORDER", F.col("HD_ORDER_DETAILS").alias("HASH_DIFF"), "LOAD_DATETIME", "RECORD_SOURCE")
+    out = vault_stream.stream_satellite_stateful(rows_, "HK_ORDER", digests=["HK_ORDER", "HASH_DIFF"])
+    assert out.schema.simpleString() == rows_.schema.simpleString()
+    assert out._jdf.queryExecution().analyzed().toString().count("unhex(") == 2
