@@ -6,7 +6,7 @@ each full ``LEAST`` of its words, ``max_edits`` at the most (None: no other boun
 goes if an earlier line, in the order of (key, text hash, place), is near it;
 blank lines stay. Every line is judged on the input, not on what is left.
 
-1. Equal lines meet in a minimum of their place; the earliest of them goes on.
+1. Equal lines meet in a minimum of their place; the earliest of them goes on, and is stored with its place.
 2. A line gives hashes of some of its runs of ``RUN`` words. In one order of all runs, the first of a line are taken, up to where
    no k edits can touch all those taken: an edit touches only the runs that hold its word, so that is where k + 1 of them lie apart.
    Of two lines with k edits between them, each then has a run taken that the other has too, and the first such run in that order is
@@ -14,10 +14,12 @@ blank lines stay. Every line is judged on the input, not on what is left.
    last; the sample decides only how many pairs meet.
 3. Each line meets the earliest line of its runs; those that are not settled by it meet all earlier ones. Of the pairs, those go on whose
    lengths differ by no more than the edits allowed, and whose parities of words by no more than two bits an edit.
-4. Of these the words are read, and the distance is computed where neither line has more words that the other lacks than edits.
+4. Of these the lines are taken out once, and more parities of their words leave few pairs of lines that have long runs in common only.
+   Of those that are left the words are read, and the distance is computed where neither line has more words that the other lacks than edits.
 5. The places that stay are gathered per document and the texts cut accordingly.
 
-Everything is one plan, in which the texts move once, by document, and are read from there at each step.
+Lines, the runs that several lines have, pairs, and the lines that go are stored, each by a plan of its own, so that what a step exchanges is gone
+from disk before the next begins. The texts move at the end only, by document.
 
 Defined cases: null texts have no line and stay null; an empty text has one blank line; repeated rows
 (equal key and text) are one document, in each of the equal rows; null keys come first in the order;
@@ -40,6 +42,8 @@ LEAST = 8
 RUN = 3
 # The most frequent runs of one document in SHARE come last: decides only how many lines meet.
 OFTEN, SHARE = 4000, 32
+# 64 parities of a line's words go with each of its runs, WIDE times as many are compared where two lines meet: decides only how many are read.
+WIDE = 4
 # How many runs are tried, in eighths of k + 1, before as many as k edits can never touch.
 TRIES = (10, 12, 15)
 
@@ -63,16 +67,6 @@ def _per_doc(docs: DataFrame, per_doc: DataFrame, how: str) -> DataFrame:
     return docs.join(right, (F.col("__mark") == F.col("__m")) & F.col("__key").eqNullSafe(F.col("__k")), how).drop("__k", "__m")
 
 
-def _lines_at(texts: DataFrame, places: DataFrame) -> DataFrame:
-    """The lines at some places (__key, __mark, pos), in each of the repeated rows of a document."""
-    wanted = places.groupBy("__key", "__mark").agg(F.sort_array(F.collect_set("pos")).alias("wanted"))
-    # every line in it is fetched by its place, from one split of the text: a variable is made once, not once a place
-    lines = F.transform(F.array(F.split("__text", "\n", -1)), lambda all_: F.transform("wanted", lambda p: F.struct(p.alias("pos"), F.get(all_, p).alias("line"))))
-    return (_per_doc(texts, wanted, "inner")
-            .select("__key", "__mark", F.explode(F.get(lines, F.lit(0))).alias("l"))
-            .select("__key", "__mark", "l.pos", "l.line"))
-
-
 def _hashes(line: Column) -> Column:
     return F.transform(_words(line), lambda w: F.xxhash64(w))
 
@@ -116,6 +110,11 @@ def _parities(hashes: Column) -> Column:
     return F.aggregate(hashes, F.lit(0).cast("long"), flip)
 
 
+def _sketch(hashes: Column) -> Column:
+    """``WIDE`` times 64 such bits: 64 are too few for the edits of a line of a hundred words."""
+    return F.transform(F.sequence(F.lit(0), F.lit(WIDE - 1)), lambda j: _parities(F.filter(hashes, lambda h: F.pmod(F.shiftright(h, 6), F.lit(WIDE)) == j)))
+
+
 def _bound(longer: Column, most: int | None) -> Column:
     edits = F.floor(longer / LEAST).cast("int")
     return edits if most is None else F.least(edits, F.lit(most))
@@ -152,32 +151,45 @@ def _likely(met: DataFrame, most: int | None) -> DataFrame:
             .select("first", "other", edits.alias("edits")).distinct())
 
 
-def _verified(texts: DataFrame, pairs: DataFrame) -> DataFrame:
+def _verified(lines: DataFrame, pairs: DataFrame) -> DataFrame:
     """The lines (first) that are near the earlier one (other)."""
-    places = pairs.select(F.explode(F.array("first", "other")).alias("line_at")).select("line_at.*")
-    read = _lines_at(texts, places).groupBy(F.struct("__key", "__mark", "pos").alias("first")).agg(F.max("line").alias("line"))
-    both = pairs.join(read.withColumnsRenamed({"first": "other", "line": "line_other"}), "other").join(read, "first")
+    pairs = stored(pairs.withColumnRenamed("first", "later"), "line-pairs")
+    places = pairs.select(F.explode(F.array("later", "other")).alias("place")).distinct()
+    some = lines.join(places, F.col("first") == F.col("place"), "left_semi").select("first", "line", _hashes(F.col("line")).alias("h"))
+    some = stored(some.select("first", "line", _sketch(F.col("h")).alias("sketch")), "paired-lines")
+
+    def both_of(pairs: DataFrame, column: str) -> DataFrame:
+        # nothing is renamed below the joins: one exchange of the lines serves both
+        had = some.select("first", column).alias("l")
+        earlier = pairs.join(had, F.col("other") == F.col("l.first")).select("later", "other", "edits", F.col(column).alias(f"{column}_other"))
+        return earlier.join(had, F.col("later") == F.col("l.first"))
+
+    differ = F.aggregate(F.zip_with("sketch", "sketch_other", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda n, x: n + x)
+    pairs = stored(both_of(pairs, "sketch").filter(differ <= 2 * F.col("edits")).select("later", "other", "edits"), "line-pairs")
     a, b, edits = F.col("a"), F.col("b"), F.col("edits")
-    both = both.select("first", "edits", _words(F.col("line")).alias("a"), _words(F.col("line_other")).alias("b"))
+    both = both_of(pairs, "line").select("first", "edits", _words(F.col("line")).alias("a"), _words(F.col("line_other")).alias("b"))
     lacks = F.greatest(F.size(F.array_except(a, b)), F.size(F.array_except(b, a)))
-    return both.filter(F.when(lacks <= edits, _within(a, b, edits)).otherwise(F.lit(False))).select("first").distinct()
+    near = both.filter(F.when(lacks <= edits, _within(a, b, edits)).otherwise(F.lit(False)))
+    return stored(near.select("first").distinct(), "near-lines")
 
 
-def _near(texts: DataFrame, distinct: DataFrame, most: int | None) -> DataFrame:
-    """Of the distinct lines (places), those (first) that have an earlier line within the bound."""
-    hashed = _lines_at(texts, distinct).select(F.struct("__key", "__mark", "pos").alias("first"), _hashes(F.col("line")).alias("h"))
+def _near(lines: DataFrame, often: list[int], most: int | None) -> DataFrame:
+    """Of the distinct lines, those (first) that have an earlier line within the bound."""
+    hashed = lines.select("first", _hashes(F.col("line")).alias("h"))
     # never null: a join or filter below then adds no test of its own, and one exchange serves them all
     about = [F.coalesce(F.size("h"), F.lit(0)).alias("n"), F.coalesce(_parities(F.col("h")), F.lit(0)).alias("bits")]
     # made beside the hashes, so once a line and not once a key
-    keyed = hashed.select("first", "h", *about).select("first", "n", "bits", F.explode(_keys(_often(texts), most)).alias("k"))
+    keyed = hashed.select("first", "h", *about).select("first", "n", "bits", F.explode(_keys(often, most)).alias("k"))
     keyed = keyed.select("first", "n", "bits", F.coalesce("k", F.lit(0)).alias("k")).repartition("k")
     group = Window.partitionBy("k")
-    met = keyed.withColumns({"c": F.count("*").over(group), "m": F.min(F.struct("first", "n", "bits")).over(group)}).filter("c > 1 and m.first < first")
+    every = keyed.withColumns({"c": F.count("*").over(group), "m": F.min(F.struct("first", "n", "bits")).over(group)}).filter("c > 1")
+    every = stored(every, "line-runs")  # most runs are in one line only and go here
+    met = every.filter("m.first < first")
     least = met.select("first", "n", "bits", F.col("m.first").alias("other"), F.col("m.n").alias("n_other"), F.col("m.bits").alias("bits_other"))
-    gone = _verified(texts, _likely(least, most))
+    gone = _verified(lines, _likely(least, most))
     left = met.filter("c > 2").select("k", "first", "n", "bits", F.col("m.first").alias("least")).join(gone, "first", "left_anti")
-    every = keyed.withColumnsRenamed({"first": "other", "n": "n_other", "bits": "bits_other"})
-    more = _verified(texts, _likely(every.join(left.hint("shuffle_hash"), "k").filter("other > least"), most))
+    every = every.filter("c > 2").select("k", "first", "n", "bits").withColumnsRenamed({"first": "other", "n": "n_other", "bits": "bits_other"})
+    more = _verified(lines, _likely(every.join(left.hint("shuffle_hash"), "k").filter("other > least"), most))
     return gone.unionByName(more)
 
 
@@ -191,10 +203,11 @@ def dedup_lines(df: DataFrame, key: str = "doc_id", text: str = "text", max_edit
     texts = _keyed(df, key, text)
     every = texts.filter("__text is not null").select("__key", "__mark", F.posexplode(F.split("__text", "\n", -1)).alias("pos", "line"))
     every = every.filter(~_blank(F.col("line")))
-    hashed = every.select(F.xxhash64("line").alias("l1"), F.xxhash64(F.lit(7), "line").alias("l2"), F.struct("__key", "__mark", "pos").alias("first"))
-    kept = stored(hashed.groupBy("l1", "l2").agg(F.min("first").alias("first")).select("first"), "lines")
+    hashed = every.select(F.xxhash64("line").alias("l1"), F.xxhash64(F.lit(7), "line").alias("l2"), F.struct("__key", "__mark", "pos").alias("first"), "line")
+    earliest = F.min(F.struct("first", "line") if max_edits != 0 else F.struct("first")).alias("earliest")
+    kept = stored(hashed.groupBy("l1", "l2").agg(earliest).select("earliest.*"), "lines")
     if max_edits != 0:
-        kept = kept.join(_near(texts, kept.select("first.*"), max_edits), "first", "left_anti")
+        kept = kept.join(_near(kept, _often(texts), max_edits), "first", "left_anti")
     kept = kept.select("first.*").groupBy("__key", "__mark").agg(F.collect_set("pos").alias("kept"))
 
     lines = F.split("__text", "\n", -1)
